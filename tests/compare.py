@@ -1,0 +1,62 @@
+"""Run a query and its SQL side by side and compare schema, row count and values."""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+
+# Spark type name -> SQL type name of the other engine.
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "double": "DOUBLE",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for path in sorted(Path(sf_dir).glob("*.parquet")):
+        con.execute(f"create view {path.stem} as select * from '{path}'")
+    return con
+
+
+def normal(value):
+    if isinstance(value, float):
+        return repr(value)
+    if isinstance(value, dt.datetime):
+        return value.isoformat()
+    return str(value) if value is not None else None
+
+
+def rows(columns, data):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(tuple(normal(r[i]) for i in order) for r in data)
+
+
+def difference(con, sql: str, df) -> str | None:
+    """None when equal, else what differs."""
+    expected = con.execute(sql)
+    names = [d[0] for d in expected.description]
+    kinds = {d[0]: str(d[1]) for d in expected.description}
+    data = expected.fetchall()
+    if sorted(names) != sorted(df.columns):
+        return f"columns {sorted(df.columns)} vs {sorted(names)}"
+    found = df.collect()
+    if len(found) != len(data):
+        return f"{len(found)} rows vs {len(data)}"
+    got, want = rows(df.columns, found), rows(names, data)
+    if got != want:
+        return f"only spark {list((got - want).items())[:3]}, only sql {list((want - got).items())[:3]}"
+    wrong = {
+        f.name: (f.dataType.simpleString(), kinds[f.name])
+        for f in df.schema.fields
+        if TYPES.get(f.dataType.simpleString()) != kinds[f.name]
+    }
+    return f"types {wrong}" if wrong else None
