@@ -423,7 +423,7 @@ from customer full join last on c_custkey = o_custkey
 where o_custkey is null or o_orderstatus <> 'P'""",
     "atomic_publish": f"with {HISTORY_SILVER},{dims('history')} {fact('history')}",
     "load_audit": f"""with {SILVER},{dims()}
-select 1 as version, 'silver' as table_name, 'append' as action, count(*) as row_count from silver
+select 1::bigint as version, 'silver' as table_name, 'append' as action, count(*) as row_count from silver
 union all select 2, 'dim_customer', 'replace', count(*) from dim_customer
 union all select 2, 'dim_merchant', 'replace', count(*) from dim_merchant
 union all select 2, 'dim_date', 'replace', count(*) from dim_date

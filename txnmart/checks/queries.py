@@ -16,7 +16,7 @@ from txnmart.plans import mart
 from txnmart.schemas import COLUMNS, ID, TRANSACTION
 from txnmart.scratch import scratch_path, scratch_root, staged
 from txnmart.sinks import jdbc
-from txnmart.sinks.store import APPEND, MartStore
+from txnmart.sinks.store import MartStore
 from txnmart.sources import files, synthetic
 from txnmart.sources.testtables import (
     before,
@@ -77,13 +77,6 @@ def database(spark: SparkSession) -> jdbc.JdbcTarget:
     )
 
 
-# Column types of the transaction table in a database.
-TRANSACTION_DDL = (
-    "transaction_id BIGINT, customer_name VARCHAR(200), customer_email VARCHAR(200), "
-    "merchant_name VARCHAR(200), transaction_amount DOUBLE, transaction_date DATE"
-)
-
-
 def database_table() -> str:
     return f"transactions_{uuid.uuid4().hex[:12]}"
 
@@ -133,7 +126,7 @@ def curated_replace(spark, sf_dir):
 def jdbc_append(spark, sf_dir):
     """Load the history, then append what the whole feed adds to it."""
     feed, target, name = staged_silver(spark, sf_dir), database(spark), database_table()
-    jdbc.create(feed, target, name, TRANSACTION_DDL)
+    jdbc.create(feed, target, name)
     jdbc.append(before(feed, HISTORY_END), target, name)
     jdbc.append(feed, target, name, key=ID)
     return jdbc.jdbc_table(spark, target, name, split_by=ID)
@@ -143,7 +136,7 @@ def jdbc_append(spark, sf_dir):
 def jdbc_full_reload(spark, sf_dir):
     """Replace loaded history by the whole feed; an empty load then changes nothing."""
     feed, target, name = staged_silver(spark, sf_dir), database(spark), database_table()
-    jdbc.create(feed, target, name, TRANSACTION_DDL)
+    jdbc.create(feed, target, name)
     jdbc.full_reload(before(feed, HISTORY_END), target, name)
     jdbc.full_reload(feed, target, name)
     jdbc.full_reload(feed.where(F.lit(False)), target, name)
@@ -153,7 +146,7 @@ def jdbc_full_reload(spark, sf_dir):
 @query
 def jdbc_table_count(spark, sf_dir):
     feed, target, name = staged_silver(spark, sf_dir), database(spark), database_table()
-    jdbc.create(feed, target, name, TRANSACTION_DDL)
+    jdbc.create(feed, target, name)
     empty = jdbc.is_empty(spark, target, name)
     jdbc.append(feed, target, name)
     return jdbc.table_count(spark, target, name).withColumn("empty_before", F.lit(empty))
@@ -279,7 +272,7 @@ def incremental_merge(spark, sf_dir):
     store = new_store(spark)
     store.append(mart.SILVER, before(feed, HISTORY_END))
     for batch in (feed, feed, feed.where(F.lit(False))):
-        mart._append_new(store, mart.SILVER, batch)
+        mart.append_new(store, mart.SILVER, batch)
     return store.read(mart.SILVER)
 
 
@@ -388,7 +381,7 @@ def two_loads(spark: SparkSession, sf_dir: str) -> tuple[MartStore, list[mart.St
     store = new_store(spark)
     results = []
     for batch in (before(feed, FIRST_MONTH_END), feed, feed):
-        mart._append_new(store, mart.SILVER, batch)
+        mart.append_new(store, mart.SILVER, batch)
         results.append(mart.load_incremental(store, LOAD_TS))
     return store, results
 
@@ -541,7 +534,7 @@ def atomic_publish(spark, sf_dir):
     store = new_store(spark)
     store.append(mart.SILVER, before(feed, HISTORY_END))
     mart.load(store, LOAD_TS)
-    mart._append_new(store, mart.SILVER, feed)
+    mart.append_new(store, mart.SILVER, feed)
 
     def die(written: str) -> None:
         if written == mart.FACT:
@@ -632,8 +625,10 @@ def stream_ingest(spark, sf_dir):
 
 @query
 def stream_daily_totals(spark, sf_dir):
-    path = f"{sf_dir}/events.parquet"
-    events = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    # A pattern, since a stream reads folders or patterns, not a single file.
+    schema = table(spark, sf_dir, "events").schema
+    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet")
+    events = events.withColumn("ts", stream_totals.utc_instant(F.col("ts")))
     out = scratch_path(spark, "stream-totals")
     totals = stream_totals.daily_totals_stream(events, "1 hour")
     stream_totals.write_available(totals, out, scratch_path(spark, "stream-state"))

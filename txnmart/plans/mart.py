@@ -3,20 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from txnmart.functions.cleaning import clean
 from txnmart.operators.delta import new_rows
-from txnmart.operators.dims import DIMENSIONS
+from txnmart.operators.dims import DIMENSIONS, Dimension
 from txnmart.operators.facts import fact_transactions
-from txnmart.schemas import COLUMNS, ID
+from txnmart.schemas import COLUMNS
 from txnmart.scratch import staged
 from txnmart.sinks.jdbc import JdbcTarget, full_reload
-from txnmart.sinks.store import APPEND, MartStore
-from txnmart.sources.files import csv_scan, if_present
+from txnmart.sinks.store import APPEND, MartStore, Written
+from txnmart.sources.files import csv_scan, path_exists
 
 RAW, SILVER, FACT = "raw", "silver", "fact_transactions"
 
@@ -46,7 +46,8 @@ class StepResult:
 
 def ingest(store: MartStore, csv_path: str) -> StepResult:
     """CSV to the raw table, replacing it: one scan, counted while it is written."""
-    return ingest_frame(store, if_present(lambda: csv_scan(store.spark, csv_path)))
+    present = path_exists(store.spark, csv_path)
+    return ingest_frame(store, csv_scan(store.spark, csv_path) if present else None)
 
 
 def ingest_frame(store: MartStore, feed: DataFrame | None) -> StepResult:
@@ -60,20 +61,23 @@ def ingest_frame(store: MartStore, feed: DataFrame | None) -> StepResult:
 
 def raw_incremental(store: MartStore, feed: DataFrame | None) -> StepResult:
     """Append to the raw table only the rows whose id it lacks."""
-    return _append_new(store, RAW, feed)
+    return append_new(store, RAW, feed)
 
 
 def transform(store: MartStore) -> StepResult:
     """Clean the raw table and append what is new to silver."""
     raw = store.read(RAW)
-    return _append_new(store, SILVER, None if raw is None else clean(raw.select(COLUMNS)))
+    return append_new(store, SILVER, None if raw is None else clean(raw.select(COLUMNS)))
 
 
-def _append_new(store: MartStore, table: str, batch: DataFrame | None) -> StepResult:
+def append_new(store: MartStore, table: str, batch: DataFrame | None) -> StepResult:
+    """Append the rows of a batch whose id the table lacks; all of them to an empty or
+    missing table. With none, the table and its version stay as they are."""
     if batch is None:
         return StepResult(SKIPPED_NO_SOURCE)
-    existing = store.read(table)
-    if existing is not None and store.rows(table) > 0:
+    mart = store.at()
+    existing = mart.read(table)
+    if mart.rows(table) > 0:
         batch = new_rows(batch, existing)
     delta = store.write(table, batch, APPEND)
     if delta.rows:
@@ -93,16 +97,20 @@ def load(
     with each table's name once it is written; whatever it raises stops the load, and
     readers keep the version before.
     """
-    silver = store.read(SILVER)
+    mart = store.at()
+    silver = mart.read(SILVER)
     if silver is None:
         return StepResult(SKIPPED_NO_SOURCE)
-    if store.rows(SILVER) == 0:
+    if mart.rows(SILVER) == 0:
         return StepResult(SKIPPED_EMPTY)
     done = after_write or (lambda table: None)
-    dims = []
-    for dimension in DIMENSIONS:
-        dims.append(store.write(dimension.table, dimension.build(silver)))
+
+    def build(dimension: Dimension) -> Written:
+        written = store.write(dimension.table, dimension.build(silver))
         done(dimension.table)
+        return written
+
+    dims = _for_each_dimension(build)
     star = [store.written(w) for w in dims]
     fact = store.write(FACT, fact_transactions(silver, *star, load_ts, by_email=by_email))
     done(FACT)
@@ -115,24 +123,31 @@ def load_incremental(store: MartStore, load_ts: str) -> StepResult:
     Known members keep their ids; new ones are numbered on from the last. With no fact
     yet, or an empty one, this is a full :func:`load`.
     """
-    silver = store.read(SILVER)
+    mart = store.at()
+    silver = mart.read(SILVER)
     if silver is None:
         return StepResult(SKIPPED_NO_SOURCE)
-    fact = store.read(FACT)
-    if fact is None or store.rows(FACT) == 0:
+    if mart.rows(FACT) == 0:
         return load(store, load_ts)
+    fact = mart.read(FACT)
     batch = staged(new_rows(silver, fact), "unloaded")
     if batch.isEmpty():
         return StepResult(UNCHANGED)
-    writes, star = [], []
-    for dimension in DIMENSIONS:
-        known = store.read(dimension.table)
-        added = store.write(dimension.table, dimension.additions(batch, known), APPEND)
-        star.append(known.unionByName(store.written(added)) if added.rows else known)
-        if added.rows:
-            writes.append(added)
+
+    def extend(dimension: Dimension) -> Written:
+        additions = dimension.additions(batch, mart.read(dimension.table))
+        return store.write(dimension.table, additions, APPEND)
+
+    added = _for_each_dimension(extend)
+    star = [mart.read(w.table).unionByName(store.written(w)) for w in added]
     delta = store.write(FACT, fact_transactions(batch, *star, load_ts), APPEND)
-    return StepResult(LOADED, delta.rows, store.commit(*writes, delta))
+    return StepResult(LOADED, delta.rows, store.commit(*[w for w in added if w.rows], delta))
+
+
+def _for_each_dimension(work: Callable[[Dimension], Written]) -> list[Written]:
+    """Run the dimensions' jobs side by side: they share nothing but the cluster."""
+    with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
+        return list(pool.map(work, DIMENSIONS))
 
 
 def run(store: MartStore, csv_path: str, load_ts: str) -> StepResult:
@@ -147,14 +162,8 @@ def run(store: MartStore, csv_path: str, load_ts: str) -> StepResult:
 def load_database(store: MartStore, target: JdbcTarget, schema: str) -> dict[str, int]:
     """Send the published star to the database, dimensions before the fact that points at
     them. Returns the rows sent per table."""
-    tables = [d.table for d in DIMENSIONS] + [FACT]
-    version = store.version()
+    mart = store.at()
     return {
-        t: full_reload(store.read(t, version), target, f"{schema}.{t}", cascade=True)
-        for t in tables
+        t: full_reload(mart.read(t), target, f"{schema}.{t}" if schema else t, cascade=True)
+        for t in [d.table for d in DIMENSIONS] + [FACT]
     }
-
-
-def quarantine_missing_ids(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows with an id, rows without): the latter would be new again on every run."""
-    return df.where(F.col(ID).isNotNull()), df.where(F.col(ID).isNull())

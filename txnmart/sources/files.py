@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -31,14 +30,11 @@ def parquet_scan(
     return reader.parquet(path)
 
 
-def if_present(read) -> DataFrame | None:
-    """Run a reader; None when its path does not exist. Any other error is raised."""
-    try:
-        return read()
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path (or a pattern) names anything, on whatever file system it is."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(hadoop)
+    return found is not None and len(found) > 0
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnmart.schemas import MONEY
 
 
+def utc_instant(ts: Column) -> Column:
+    """The instant at which UTC clocks show a zone-less time, whatever the session's zone:
+    watermarks need instants, and windows of a day start at midnight UTC."""
+    return F.from_utc_timestamp(ts.cast("timestamp"), F.current_timezone())
+
+
 def daily_totals_stream(
     events: DataFrame, lateness: str, ts: str = "ts", amount: str = "value"
 ) -> DataFrame:
-    """Per day, events and total amount. A day is final once the newest event is
+    """Per UTC day, events and total amount. A day is final once the newest event is
     ``lateness`` past its end; events later than that are left out."""
     day = F.window(ts, "1 day")
     return (
@@ -22,7 +28,9 @@ def daily_totals_stream(
             F.sum(F.col(amount).cast(MONEY)).alias("total"),
         )
         .select(
-            F.col("window.start").cast("date").alias("day"),
+            F.date_from_unix_date(
+                F.floor(F.unix_seconds("window.start") / 86400).cast("int")
+            ).alias("day"),
             "transactions",
             F.col("total").cast("double").alias("total_amount"),
         )
