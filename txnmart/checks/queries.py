@@ -334,10 +334,14 @@ def mart_end_to_end(spark, sf_dir):
 
 
 def spend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = staged_silver(spark, sf_dir)
-    customers, merchants, dates = star(feed)
-    fact = facts.fact_transactions(feed, customers, merchants, dates, LOAD_TS)
-    return reports.monthly_spend(fact, customers, dates)
+    """Monthly spend from a published star."""
+    store = new_store(spark)
+    store.append(mart.SILVER, silver(spark, sf_dir))
+    mart.load(store, LOAD_TS)
+    published = store.at()
+    return reports.monthly_spend(
+        *[published.read(t) for t in (mart.FACT, dims.CUSTOMER.table, dims.DATE.table)]
+    )
 
 
 @query

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnmart.schemas import ID
@@ -13,17 +13,24 @@ def new_rows(batch: DataFrame, existing: DataFrame, key: str = ID) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``existing``.
 
     Repeats inside the batch all survive, and a NULL key never matches, so its row is
-    always new. ``existing`` is scanned for its key alone.
+    always new. ``existing`` is scanned for its key alone, and only where its files'
+    statistics overlap the batch's range of keys: with ids that grow over time, old files
+    are skipped unread.
 
     No key can overload a task, however often it repeats. Both sides shrink to distinct
     keys (combined before the shuffle) to find the keys in both; where the batch's keys
     are small enough to broadcast, Spark moves that semi join below the distinct and the
     existing table is not shuffled at all. The keys in both are written out, so the last
     join is between two plain shuffles: the shape in which adaptive execution splits the
-    batch's hot or NULL keys over several tasks.
+    batch's hot or NULL keys over several tasks. The batch is read three times and should
+    be a table, or a projection of one.
     """
+    low, high = batch.agg(F.min(key), F.max(key)).first()
+    if low is None:
+        return batch
     keys_in_both = (
         existing.select(key)
+        .where(F.col(key).between(F.lit(low), F.lit(high)))
         .distinct()
         .join(batch.select(key).distinct(), key, "left_semi")
     )
@@ -46,11 +53,10 @@ def dedup_batch(batch: DataFrame, key: str = ID) -> DataFrame:
     """One row per key: the least by all other columns, NULLs first, so every run keeps
     the same row. Rows with a NULL key are no duplicates of each other and all stay.
 
-    ``min`` over a struct combines before the shuffle, so a key repeated a billion times
-    reaches its task as one row per input partition.
+    The rank filter keeps one row per key in each task before the shuffle, so a key
+    repeated a billion times reaches its task as one row per input partition.
     """
-    rest = [c for c in batch.columns if c != key]
+    least = Window.partitionBy(key).orderBy(*[c for c in batch.columns if c != key])
     keyed = batch.where(F.col(key).isNotNull())
-    least = keyed.groupBy(key).agg(F.min(F.struct(*rest)).alias("least"))
-    kept = least.select(key, *[F.col("least")[c].alias(c) for c in rest]).select(batch.columns)
+    kept = keyed.withColumn("_n", F.row_number().over(least)).where("_n = 1").drop("_n")
     return kept.unionByName(batch.where(F.col(key).isNull()))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnmart.functions.cleaning import date_parts
@@ -14,11 +14,13 @@ from txnmart.operators.keys import dense_key
 def first_per_key(df: DataFrame, key: str, value: str) -> DataFrame:
     """The least ``value`` per ``key``; a NULL value is least and NULL is one key.
 
-    A struct is never NULL, so ``min`` sees the NULL values a plain ``min`` would skip.
+    Distinct pairs are hashed down first, before the shuffle and after. The rank filter
+    then keeps one row per key in each task before its shuffle too, so a key held by a
+    third of all rows, or with a million values, reaches no task as a whole.
     """
-    return (
-        df.groupBy(key).agg(F.min(F.struct(value)).alias("first")).select(f"first.{value}", key)
-    )
+    first = Window.partitionBy(key).orderBy(value)
+    ranked = df.select(value, key).distinct().withColumn("_n", F.row_number().over(first))
+    return ranked.where("_n = 1").drop("_n")
 
 
 def customer_members(silver: DataFrame) -> DataFrame:

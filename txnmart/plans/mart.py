@@ -114,23 +114,26 @@ def load(
     star = [store.written(w) for w in dims]
     fact = store.write(FACT, fact_transactions(silver, *star, load_ts, by_email=by_email))
     done(FACT)
-    return StepResult(LOADED, fact.rows, store.commit(*dims, fact))
+    return StepResult(LOADED, fact.rows, store.commit(*dims, fact, base=mart.version))
 
 
 def load_incremental(store: MartStore, load_ts: str) -> StepResult:
     """Extend the published star by the silver rows its fact lacks.
 
-    Known members keep their ids; new ones are numbered on from the last. With no fact
-    yet, or an empty one, this is a full :func:`load`.
+    Only silver rows added after the version the fact was computed from are looked at, and
+    of those the ones whose id the fact does not have. Known members keep their ids; new
+    ones are numbered on from the last. With no fact yet, or an empty one, this is a full
+    :func:`load`.
     """
     mart = store.at()
-    silver = mart.read(SILVER)
-    if silver is None:
+    if mart.read(SILVER) is None:
         return StepResult(SKIPPED_NO_SOURCE)
     if mart.rows(FACT) == 0:
         return load(store, load_ts)
-    fact = mart.read(FACT)
-    batch = staged(new_rows(silver, fact), "unloaded")
+    added_since = mart.read(SILVER, since=mart.base(FACT))
+    if added_since is None:
+        return StepResult(UNCHANGED)
+    batch = staged(new_rows(added_since, mart.read(FACT)), "unloaded")
     if batch.isEmpty():
         return StepResult(UNCHANGED)
 
@@ -141,7 +144,8 @@ def load_incremental(store: MartStore, load_ts: str) -> StepResult:
     added = _for_each_dimension(extend)
     star = [mart.read(w.table).unionByName(store.written(w)) for w in added]
     delta = store.write(FACT, fact_transactions(batch, *star, load_ts), APPEND)
-    return StepResult(LOADED, delta.rows, store.commit(*[w for w in added if w.rows], delta))
+    tables = [*(w for w in added if w.rows), delta]
+    return StepResult(LOADED, delta.rows, store.commit(*tables, base=mart.version))
 
 
 def _for_each_dimension(work: Callable[[Dimension], Written]) -> list[Written]:
