@@ -1,0 +1,55 @@
+"""Casting, standardising and defaults, on rows made by hand."""
+
+import datetime as dt
+
+from helpers import frame, text, txn, values
+
+from txnmart.functions import cleaning
+
+
+def test_values_that_do_not_parse_become_null(spark):
+    rows = text(spark, ("x", "n", "e", "m", "abc", "2024-13-01"), ("7", "n", "e", "m", "1.5", "2024-01-07"))
+    cast = cleaning.cast_project(rows)
+    assert values(cast) == sorted(
+        [(None, "n", "e", "m", None, None), (7, "n", "e", "m", 1.5, dt.date(2024, 1, 7))], key=str
+    )
+
+
+def test_trim_and_upper_keep_email_case(spark):
+    row = cleaning.clean(text(spark, ("1", "  ann b ", " A.b@X.org ", " shop ", "1", "2024-01-07"))).first()
+    assert (row.customer_name, row.customer_email, row.merchant_name) == ("ANN B", "A.b@X.org", "SHOP")
+
+
+def test_blank_is_empty_after_cleaning_and_null_after_null_handling(spark):
+    cleaned = cleaning.clean(text(spark, ("1", "   ", None, " ", "1", "2024-01-07")))
+    row = cleaned.first()
+    assert (row.customer_name, row.customer_email, row.merchant_name) == ("", None, "")
+    row = cleaning.null_handling(cleaned).first()
+    assert (row.customer_name, row.customer_email, row.merchant_name) == (None, None, "UNKNOWN")
+    assert row.transaction_id == 1
+
+
+def test_ids_never_get_a_default(spark):
+    row = cleaning.null_handling(frame(spark, txn(None))).first()
+    assert row.transaction_id is None
+
+
+def test_sunday_is_weekday_one(spark):
+    row = cleaning.date_parts(frame(spark, txn(1, day="2024-01-07")), quarter=True).first()
+    assert (row.year, row.month, row.day, row.weekday, row.quarter) == (2024, 1, 7, 1, 1)
+
+
+def test_load_timestamp_is_what_was_passed(spark):
+    for zone in ("UTC", "Asia/Tokyo"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        row = cleaning.with_load_timestamp(frame(spark, txn(1)), "2026-03-12 08:00:00").first()
+        assert row.load_timestamp == dt.datetime(2026, 3, 12, 8)
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_enrichment_rounds_half_up_to_cents(spark):
+    rows = spark.createDataFrame(
+        [(0.05, 0.10, 0.0), (100.0, 0.1, 0.08)], "transaction_amount double, discount double, tax double"
+    )
+    got = [(str(r.net_amount), str(r.gross_amount)) for r in cleaning.enrich_tax_discount(rows).collect()]
+    assert got == [("0.05", "0.05"), ("90.00", "97.20")]
