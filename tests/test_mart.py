@@ -1,0 +1,165 @@
+"""The daily jobs, including what earlier runs are known to get wrong."""
+
+import pytest
+from helpers import frame, txn, values
+
+from txnmart.plans import mart
+from txnmart.sources.files import write_csv
+
+LOAD_TS = "2026-03-12 08:00:00"
+
+
+def csv(spark, tmp_path, *rows, name="feed"):
+    path = str(tmp_path / name)
+    write_csv(frame(spark, *rows).coalesce(1), path)
+    return path
+
+
+def silver(store):
+    return values(store.read(mart.SILVER))
+
+
+def test_clean_values_reach_the_output(spark, store, tmp_path):
+    path = csv(spark, tmp_path, txn(1, " ann ", " a@X.org ", "foo, inc "), txn(2, "Bob", "b@x.org", 'say "hi"'))
+    assert mart.run(store, path, LOAD_TS).rows == 2
+    assert silver(store) == values(
+        frame(spark, txn(1, "ANN", "a@X.org", "FOO, INC"), txn(2, "BOB", "b@x.org", 'SAY "HI"'))
+    )
+    assert store.read("dim_customer").count() == 2
+    assert store.read(mart.FACT).where("customer_id is null").count() == 0
+
+
+def test_missing_source_is_a_result_not_a_crash(store, tmp_path):
+    result = mart.ingest(store, str(tmp_path / "nothing"))
+    assert result.status == mart.SKIPPED_NO_SOURCE
+    with pytest.raises(mart.StepSkipped):
+        result.require()
+    assert mart.run(store, str(tmp_path / "nothing"), LOAD_TS).status == mart.SKIPPED_NO_SOURCE
+    assert mart.transform(store).status == mart.SKIPPED_NO_SOURCE
+    assert mart.load(store, LOAD_TS).status == mart.SKIPPED_NO_SOURCE
+    assert store.at().version == 0
+
+
+def test_empty_source_changes_nothing(spark, store, tmp_path):
+    mart.run(store, csv(spark, tmp_path, txn(1)), LOAD_TS)
+    version = store.at().version
+    assert mart.ingest(store, csv(spark, tmp_path, name="empty")).status == mart.SKIPPED_EMPTY
+    assert store.at().version == version
+    assert store.read(mart.RAW).count() == 1
+
+
+def test_nothing_new_leaves_the_table_alone(spark, store):
+    feed = frame(spark, *[txn(i) for i in range(10)])
+    assert mart.append_new(store, mart.SILVER, feed).rows == 10
+    assert mart.append_new(store, mart.SILVER, feed) == mart.StepResult(mart.UNCHANGED)
+    assert mart.append_new(store, mart.SILVER, frame(spark)).status == mart.UNCHANGED
+    assert store.read(mart.SILVER).count() == 10
+    assert store.at().version == 1
+
+
+def test_empty_existing_table_takes_the_whole_batch(spark, store):
+    store.publish({mart.SILVER: frame(spark)})
+    assert mart.append_new(store, mart.SILVER, frame(spark, txn(1), txn(1))).rows == 2
+    assert store.read(mart.SILVER).count() == 2
+
+
+def test_ingest_again_replaces_raw_and_transform_appends(spark, store, tmp_path):
+    mart.ingest(store, csv(spark, tmp_path, txn(1), txn(2), name="one"))
+    assert mart.transform(store).rows == 2
+    mart.ingest(store, csv(spark, tmp_path, txn(2), txn(3), name="two"))
+    assert store.read(mart.RAW).count() == 2
+    assert mart.transform(store).rows == 1
+    assert [r[0] for r in silver(store)] == [1, 2, 3]
+
+
+def test_bad_fields_are_null_in_silver_and_kept_in_raw(spark, store, tmp_path):
+    path = tmp_path / "bad.csv"
+    path.write_text(
+        "transaction_id,customer_name,customer_email,merchant_name,transaction_amount,transaction_date\n"
+        'x,ann,a@x.org,"Foo, Inc",1.5,2024-01-07\n'
+        "2,bob,,shop,abc,2024-13-01\n"
+        '3,eve,e@x.org,"say ""hi""",2.5,2024-01-07\n'
+    )
+    mart.ingest(store, str(path)).require()
+    mart.transform(store).require()
+    rows = {r.customer_name: r for r in store.read(mart.SILVER).collect()}
+    assert rows["ANN"].transaction_id is None and rows["ANN"].merchant_name == "FOO, INC"
+    assert rows["BOB"].transaction_amount is None and rows["BOB"].transaction_date is None
+    assert rows["BOB"].customer_email is None
+    assert rows["EVE"].merchant_name == 'SAY "HI"'
+    assert store.read(mart.RAW).where("_corrupt_record is not null").count() == 2
+
+
+def test_dead_load_leaves_the_last_star(spark, store):
+    mart.append_new(store, mart.SILVER, frame(spark, txn(1)))
+    mart.load(store, LOAD_TS)
+    mart.append_new(store, mart.SILVER, frame(spark, txn(2, "BOB", "b@x.org")))
+    for table in ("dim_customer", "dim_merchant", "dim_date", mart.FACT):
+
+        def die(written, table=table):
+            if written == table:
+                raise OSError(table)
+
+        with pytest.raises(OSError, match=table):
+            mart.load(store, LOAD_TS, after_write=die)
+        assert store.read("dim_customer").count() == store.read(mart.FACT).count() == 1
+    assert mart.load(store, LOAD_TS).rows == 2
+
+
+def star(store):
+    """The fact with its ids resolved back to business keys."""
+    at = store.at()
+    return values(
+        at.read(mart.FACT)
+        .join(at.read("dim_customer"), "customer_id", "left")
+        .join(at.read("dim_merchant"), "merchant_id", "left")
+        .join(at.read("dim_date"), "date_id", "left")
+        .select("transaction_id", "customer_name", "customer_email", "merchant_name", "transaction_date")
+    )
+
+
+def test_batches_give_the_same_star_as_one_load(spark, store, tmp_path):
+    from txnmart.sinks.store import MartStore
+
+    rows = [
+        txn(i, f"N{i % 4}", f"e{i % 4}@x.org", f"M{i % 3}", day=f"2024-01-{1 + i % 9:02d}")
+        for i in range(30)
+    ]
+    for part in (rows[:7], rows[:20], rows[:20], rows):
+        mart.append_new(store, mart.SILVER, frame(spark, *part))
+        mart.load_incremental(store, LOAD_TS)
+    whole = MartStore(spark, str(tmp_path / "whole"))
+    mart.append_new(whole, mart.SILVER, frame(spark, *rows))
+    mart.load(whole, LOAD_TS)
+    assert star(store) == star(whole)
+    for table, id_col in [("dim_customer", "customer_id"), ("dim_merchant", "merchant_id"), ("dim_date", "date_id")]:
+        ids = sorted(r[id_col] for r in store.read(table).collect())
+        assert ids == list(range(1, len(ids) + 1))
+    assert mart.load_incremental(store, LOAD_TS).status == mart.UNCHANGED
+
+
+def test_rows_appended_while_a_load_runs_are_loaded_next_time(spark, store):
+    mart.append_new(store, mart.SILVER, frame(spark, txn(1)))
+
+    def late(written):
+        if written == mart.FACT:
+            store.append(mart.SILVER, frame(spark, txn(2)))
+
+    mart.load(store, LOAD_TS, after_write=late)
+    assert store.read(mart.FACT).count() == 1
+    assert mart.load_incremental(store, LOAD_TS).rows == 1
+    assert [r.transaction_id for r in store.read(mart.FACT).orderBy("transaction_id").collect()] == [1, 2]
+
+
+def test_ingest_incremental(spark, store, tmp_path):
+    one, two = (csv(spark, tmp_path, *rows, name=str(len(rows))) for rows in ([txn(1)], [txn(1), txn(2)]))
+    assert [mart.ingest_incremental(store, p).rows for p in (one, two, two)] == [1, 1, 0]
+    assert mart.ingest_incremental(store, str(tmp_path / "nothing")).status == mart.SKIPPED_NO_SOURCE
+    assert mart.transform(store).rows == 2
+
+
+def test_raw_incremental(spark, store):
+    assert mart.raw_incremental(store, frame(spark, txn(1))).rows == 1
+    assert mart.raw_incremental(store, frame(spark, txn(1), txn(2))).rows == 1
+    assert mart.raw_incremental(store, frame(spark, txn(1))).status == mart.UNCHANGED
+    assert mart.raw_incremental(store, None).status == mart.SKIPPED_NO_SOURCE

@@ -59,6 +59,13 @@ def ingest_frame(store: MartStore, feed: DataFrame | None) -> StepResult:
     return StepResult(LOADED, raw.rows, store.commit(raw))
 
 
+def ingest_incremental(store: MartStore, csv_path: str) -> StepResult:
+    """CSV to the raw table, adding only rows whose id it lacks; parsed once."""
+    if not path_exists(store.spark, csv_path):
+        return StepResult(SKIPPED_NO_SOURCE)
+    return raw_incremental(store, staged(csv_scan(store.spark, csv_path), "feed"))
+
+
 def raw_incremental(store: MartStore, feed: DataFrame | None) -> StepResult:
     """Append to the raw table only the rows whose id it lacks."""
     return append_new(store, RAW, feed)
