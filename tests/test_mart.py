@@ -83,13 +83,27 @@ def test_bad_fields_are_null_in_silver_and_kept_in_raw(spark, store, tmp_path):
     mart.ingest(store, str(path)).require()
     mart.transform(store).require()
     rows = {r.customer_name: r for r in store.read(mart.SILVER).collect()}
-    assert rows["ANN"].transaction_id is None and rows["ANN"].merchant_name == "FOO, INC"
+    assert set(rows) == {"BOB", "EVE"}
+    lost = store.read(mart.QUARANTINE).collect()
+    assert [(r.transaction_id, r.customer_name, r.merchant_name) for r in lost] == [(None, "ANN", "FOO, INC")]
     assert rows["BOB"].transaction_amount is None and rows["BOB"].transaction_date is None
     assert rows["BOB"].customer_email is None
     assert rows["EVE"].merchant_name == 'SAY "HI"'
     assert store.read(mart.RAW).where("_corrupt_record is not null").count() == 2
 
 
+def test_rows_without_an_id_are_set_aside_not_repeated(spark, store):
+    feed = frame(spark, txn(1), txn(None), txn(None))
+    for expected in (mart.LOADED, mart.UNCHANGED, mart.UNCHANGED):
+        mart.ingest_frame(store, feed)
+        assert mart.transform(store).status == expected
+        assert store.read(mart.SILVER).count() == 1
+        assert store.read(mart.QUARANTINE).count() == 2
+    mart.ingest_frame(store, frame(spark, txn(1), txn(2)))
+    assert mart.transform(store).rows == 1
+    assert store.read(mart.QUARANTINE).count() == 0
+
+
 def test_dead_load_leaves_the_last_star(spark, store):
     mart.append_new(store, mart.SILVER, frame(spark, txn(1)))
     mart.load(store, LOAD_TS)

@@ -7,18 +7,19 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from txnmart.functions.cleaning import clean
 from txnmart.operators.delta import new_rows
 from txnmart.operators.dims import DIMENSIONS, Dimension
 from txnmart.operators.facts import fact_transactions
-from txnmart.schemas import COLUMNS
+from txnmart.schemas import COLUMNS, ID
 from txnmart.scratch import staged
 from txnmart.sinks.jdbc import JdbcTarget, full_reload
-from txnmart.sinks.store import APPEND, MartStore, Written
+from txnmart.sinks.store import APPEND, MartStore, Snapshot, Written
 from txnmart.sources.files import csv_scan, path_exists
 
-RAW, SILVER, FACT = "raw", "silver", "fact_transactions"
+RAW, SILVER, QUARANTINE, FACT = "raw", "silver", "silver_quarantine", "fact_transactions"
 
 LOADED = "LOADED"
 UNCHANGED = "UNCHANGED"
@@ -72,9 +73,21 @@ def raw_incremental(store: MartStore, feed: DataFrame | None) -> StepResult:
 
 
 def transform(store: MartStore) -> StepResult:
-    """Clean the raw table and append what is new to silver."""
-    raw = store.read(RAW)
-    return append_new(store, SILVER, None if raw is None else clean(raw.select(COLUMNS)))
+    """Clean the raw table and append what is new to silver.
+
+    Rows without an id would be new on every run; they are set aside in the quarantine
+    table, which shows those of the present raw table.
+    """
+    mart = store.at()
+    raw = mart.read(RAW)
+    if raw is None:
+        return StepResult(SKIPPED_NO_SOURCE)
+    cleaned = clean(raw.select(COLUMNS))
+    delta = _write_new(store, mart, SILVER, cleaned.where(F.col(ID).isNotNull()))
+    lost = store.write(QUARANTINE, cleaned.where(F.col(ID).isNull()))
+    if lost.rows or mart.rows(QUARANTINE):
+        return _commit_new(store, mart, delta, lost)
+    return _commit_new(store, mart, delta)
 
 
 def append_new(store: MartStore, table: str, batch: DataFrame | None) -> StepResult:
@@ -83,13 +96,25 @@ def append_new(store: MartStore, table: str, batch: DataFrame | None) -> StepRes
     if batch is None:
         return StepResult(SKIPPED_NO_SOURCE)
     mart = store.at()
-    existing = mart.read(table)
+    return _commit_new(store, mart, _write_new(store, mart, table, batch))
+
+
+def _write_new(store: MartStore, mart: Snapshot, table: str, batch: DataFrame) -> Written:
     if mart.rows(table) > 0:
-        batch = new_rows(batch, existing)
-    delta = store.write(table, batch, APPEND)
+        batch = new_rows(batch, mart.read(table))
+    return store.write(table, batch, APPEND)
+
+
+def _commit_new(
+    store: MartStore, mart: Snapshot, delta: Written, aside: Written | None = None
+) -> StepResult:
+    tables = [delta] if delta.rows else []
+    if aside:
+        tables.append(aside)
+    version = store.commit(*tables, base=mart.version) if tables else None
     if delta.rows:
-        return StepResult(LOADED, delta.rows, store.commit(delta))
-    return StepResult(SKIPPED_EMPTY if existing is None else UNCHANGED)
+        return StepResult(LOADED, delta.rows, version)
+    return StepResult(SKIPPED_EMPTY if mart.read(delta.table) is None else UNCHANGED)
 
 
 def load(

@@ -9,6 +9,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Parquet grows when it is read: judge a table's size for a broadcast by that.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.ui.enabled": "false",
 }
 
