@@ -24,6 +24,9 @@ from txnmart.streaming.ingest import csv_stream, ingest_available
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="txnmart", description=__doc__)
     top.add_argument("--master", help="Spark master; leave out under spark-submit")
+    top.add_argument(
+        "--conf", action="append", default=[], metavar="NAME=VALUE", help="Spark setting"
+    )
     top.add_argument("--strict", action="store_true", help="fail when a job is skipped")
     jobs = top.add_subparsers(dest="job", required=True)
 
@@ -72,7 +75,8 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
-    spark = mart_session(f"txnmart-{args.job}", args.master)
+    conf = dict(setting.split("=", 1) for setting in args.conf)
+    spark = mart_session(f"txnmart-{args.job}", args.master, **conf)
     store = MartStore(spark, args.mart) if "mart" in args else None
     result = None
     if args.job == "ingest":

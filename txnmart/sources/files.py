@@ -30,6 +30,13 @@ def parquet_scan(
     return reader.parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Let all cores work on a source that splits into fewer parts than there are cores,
+    such as one small file; anything larger is returned as it is, unshuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path (or a pattern) names anything, on whatever file system it is."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

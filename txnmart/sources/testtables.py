@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txnmart.sources.files import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -26,9 +28,14 @@ def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _lines(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    keys = ["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_shipdate"]
+    return spread(table(spark, sf_dir, "lineitem").select(*keys, *more))
+
+
 def transactions(spark: SparkSession, sf_dir: str, rates: bool = False) -> DataFrame:
     """One raw transaction per line item; ``rates`` adds its discount and tax."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = _lines(spark, sf_dir, *(["l_discount", "l_tax"] if rates else []))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     merchants = table(spark, sf_dir, "supplier").select(
         "s_suppkey", F.concat(F.lower("s_name"), F.lit(" ")).alias("merchant_name")
@@ -56,7 +63,7 @@ def text_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     and names."""
     quantity = F.col("l_quantity")
     lines = (
-        table(spark, sf_dir, "lineitem")
+        _lines(spark, sf_dir, "l_quantity")
         .join(
             table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"),
             F.col("l_orderkey") == F.col("o_orderkey"),
