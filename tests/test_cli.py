@@ -18,6 +18,8 @@ def test_generate_run_and_report(spark, tmp_path, capsys):
     assert last(capsys)["status"] == "UNCHANGED"
     assert main(["load", "--mart", mart, "--incremental"]) == 0
     assert last(capsys)["status"] == "UNCHANGED"
+    assert main(["totals", "--mart", mart]) == 0
+    assert last(capsys)["status"] == "LOADED"
     assert main(["audit", "--mart", mart]) == 0
     assert "fact_transactions" in capsys.readouterr().out
     assert main(["top-spenders", "--mart", mart, "--limit", "3"]) == 0

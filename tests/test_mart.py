@@ -177,3 +177,23 @@ def test_raw_incremental(spark, store):
     assert mart.raw_incremental(store, frame(spark, txn(1), txn(2))).rows == 1
     assert mart.raw_incremental(store, frame(spark, txn(1))).status == mart.UNCHANGED
     assert mart.raw_incremental(store, None).status == mart.SKIPPED_NO_SOURCE
+
+
+def test_totals_in_parts_equal_totals_at_once(spark, store):
+    from txnmart.operators import reports
+
+    assert mart.refresh_totals(store).status == mart.SKIPPED_NO_SOURCE
+    rows = [txn(i, amount=None if i % 5 == 0 else i / 100, day=f"2024-01-{1 + i % 4:02d}") for i in range(40)]
+
+    def same():
+        expected = values(reports.daily_totals(store.read(mart.SILVER)))
+        assert values(reports.totals_of(store.read(mart.DAY_PARTS))) == expected
+
+    for n in (10, 25, 40):
+        mart.append_new(store, mart.SILVER, frame(spark, *rows[:n]))
+        assert mart.refresh_totals(store).status == mart.LOADED
+        same()
+    assert mart.refresh_totals(store).status == mart.UNCHANGED
+    store.publish({mart.SILVER: frame(spark, *rows[:7])})
+    assert mart.refresh_totals(store).status == mart.LOADED
+    same()

@@ -11,8 +11,11 @@ import datetime as dt
 import json
 import sys
 
+from pyspark.sql import SparkSession
+
 from txnmart.operators import reports
 from txnmart.plans import mart
+from txnmart.scratch import clear_scratch
 from txnmart.session import mart_session
 from txnmart.sinks.jdbc import JdbcTarget
 from txnmart.sinks.store import MartStore
@@ -55,6 +58,7 @@ def parser() -> argparse.ArgumentParser:
     database.add_argument("--driver", default="org.postgresql.Driver")
     database.add_argument("--schema", default="finance")
     database.add_argument("--connections", type=int, default=8)
+    job("totals", "bring the daily totals up to date with silver", "mart")
     job("audit", "rows written per version and table", "mart")
     spenders = job("top-spenders", "largest monthly totals per customer", "mart")
     spenders.add_argument("--limit", type=int, default=20)
@@ -77,6 +81,13 @@ def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     conf = dict(setting.split("=", 1) for setting in args.conf)
     spark = mart_session(f"txnmart-{args.job}", args.master, **conf)
+    try:
+        return run_job(spark, args)
+    finally:
+        clear_scratch(spark)
+
+
+def run_job(spark: SparkSession, args: argparse.Namespace) -> int:
     store = MartStore(spark, args.mart) if "mart" in args else None
     result = None
     if args.job == "ingest":
@@ -87,6 +98,8 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "load":
         step = mart.load_incremental if args.incremental else mart.load
         result = step(store, args.load_time)
+    elif args.job == "totals":
+        result = mart.refresh_totals(store)
     elif args.job == "run":
         result = mart.run(store, args.source, args.load_time)
     elif args.job == "stream":

@@ -184,6 +184,18 @@ join dim_date d on f.date_id = d.date_id
 group by customer_name, d.month"""
 
 
+def totals(source: str) -> str:
+    return f"""
+  select transaction_date, transactions, total_amount, total_amount / amounts as average_amount,
+         smallest, largest
+  from (
+    select transaction_date, count(*) as transactions,
+           cast(sum(cast(transaction_amount as decimal(18,2))) as double) as total_amount,
+           count(transaction_amount) as amounts,
+           min(transaction_amount) as smallest, max(transaction_amount) as largest
+    from {source} group by transaction_date)"""
+
+
 def draw(stream: int, seed: int = 7) -> str:
     x = f"((transaction_id + {seed * 1009 + stream * 7919 + 1}) % {syn.MODULUS})"
     for _ in range(3):
@@ -332,16 +344,10 @@ from (select distinct l_orderkey * 10 + l_linenumber as transaction_id from line
     "mart_end_to_end": FULL_FACT,
     "monthly_spend": MONTHLY,
     "top_spenders": f"{MONTHLY} order by total_spent desc, customer_name, month limit {q.TOP}",
-    "daily_totals": f"""with {SILVER},
-totals as (
-  select transaction_date, count(*) as transactions,
-         cast(sum(cast(transaction_amount as decimal(18,2))) as double) as total_amount,
-         count(transaction_amount) as amounts,
-         min(transaction_amount) as smallest, max(transaction_amount) as largest
-  from silver group by transaction_date)
-select transaction_date, transactions, total_amount, total_amount / amounts as average_amount,
-       smallest, largest
-from totals""",
+    "daily_totals": f"with {SILVER} {totals('silver')}",
+    "daily_totals_incremental": f"""with {HISTORY_SILVER},
+merged as (select * from history union all ({new_rows('silver', 'history')}))
+{totals('merged')}""",
     "table_counts": f"""with {SILVER},{dims()}
 select 'dim_customer' as table_name, count(*) as row_count from dim_customer
 union all select 'dim_merchant', count(*) from dim_merchant

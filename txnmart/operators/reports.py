@@ -36,28 +36,50 @@ def top_spenders(spend: DataFrame, n: int) -> DataFrame:
     return spend.orderBy(F.desc("total_spent"), "customer_name", "month").limit(n)
 
 
-def daily_totals(silver: DataFrame) -> DataFrame:
+def day_parts(silver: DataFrame) -> DataFrame:
+    """Per day, the numbers totals are made of; parts of a table can be added up later."""
     amount = F.col("transaction_amount").cast(MONEY)
+    return silver.groupBy("transaction_date").agg(
+        F.count(F.lit(1)).alias("transactions"),
+        F.count(amount).alias("amounts"),
+        F.sum(amount).cast("decimal(38,2)").alias("total"),
+        F.min("transaction_amount").alias("smallest"),
+        F.max("transaction_amount").alias("largest"),
+    )
+
+
+def add_day_parts(parts: DataFrame, more: DataFrame) -> DataFrame:
+    """The parts of two disjoint sets of rows as those of their union."""
     return (
-        silver.groupBy("transaction_date")
+        parts.unionByName(more)
+        .groupBy("transaction_date")
         .agg(
-            F.count(F.lit(1)).alias("transactions"),
-            F.sum(amount).alias("total"),
-            F.count(amount).alias("_amounts"),
-            F.min("transaction_amount").alias("smallest"),
-            F.max("transaction_amount").alias("largest"),
-        )
-        .select(
-            "transaction_date",
-            "transactions",
-            F.col("total").cast("double").alias("total_amount"),
-            F.try_divide(F.col("total").cast("double"), "_amounts").alias("average_amount"),
-            "smallest",
-            "largest",
+            F.sum("transactions").alias("transactions"),
+            F.sum("amounts").alias("amounts"),
+            F.sum("total").cast("decimal(38,2)").alias("total"),
+            F.min("smallest").alias("smallest"),
+            F.max("largest").alias("largest"),
         )
     )
 
 
+def totals_of(parts: DataFrame) -> DataFrame:
+    total = F.col("total").cast("double")
+    return parts.select(
+        "transaction_date",
+        "transactions",
+        total.alias("total_amount"),
+        F.try_divide(total, F.col("amounts")).alias("average_amount"),
+        "smallest",
+        "largest",
+    )
+
+
+def daily_totals(silver: DataFrame) -> DataFrame:
+    """Count, sum, average, least and largest amount per day, sums exact to the cent."""
+    return totals_of(day_parts(silver))
+
+
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One labelled row count per table."""
     counts = [

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnmart.functions.cleaning import clean
+from txnmart.operators import reports
 from txnmart.operators.delta import new_rows
 from txnmart.operators.dims import DIMENSIONS, Dimension
 from txnmart.operators.facts import fact_transactions
@@ -20,6 +21,7 @@ from txnmart.sinks.store import APPEND, MartStore, Snapshot, Written
 from txnmart.sources.files import csv_scan, path_exists
 
 RAW, SILVER, QUARANTINE, FACT = "raw", "silver", "silver_quarantine", "fact_transactions"
+DAY_PARTS = "day_parts"
 
 LOADED = "LOADED"
 UNCHANGED = "UNCHANGED"
@@ -195,6 +197,25 @@ def run(store: MartStore, csv_path: str, load_ts: str) -> StepResult:
     return load(store, load_ts)
 
 
+def refresh_totals(store: MartStore) -> StepResult:
+    """Bring the stored per-day parts of the daily totals up to date by the silver rows
+    added since; only those are read. Silver that was replaced is read whole."""
+    mart = store.at()
+    if mart.read(SILVER) is None:
+        return StepResult(SKIPPED_NO_SOURCE)
+    known, since = mart.read(DAY_PARTS), mart.base(DAY_PARTS)
+    if mart.replaced_since(SILVER, since):
+        known, since = None, 0
+    added = mart.read(SILVER, since=since)
+    if added is None:
+        return StepResult(UNCHANGED)
+    parts = reports.day_parts(added)
+    if known is not None:
+        parts = reports.add_day_parts(known, parts)
+    written = store.write(DAY_PARTS, parts)
+    return StepResult(LOADED, written.rows, store.commit(written, base=mart.version))
+
+
 def load_database(store: MartStore, target: JdbcTarget, schema: str) -> dict[str, int]:
     """Send the published star to the database, dimensions before the fact that points at
     them. Returns the rows sent per table."""

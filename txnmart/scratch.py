@@ -29,9 +29,25 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_fallback[app]
 
 
+def application_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/txnmart-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path under the scratch folder that nothing else uses."""
-    return f"{scratch_root(spark)}/txnmart/{label}-{uuid.uuid4().hex}"
+    return f"{application_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application staged. Frames that still read it stop working, so
+    call this at the end of a job, when its results have been written elsewhere."""
+    delete_folder(spark, application_folder(spark))
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder through the file system it lives on."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
