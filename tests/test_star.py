@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from helpers import frame, txn, values
+from helpers import frame, settings, txn, values
 from hypothesis import HealthCheck, given
 from hypothesis import settings as hypothesis_settings
 from hypothesis import strategies as st
@@ -25,11 +25,19 @@ def test_dense_key_is_the_rank(spark, members, start):
 
 
 def test_dense_key_over_many_partitions(spark):
-    keys = spark.range(20000).selectExpr("(id * 7919) % 20011 as k")
-    wrong = dense_key(keys.repartition(16), "k", "id").selectExpr(
-        "k", "id", "row_number() over (order by k) as expected"
-    ).where("id <> expected")
-    assert wrong.count() == 0
+    keys = spark.range(20000).selectExpr("(id * 7919) % 20011 as k").repartition(16)
+    with settings(
+        spark,
+        spark__sql__shuffle__partitions="7",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+    ):
+        ranked = dense_key(keys, "k", "id").cache()
+    expected = "row_number() over (order by k) as expected"
+    assert ranked.selectExpr("k", "id", expected).where("id <> expected").count() == 0
+    ranges = ranked.rdd.mapPartitions(lambda rows: [(min(ks), max(ks)) for ks in [[r.k for r in rows]] if ks])
+    bounds = sorted(ranges.collect())
+    assert len(bounds) > 1 and all(a[1] < b[0] for a, b in zip(bounds, bounds[1:]))
+    ranked.unpersist()
 
 
 def test_first_name_per_email(spark):

@@ -58,6 +58,7 @@ def parser() -> argparse.ArgumentParser:
     database.add_argument("--driver", default="org.postgresql.Driver")
     database.add_argument("--schema", default="finance")
     database.add_argument("--connections", type=int, default=8)
+    database.add_argument("--incremental", action="store_true", help="send only new rows")
     job("totals", "bring the daily totals up to date with silver", "mart")
     job("audit", "rows written per version and table", "mart")
     spenders = job("top-spenders", "largest monthly totals per customer", "mart")
@@ -108,7 +109,7 @@ def run_job(spark: SparkSession, args: argparse.Namespace) -> int:
         result = mart.StepResult(mart.LOADED, at.rows(mart.SILVER), at.version)
     elif args.job == "load-database":
         target = JdbcTarget(args.url, args.driver, connections=args.connections)
-        print(json.dumps(mart.load_database(store, target, args.schema)))
+        print(json.dumps(mart.load_database(store, target, args.schema, args.incremental)))
     elif args.job == "audit":
         store.load_audit().orderBy("version", "table_name").show(1000, truncate=False)
     elif args.job == "top-spenders":

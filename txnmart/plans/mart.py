@@ -16,7 +16,7 @@ from txnmart.operators.dims import DIMENSIONS, Dimension
 from txnmart.operators.facts import fact_transactions
 from txnmart.schemas import COLUMNS, ID
 from txnmart.scratch import staged
-from txnmart.sinks.jdbc import JdbcTarget, full_reload
+from txnmart.sinks.jdbc import JdbcTarget, append, full_reload, is_empty
 from txnmart.sinks.store import APPEND, MartStore, Snapshot, Written
 from txnmart.sources.files import csv_scan, path_exists
 
@@ -216,11 +216,23 @@ def refresh_totals(store: MartStore) -> StepResult:
     return StepResult(LOADED, written.rows, store.commit(written, base=mart.version))
 
 
-def load_database(store: MartStore, target: JdbcTarget, schema: str) -> dict[str, int]:
+def load_database(
+    store: MartStore, target: JdbcTarget, schema: str, incremental: bool = False
+) -> dict[str, int]:
     """Send the published star to the database, dimensions before the fact that points at
-    them. Returns the rows sent per table."""
+    them. Returns the rows sent per table.
+
+    Tables are truncated and loaded again; with ``incremental``, a table that already has
+    rows only gets those whose key it lacks. That fits a star kept up by
+    :func:`load_incremental`, whose ids stay, and can be repeated after a failure.
+    """
     mart = store.at()
-    return {
-        t: full_reload(mart.read(t), target, f"{schema}.{t}" if schema else t, cascade=True)
-        for t in [d.table for d in DIMENSIONS] + [FACT]
-    }
+    keys = {**{d.table: d.id_col for d in DIMENSIONS}, FACT: ID}
+    sent = {}
+    for table, key in keys.items():
+        name = f"{schema}.{table}" if schema else table
+        if incremental and not is_empty(store.spark, target, name):
+            sent[table] = append(mart.read(table), target, name, key=key)
+        else:
+            sent[table] = full_reload(mart.read(table), target, name, cascade=not incremental)
+    return sent
