@@ -11,7 +11,8 @@ def last(capsys):
 
 def test_generate_run_and_report(spark, tmp_path, capsys):
     mart, feed = str(tmp_path / "mart"), str(tmp_path / "feed")
-    assert main(["generate", "--rows", "300", "--start", "2024-01-01", "--end", "2024-03-31", "--output", feed]) == 0
+    days = ["--start", "2024-01-01", "--end", "2024-03-31"]
+    assert main(["generate", "--rows", "300", *days, "--output", feed]) == 0
     assert main(["run", "--mart", mart, "--source", feed, "--load-time", "2026-03-12 08:00:00"]) == 0
     assert last(capsys) == {"job": "run", "status": "LOADED", "rows": 300, "version": 3}
     assert main(["ingest", "--mart", mart, "--source", feed, "--incremental"]) == 0
@@ -20,6 +21,9 @@ def test_generate_run_and_report(spark, tmp_path, capsys):
     assert last(capsys)["status"] == "UNCHANGED"
     assert main(["totals", "--mart", mart]) == 0
     assert last(capsys)["status"] == "LOADED"
+    assert main(["ingest", "--mart", mart, "--source", feed]) == 0
+    assert main(["expire", "--mart", mart, "--keep", "1"]) == 0
+    assert last(capsys) == {"job": "expire", "deleted": 1}
     assert main(["audit", "--mart", mart]) == 0
     assert "fact_transactions" in capsys.readouterr().out
     assert main(["top-spenders", "--mart", mart, "--limit", "3"]) == 0

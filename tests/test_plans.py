@@ -26,20 +26,25 @@ TINY_SKEW = {
 }
 
 
+ROWS = 300_000
+
+
 @pytest.fixture(scope="module")
 def feed(spark):
     """Transactions of which a third have one id, email, name and merchant, and a third
     NULL ids, names and emails."""
     i, kind = F.col("id"), F.col("id") % 3
     return staged(
-        spark.range(0, 60_000, 1, 6).select(
+        spark.range(0, ROWS, 1, 6).select(
             F.when(kind == 0, 0).when(kind == 1, i).alias("transaction_id"),
-            F.when(kind == 0, F.lit("HOT")).when(kind == 1, F.concat(F.lit("C"), i % 900)).alias("customer_name"),
+            F.when(kind == 0, F.lit("HOT"))
+            .when(kind == 1, F.concat(F.lit("C"), i % 900))
+            .alias("customer_name"),
             F.when(kind == 0, F.lit("hot@x.org"))
             .when(kind == 1, F.concat(F.lit("c"), i % 900, F.lit("@x.org")))
             .alias("customer_email"),
             F.when(kind == 0, F.lit("HOT")).otherwise(F.concat(F.lit("M"), i % 500)).alias("merchant_name"),
-            (i % 1000 + 1).cast("double").alias("transaction_amount"),
+            (F.abs(F.hash(i)) % 100_000 / 100 + 1).alias("transaction_amount"),
             F.date_add(F.lit("2024-01-01").cast("date"), (i % 300).cast("int")).alias("transaction_date"),
         ),
         "hot-feed",
@@ -82,9 +87,9 @@ def test_small_batch_does_not_shuffle_the_existing_table(spark, feed, monkeypatc
 
 def test_hot_and_null_keys_of_a_batch_are_split(spark, feed):
     with settings(spark, **TINY_SKEW):
-        df = delta.new_rows(feed, feed.where("transaction_id < 30000"))
+        df = delta.new_rows(feed, feed.where(f"transaction_id < {ROWS // 2}"))
         assert "SortMergeJoin(skew=true)" in final_plan(df)
-        assert df.count() == 30_000  # NULL ids and the unique ids from 30,000 on
+        assert df.count() == ROWS // 2  # NULL ids and the later half of the unique ones
 
 
 def test_hot_members_are_split_in_the_fact_joins(spark, feed, star):
@@ -92,8 +97,8 @@ def test_hot_members_are_split_in_the_fact_joins(spark, feed, star):
         df = facts.fact_transactions(feed, *star, "2026-01-01 00:00:00")
         text = final_plan(df)
         assert text.count("SortMergeJoin(skew=true)") >= 2
-        assert df.count() == 60_000
-        assert df.where("customer_id is null").count() == 20_000
+        assert df.count() == ROWS
+        assert df.where("customer_id is null").count() == ROWS // 3
 
 
 def test_hot_ids_are_split_in_the_rule_check(spark, feed):
@@ -101,7 +106,7 @@ def test_hot_ids_are_split_in_the_rule_check(spark, feed):
     with settings(spark, **TINY_SKEW):
         df = quality.tag_violations(feed, rules)
         assert "SortMergeJoin(skew=true)" in final_plan(df)
-        assert df.where("array_contains(violations, 'id_unique')").count() == 20_000
+        assert df.where("array_contains(violations, 'id_unique')").count() == ROWS // 3
 
 
 def test_small_dimensions_are_broadcast_without_a_hint(spark, feed, star):

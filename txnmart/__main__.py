@@ -61,6 +61,9 @@ def parser() -> argparse.ArgumentParser:
     database.add_argument("--incremental", action="store_true", help="send only new rows")
     job("totals", "bring the daily totals up to date with silver", "mart")
     job("audit", "rows written per version and table", "mart")
+    job("expire", "delete data only older versions use", "mart").add_argument(
+        "--keep", type=int, required=True, help="versions to keep readable"
+    )
     spenders = job("top-spenders", "largest monthly totals per customer", "mart")
     spenders.add_argument("--limit", type=int, default=20)
 
@@ -112,6 +115,8 @@ def run_job(spark: SparkSession, args: argparse.Namespace) -> int:
         print(json.dumps(mart.load_database(store, target, args.schema, args.incremental)))
     elif args.job == "audit":
         store.load_audit().orderBy("version", "table_name").show(1000, truncate=False)
+    elif args.job == "expire":
+        print(json.dumps({"job": "expire", "deleted": store.expire(args.keep)}))
     elif args.job == "top-spenders":
         at = store.at()
         star = [at.read(t) for t in (mart.FACT, "dim_customer", "dim_date")]

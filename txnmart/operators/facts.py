@@ -42,6 +42,9 @@ def fact_transactions(
     load_ts: str,
     by_email: bool = False,
 ) -> DataFrame:
+    """Customers, the dimension least likely to be small, come last: what is shuffled for
+    them then carries ids in place of merchant names and dates."""
     customer = join_customer_by_email if by_email else join_customer
-    joined = join_date(join_merchant(customer(silver, dim_customer), dim_merchant), dim_date)
+    dated = join_date(silver, dim_date).drop("transaction_date")
+    joined = customer(join_merchant(dated, dim_merchant).drop("merchant_name"), dim_customer)
     return with_load_timestamp(joined, load_ts).select(FACT.fieldNames())
