@@ -36,6 +36,26 @@ def test_a_batch_run_again_adds_nothing(spark, store):
     assert {r.customer_name for r in store.read("t").collect()} == {"ANN"}
 
 
+def test_a_batch_committed_before_a_crash_is_left_alone(spark, store):
+    batch = frame(spark, txn(None), txn(1))
+    for _ in range(2):
+        merge_batch(store, "t", batch, "stream/0")
+    assert store.read("t_quarantine").count() == 1
+    merge_batch(store, "t", batch, "stream/1")
+    assert store.read("t_quarantine").count() == 2
+    assert ids(store.read("t")) == [1]
+
+
+def test_batches_are_named_by_stream_and_number(spark, store, tmp_path):
+    for n in range(2):
+        write_csv(frame(spark, txn(n)).coalesce(1), f"{tmp_path}/in/part-{n}")
+    stream = csv_stream(spark, f"{tmp_path}/in/*", files_per_batch=1)
+    ingest_available(store, "t", stream, str(tmp_path / "state"))
+    names = [r.commit for r in store.log().orderBy("version").collect()]
+    assert [n.split("/")[1] for n in names] == ["0", "1"]
+    assert len({n.split("/")[0] for n in names}) == 1 and "None" not in names[0]
+
+
 def events(spark, path, *rows):
     spark.createDataFrame(rows, "ts timestamp_ntz, value double").coalesce(1).write.mode("append").parquet(path)
 
