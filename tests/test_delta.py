@@ -23,6 +23,12 @@ def test_null_ids_are_new_on_every_run(spark):
     assert ids(merged(table, batch)) == sorted([1, None, None], key=str)
 
 
+def test_redelivery_with_few_new_rows(spark):
+    batch = frame(spark, *[txn(i) for i in range(20)], txn(20), txn(20), txn(None))
+    assert ids(new_rows(batch, frame(spark, *[txn(i) for i in range(20)]))) == [20, 20, None]
+    assert ids(new_rows(batch, batch)) == [None]
+
+
 def test_batch_of_null_ids_only(spark):
     assert ids(new_rows(frame(spark, txn(None), txn(None)), frame(spark, txn(None)))) == [None, None]
 

@@ -68,7 +68,7 @@ def test_delta_scans_only_the_keys_in_range_of_the_existing_table(spark, feed, m
     monkeypatch.setattr(delta, "staged", lambda df, label: seen.append(df) or real(df, label))
     delta.new_rows(feed.where("transaction_id between 100 and 200"), feed)
     with settings(spark, **NO_BROADCAST):
-        text = plan(seen[0])
+        text = plan(seen[1])
     scans = re.findall(r"ReadSchema: (.*)", text)
     assert scans and all(s == "struct<transaction_id:bigint>" for s in scans)
     assert "GreaterThanOrEqual(transaction_id,100)" in text
@@ -80,7 +80,7 @@ def test_small_batch_does_not_shuffle_the_existing_table(spark, feed, monkeypatc
     real = delta.staged
     monkeypatch.setattr(delta, "staged", lambda df, label: seen.append(df) or real(df, label))
     delta.new_rows(feed.where("transaction_id < 200"), feed)
-    text = plan(seen[0])
+    text = plan(seen[1])
     # The semi join sits below the distinct: only its matches are shuffled.
     assert text.index("HashAggregate") < text.index("BroadcastHashJoin")
 
@@ -92,6 +92,19 @@ def test_hot_and_null_keys_of_a_batch_are_split(spark, feed):
         assert df.count() == ROWS // 2  # NULL ids and the later half of the unique ones
 
 
+def test_a_hot_fresh_key_of_a_redelivery_is_split(spark, feed):
+    with settings(spark, **TINY_SKEW):
+        df = delta.new_rows(feed, feed.where("transaction_id > 3"))
+        assert "SortMergeJoin(skew=true)" in final_plan(df)
+        # The hot id, the one unique id below 4, and the rows without an id.
+        assert df.count() == ROWS // 3 * 2 + 1
+
+
+def test_few_new_rows_are_found_without_shuffling_the_batch(spark, feed):
+    text = plan(delta.new_rows(feed, feed.where(f"transaction_id < {ROWS - 90}")))
+    assert "hashpartitioning" not in text and "LeftSemi" in text
+
+
 def test_hot_members_are_split_in_the_fact_joins(spark, feed, star):
     with settings(spark, **TINY_SKEW):
         df = facts.fact_transactions(feed, *star, "2026-01-01 00:00:00")

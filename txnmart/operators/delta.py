@@ -20,21 +20,30 @@ def new_rows(batch: DataFrame, existing: DataFrame, key: str = ID) -> DataFrame:
     No key can overload a task, however often it repeats. Both sides shrink to distinct
     keys (combined before the shuffle) to find the keys in both; where the batch's keys
     are small enough to broadcast, Spark moves that semi join below the distinct and the
-    existing table is not shuffled at all. The keys in both are written out, so the last
-    join is between two plain shuffles: the shape in which adaptive execution splits the
-    batch's hot or NULL keys over several tasks. The batch is read three times and should
-    be a table, or a projection of one.
+    existing table is not shuffled at all. Whole rows then meet the shorter list, of keys
+    seen before or of fresh ones: few new rows in a large redelivery, or few repeats in a
+    new batch, are found without shuffling the batch. All lists are written out, so a
+    join too large to broadcast is between two plain shuffles, the shape in which adaptive
+    execution splits the batch's hot or NULL keys over several tasks.
+
+    The batch is read twice and should be a table, or a projection of one.
     """
-    low, high = batch.agg(F.min(key), F.max(key)).first()
-    if low is None:
+    present = F.col(key).isNotNull()
+    keys = staged(batch.select(key).where(present).distinct(), "batch-keys")
+    low, high, batch_keys = keys.agg(F.min(key), F.max(key), F.count(key)).first()
+    in_range = F.col(key).between(F.lit(low), F.lit(high))
+    known = existing.select(key).where(in_range).distinct()
+    seen = staged(known.join(keys, key, "left_semi"), "seen-keys")
+    seen_keys = seen.count()
+    if seen_keys == 0:
         return batch
-    keys_in_both = (
-        existing.select(key)
-        .where(F.col(key).between(F.lit(low), F.lit(high)))
-        .distinct()
-        .join(batch.select(key).distinct(), key, "left_semi")
-    )
-    return batch.join(staged(keys_in_both, "seen-keys"), key, "left_anti").select(batch.columns)
+    if seen_keys == batch_keys:
+        return batch.where(~present)
+    if 2 * seen_keys <= batch_keys:
+        return batch.join(seen, key, "left_anti").select(batch.columns)
+    fresh = staged(keys.join(seen, key, "left_anti"), "fresh-keys")
+    new = batch.join(fresh, key, "left_semi").select(batch.columns)
+    return new.unionByName(batch.where(~present))
 
 
 def union_by_name(existing: DataFrame, new: DataFrame) -> DataFrame:
