@@ -30,6 +30,20 @@ def test_generate_run_and_report(spark, tmp_path, capsys):
     assert capsys.readouterr().out.count("CUSTOMER ") == 3
 
 
+def test_stream(spark, tmp_path, capsys):
+    mart, feed, state = (str(tmp_path / n) for n in ("mart", "feed", "state"))
+    job = ["stream", "--mart", mart, "--source", f"{feed}/*", "--state", state]
+    assert main(job) == 0
+    assert last(capsys)["status"] == "SKIPPED_NO_SOURCE"
+    for part, rows in enumerate(["40", "60"]):
+        days = ["--start", "2024-01-01", "--end", "2024-03-31"]
+        main(["generate", "--rows", rows, *days, "--output", f"{feed}/{part}"])
+        assert main(job) == 0
+        assert last(capsys)["rows"] == [40, 20][part]
+    assert main(job) == 0
+    assert last(capsys)["status"] == "UNCHANGED"
+
+
 def test_missing_source(spark, tmp_path, capsys):
     job = ["ingest", "--mart", str(tmp_path / "mart"), "--source", str(tmp_path / "no.csv")]
     assert main(job) == 0

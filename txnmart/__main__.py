@@ -19,7 +19,7 @@ from txnmart.scratch import clear_scratch
 from txnmart.session import mart_session
 from txnmart.sinks.jdbc import JdbcTarget
 from txnmart.sinks.store import MartStore
-from txnmart.sources.files import write_csv
+from txnmart.sources.files import path_exists, write_csv
 from txnmart.sources.synthetic import sequential_ids, synthetic_transactions
 from txnmart.streaming.ingest import csv_stream, ingest_available
 
@@ -91,6 +91,16 @@ def main(argv: list[str] | None = None) -> int:
         clear_scratch(spark)
 
 
+def stream(store: MartStore, source: str, state: str) -> mart.StepResult:
+    if not path_exists(store.spark, source):
+        return mart.StepResult(mart.SKIPPED_NO_SOURCE)
+    before = store.at().rows(mart.SILVER)
+    ingest_available(store, mart.SILVER, csv_stream(store.spark, source), state)
+    at = store.at()
+    rows = at.rows(mart.SILVER) - before
+    return mart.StepResult(mart.LOADED if rows else mart.UNCHANGED, rows, at.version)
+
+
 def run_job(spark: SparkSession, args: argparse.Namespace) -> int:
     store = MartStore(spark, args.mart) if "mart" in args else None
     result = None
@@ -107,9 +117,7 @@ def run_job(spark: SparkSession, args: argparse.Namespace) -> int:
     elif args.job == "run":
         result = mart.run(store, args.source, args.load_time)
     elif args.job == "stream":
-        ingest_available(store, mart.SILVER, csv_stream(spark, args.source), args.state)
-        at = store.at()
-        result = mart.StepResult(mart.LOADED, at.rows(mart.SILVER), at.version)
+        result = stream(store, args.source, args.state)
     elif args.job == "load-database":
         target = JdbcTarget(args.url, args.driver, connections=args.connections)
         print(json.dumps(mart.load_database(store, target, args.schema, args.incremental)))
