@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txnmart.llm import decision_list, mixing, packing, secrets
+from txnmart.llm import (
+    cotraining,
+    decision_list,
+    embed_dedup,
+    jaccard_join,
+    langid,
+    mixing,
+    packing,
+    secrets,
+    toxicity,
+)
 from txnmart.llm.common import table
 
 
@@ -20,18 +30,47 @@ def op2_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.Mix(table(spark, sf_dir, "documents")).report()
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op7_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), packing.default_tokenizer)
     return packing.piece_report(pieces)
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_report(table(spark, sf_dir, "documents"))
+
+
+def op9_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.quality_scores(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decision_list": op2_decision_list,
+    "op3_toxicity": op3_toxicity,
     "op4_mix_sources": op4_mix_sources,
+    "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op7_sum_of_squares_packing": op7_sum_of_squares_packing,
+    "op8_language": op8_language,
+    "op9_cotraining": op9_cotraining,
+    "op10_jaccard_join": op10_jaccard_join,
 }
