@@ -17,7 +17,8 @@ and the counts of all fragments are added up per document or per pair.
    counted per fragment and summed. Links inside a component change nothing, so large groups of
    near copies are never expanded into pairs, and no link between components is lost.
 
-Counting (2, 3) is done in numpy over blocks of documents: a block sends each fragment one row.
+Counting (2, 3) is done in numpy over blocks of documents: a block sends each fragment one row, and
+a shingle at most once, so a shingle that a third of all documents has is no larger than others.
 
 NULL texts and texts without words have no set and link with nothing. A text of fewer than five
 words is one shingle. Repeated rows are documents of their own; extra columns are ignored.
@@ -37,11 +38,12 @@ from pyspark.sql import functions as F
 
 from txnmart.llm.common import mix64, partitions, slices
 from txnmart.llm.components import components
+from txnmart.llm.fragments import distinct_entries, fragment_of, fragment_rows, joined, times
 from txnmart.scratch import staged
 
 SHINGLE = 5
 PERCENT = 80
-SEGMENTS = 8
+SEGMENTS = 8  # by the first three bits
 
 
 def shingle_sets(texts: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -70,42 +72,17 @@ def shingle_sets(texts: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.
     return (np.concatenate(parts) if parts else np.zeros(0, np.uint64)), counts
 
 
-def _fragment(hashes: np.ndarray, fragments: int) -> np.ndarray:
-    return ((hashes >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)).astype(np.int64)
-
-
-def _block_rows(hashes: np.ndarray, counts: np.ndarray, fragments: int, kind: str):
-    """For each fragment: the documents' numbers of shingles there, and the shingles."""
-    docs = len(counts)
-    owner = np.repeat(np.arange(docs), counts)
-    of = _fragment(hashes, fragments)
-    order = np.argsort(of, kind="stable")  # within a fragment by document, then ascending
-    cells = np.bincount(of * docs + owner, minlength=fragments * docs).reshape(fragments, docs)
-    ends = np.cumsum(cells.sum(axis=1))
-    held = hashes[order].astype(kind)
-    for f in range(fragments):
-        yield f, cells[f].astype("<u4").tobytes(), held[ends[f - 1] if f else 0 : ends[f]].tobytes()
-
-
-def _times(values: np.ndarray) -> np.ndarray:
-    """How often each value stands in the array."""
-    order = np.argsort(values, kind="stable")
-    ordered = values[order]
-    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(values) else np.zeros(0, int)
-    n = np.diff(np.append(first, len(values)))
-    out = np.empty(len(values), np.int64)
-    out[order] = np.repeat(n, n)
-    return out
-
-
-def _blocks(texts: DataFrame, fragments: int, kind: str, info: str) -> DataFrame:
-    """Rows of blocks of ``texts`` (node, text, more columns): block, fragment, counts, shingles.
-    One row of each block also holds the block's other columns, as arrays, and its documents'
-    set sizes and digests."""
-    schema = texts.drop("text").schema
-    arrays = ", ".join(f"{f.name} array<{f.dataType.simpleString()}>" for f in schema.fields)
+def _shared_counts(docs: DataFrame, fragments: int) -> DataFrame:
+    """``node``, ``doc_id``, ``th``, ``n`` (set size), ``digest``, and ``shared``: how many of the
+    set's shingles other documents have too (or seem to)."""
+    doc_kind = docs.schema["doc_id"].dataType.simpleString()
+    info = ["node", "doc_id", "th", "sizes", "digests", "local"]
+    info_schema = (
+        f"node array<long>, doc_id array<{doc_kind}>, th array<long>, sizes array<long>, "
+        "digests array<binary>, local array<long>"
+    )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
         for part, held in slices(batches, "text"):
             hashes, counts = shingle_sets(held)
@@ -114,68 +91,52 @@ def _blocks(texts: DataFrame, fragments: int, kind: str, info: str) -> DataFrame
                 xxhash.xxh3_128_digest(hashes[a : a + n].tobytes()) if n else None
                 for a, n in zip(firsts, counts, strict=True)
             ]
-            rows = list(_block_rows(hashes, counts, fragments, kind))
-            bearer = block % fragments
-            given = [
-                pa.array([part.column(f.name) if r[0] == bearer else None for r in rows], pa.list_(part.column(f.name).type))
-                for f in schema.fields
-            ]
-            more = [
-                pa.array([counts if r[0] == bearer else None for r in rows], pa.list_(pa.int64())),
-                pa.array([digests if r[0] == bearer else None for r in rows], pa.list_(pa.binary())),
-            ]
+            entries, cells, again = distinct_entries(hashes, counts)
+            owner = np.repeat(np.arange(len(counts)), counts)
+            local = np.bincount(owner[again], minlength=len(counts))
+            rows = list(fragment_rows(entries, cells, fragments, "<u4"))
+            # One of the block's rows bears what is known of its documents.
+            once = lambda v: [v if r[0] == block % fragments else None for r in rows]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([block] * len(rows), pa.int64()),
                     pa.array([r[0] for r in rows], pa.int32()),
                     pa.array([r[1] for r in rows], pa.binary()),
                     pa.array([r[2] for r in rows], pa.binary()),
-                    *given,
-                    *more,
+                    *[pa.array(once(part.column(c)), pa.list_(part.column(c).type)) for c in info[:3]],
+                    pa.array(once(counts), pa.list_(pa.int64())),
+                    pa.array(once(digests), pa.list_(pa.binary())),
+                    pa.array(once(local), pa.list_(pa.int64())),
                 ],
-                names=["block", "fragment", "cells", "held", *schema.names, "sizes", "digests"],
+                names=["block", "fragment", "cells", "held", *info],
             )
             block += 1
 
-    return texts.select("text", *schema.names).mapInArrow(
-        run,
-        f"block long, fragment int, cells binary, held binary, {arrays}, "
-        "sizes array<long>, digests array<binary>",
-    )
-
-
-def _shared_counts(docs: DataFrame, fragments: int) -> DataFrame:
-    """``node``, ``doc_id``, ``th``, ``n`` (set size), ``digest``, and ``shared``: how many of the
-    set's shingles other documents have too (or seem to)."""
-    blocks = _blocks(docs, fragments, "<u4", "")
-    doc_kind = docs.schema["doc_id"].dataType.simpleString()
-    info = ["node", "doc_id", "th", "sizes", "digests"]
-
     def count(f: pd.DataFrame) -> pd.DataFrame:
         cells = [np.frombuffer(c, "<u4") for c in f["cells"]]
-        values = np.concatenate([np.frombuffer(h, "<u4") for h in f["held"]])
         per_doc = np.concatenate(cells).astype(np.int64)
         owner = np.repeat(np.arange(len(per_doc)), per_doc)
-        shared = np.bincount(owner[_times(values) > 1], minlength=len(per_doc)).astype("<u4")
+        again = times(joined(f["held"], "<u4")) > 1
+        shared = np.bincount(owner[again], minlength=len(per_doc)).astype("<u4")
         ends = np.cumsum([len(c) for c in cells])
         out = f[["block", *info]].copy()
         out["shared"] = [shared[e - len(c) : e].tobytes() for e, c in zip(ends, cells, strict=True)]
         return out
 
-    counted = blocks.groupBy("fragment").applyInPandas(
-        count,
-        f"block long, node array<long>, doc_id array<{doc_kind}>, th array<long>, "
-        "sizes array<long>, digests array<binary>, shared binary",
-    )
-
     def add(f: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(s, "<u4").astype(np.int64) for s in f["shared"])
+        total = sum(np.frombuffer(s, "<u4").astype(np.int64) for s in f["shared"])[:-1]
         bearer = f[f["sizes"].notna()].iloc[0]
-        out = pd.DataFrame({"node": bearer["node"], "th": bearer["th"], "n": bearer["sizes"], "shared": total})
+        out = pd.DataFrame(
+            {"node": bearer["node"], "th": bearer["th"], "n": bearer["sizes"], "shared": total + bearer["local"]}
+        )
         out["doc_id"] = pd.Series(list(bearer["doc_id"]), dtype=object)
         out["digest"] = pd.Series(list(bearer["digests"]), dtype=object)
         return out.astype({"doc_id": "Int64"}) if doc_kind in ("bigint", "int") else out
 
+    sent = docs.select("node", "doc_id", "th", "text").mapInArrow(
+        send, f"block long, fragment int, cells binary, held binary, {info_schema}"
+    )
+    counted = sent.groupBy("fragment").applyInPandas(count, f"block long, {info_schema}, shared binary")
     return counted.groupBy("block").applyInPandas(
         add, f"node long, th long, n long, shared long, doc_id {doc_kind}, digest binary"
     )
@@ -184,45 +145,81 @@ def _shared_counts(docs: DataFrame, fragments: int) -> DataFrame:
 def _ordered_sets(texts: DataFrame, fragments: int) -> DataFrame:
     """``node``, ``n``, ``prefix`` (shingle and position in the global order, without shingles
     that no other document has) and ``segments`` (the set, cut by hash range)."""
-    blocks = _blocks(texts, fragments, "<u8", "")
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 32
+        for part, held in slices(batches, "text"):
+            hashes, counts = shingle_sets(held)
+            entries, documents = np.unique(hashes, return_counts=True)  # ascending, so by fragment
+            of = fragment_of(entries, fragments)
+            cuts = np.searchsorted(of, np.arange(fragments + 1))
+            sent = [
+                (f, entries[a:b].astype("<u8").tobytes(), documents[a:b].astype("<u4").tobytes())
+                for f, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))
+                if b > a
+            ]
+            # The block's own sets take the way around the fragments, as fragment -1.
+            nodes = part.column("node").to_numpy().astype("<i8").tobytes()
+            sent.append((-1, hashes.astype("<u8").tobytes(), nodes + counts.astype("<i8").tobytes()))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([block] * len(sent), pa.int64()),
+                    pa.array([s[0] for s in sent], pa.int32()),
+                    pa.array([s[1] for s in sent], pa.binary()),
+                    pa.array([s[2] for s in sent], pa.binary()),
+                ],
+                names=["block", "fragment", "held", "more"],
+            )
+            block += 1
+
+    schema = "block long, fragment int, held binary, more binary"
+    sent = staged(texts.select("node", "text").mapInArrow(send, schema), "shingle-blocks")
 
     def weigh(f: pd.DataFrame) -> pd.DataFrame:
-        held = [np.frombuffer(h, "<u8") for h in f["held"]]
-        times = _times(np.concatenate(held))
-        code = np.minimum(255, 4 * np.log2(np.maximum(times, 1))).astype(np.uint8)
-        ends = np.cumsum([len(h) for h in held])
-        out = f[["block", "fragment", "cells", "held", "node"]].copy()
-        out["code"] = [code[e - len(h) : e].tobytes() for e, h in zip(ends, held, strict=True)]
+        """``more`` becomes a code of how many documents have the shingle."""
+        _, number = np.unique(joined(f["held"], "<u8"), return_inverse=True)
+        documents = np.bincount(number, joined(f["more"], "<u4"))[number]
+        code = np.minimum(255, 4 * np.log2(np.maximum(documents, 1))).astype(np.uint8)
+        ends = np.cumsum([len(h) // 8 for h in f["held"]])
+        starts = np.append(0, ends[:-1])
+        out = f[["block", "fragment", "held"]].copy()
+        out["more"] = [code[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]
         return out
 
-    weighed = blocks.groupBy("fragment").applyInPandas(
-        weigh, "block long, fragment int, cells binary, held binary, node array<long>, code binary"
-    )
+    weighed = sent.where("fragment >= 0").groupBy("fragment").applyInPandas(weigh, schema)
 
     def collect(f: pd.DataFrame) -> pd.DataFrame:
         f = f.sort_values("fragment")
-        nodes = f[f["node"].notna()].iloc[0]["node"]
-        per_doc = [np.frombuffer(c, "<u4").astype(np.int64) for c in f["cells"]]
-        owner = np.concatenate([np.repeat(np.arange(len(c)), c) for c in per_doc])
-        value = np.concatenate([np.frombuffer(h, "<u8") for h in f["held"]])
-        code = np.concatenate([np.frombuffer(c, np.uint8) for c in f["code"]])
-        order = np.lexsort((value, code, owner))
-        n = np.bincount(owner, minlength=len(nodes))
+        own, sent_parts = f.iloc[0], f.iloc[1:]
+        numbers = np.frombuffer(own["more"], "<i8")
+        nodes, n = numbers[: len(numbers) // 2], numbers[len(numbers) // 2 :]
+        value = np.frombuffer(own["held"], "<u8")
+        at = np.searchsorted(joined(sent_parts["held"], "<u8"), value)
+        code = joined(sent_parts["more"], np.uint8)[at]
+        order = np.lexsort((value, code, np.repeat(np.arange(len(n)), n)))
         ends = np.cumsum(n)
         rows = []
-        for i, node in enumerate(nodes):
-            at = order[ends[i] - n[i] : ends[i]]
-            first = at[: int(n[i] - -(-PERCENT * n[i] // 100) + 1)] if n[i] else at
+        for node, size, end in zip(nodes.tolist(), n.tolist(), ends.tolist(), strict=True):
+            ranked = order[end - size : end]
+            first = ranked[: size - -(-PERCENT * size // 100) + 1]
             some = np.flatnonzero(code[first] > 0)
-            prefix = [{"token": int(t), "pos": int(p)} for t, p in zip(value[first[some]].view(np.int64), some, strict=True)]
-            whole = np.sort(value[at])
-            segment = (whole >> np.uint64(61)).astype(np.int64)  # three bits: SEGMENTS
-            parts = [whole[segment == s].view(np.int64) for s in range(SEGMENTS)]
-            rows.append((int(node), int(n[i]), prefix, parts))
+            prefix = [
+                {"token": t, "pos": p}
+                for t, p in zip(value[first[some]].view(np.int64).tolist(), some.tolist(), strict=True)
+            ]
+            whole = value[end - size : end]  # ascending
+            cuts = np.searchsorted(whole >> np.uint64(61), np.arange(SEGMENTS + 1))
+            parts = [whole[a:b].view(np.int64) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            rows.append((node, size, prefix, parts))
         return pd.DataFrame(rows, columns=["node", "n", "prefix", "segments"])
 
-    return weighed.groupBy("block").applyInPandas(
-        collect, "node long, n long, prefix array<struct<token: long, pos: int>>, segments array<array<long>>"
+    return (
+        weighed.unionByName(sent.where("fragment < 0"))
+        .groupBy("block")
+        .applyInPandas(
+            collect,
+            "node long, n long, prefix array<struct<token: long, pos: int>>, segments array<array<long>>",
+        )
     )
 
 
