@@ -7,8 +7,9 @@ pooled by attention and given a logit. A document's logit is the mean of its win
 weighted by their softmax, so that the worst passage decides. The label of a document trains
 all its windows through the same weighting.
 
-Training takes a bounded sample of labelled documents (``SAMPLE`` per label at most) on the
-driver; scoring is a map over partitions with the fitted weights, and nothing is shuffled.
+Training takes a bounded sample of labelled documents (``SAMPLE``: at most so many of label 0 and
+of label 1) on the driver, both labels in equal parts, and the share of label 1 among all labels
+then corrects the score; scoring is a map over partitions with the fitted weights, and nothing is shuffled.
 
 NULL and empty texts are one window of padding. With no label, or one class only, the score is
 that class's share for every document (0 without labels). Repeated rows each give a row; extra
@@ -21,12 +22,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txnmart.llm.common import bounded_sample, fold, one_label, slices
 from txnmart.llm.wordtables import EDGE, Adam, ngrams, segment_sum, sum_by, word_numbers
 
 WINDOW, STRIDE = 32, 16
-SAMPLE = 800
+SAMPLE = (2400, 800)
 THRESHOLD = 0.3
 HOLD_OUT, FOLDS = 2, 4
 BUCKETS = 4096
@@ -59,6 +61,7 @@ class Network:
         h, e, a = hidden, 8, 8
         draw = lambda scale, *shape: (rng.standard_normal(shape) * scale).astype(dtype)
         self.vocabulary, self.hidden = vocabulary, hidden
+        self.prior = 0.0  # log-odds of label 1 in the corpus, against equal parts
         self.p = {
             "word": draw(0.1, len(vocabulary) + 1, e),
             "char": draw(0.3, BUCKETS, e),
@@ -172,42 +175,65 @@ def pool(logits: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.add.reduceat(w * logits, first), w
 
 
+def tell(bad: np.ndarray, good: np.ndarray, toxic: np.ndarray, least: float = 2.5) -> np.ndarray:
+    """How surely a word tells the labels apart: the log-odds of its documents among both labels,
+    smoothed, in standard deviations; 0 below ``least``. Only such words get a vector of their
+    own, so that chance words of wrongly labelled documents cannot be learned by heart."""
+    odds = np.log((bad + 0.5) / ((toxic == 1).sum() - bad + 0.5)) - np.log(
+        (good + 0.5) / ((toxic == 0).sum() - good + 0.5)
+    )
+    z = odds / np.sqrt(1 / (bad + 0.5) + 1 / (good + 0.5))
+    return np.where(np.abs(z) >= least, np.clip(z, -8, 8), 0.0)
+
+
+def _balanced(toxic: np.ndarray, batch: int, steps: int, rng) -> np.ndarray:
+    """Rows of each step's documents: half of each label, all of a label before any comes again."""
+    halves = []
+    for label in (0, 1):
+        rows = np.flatnonzero(toxic == label)
+        need = steps * (batch // 2)
+        rounds = [rng.permutation(rows) for _ in range(-(-need // len(rows)))]
+        halves.append(np.concatenate(rounds)[:need].reshape(steps, -1))
+    return np.concatenate(halves, axis=1)
+
+
 def train(
-    texts: list[str], toxic: np.ndarray, epochs: int = 5, batch: int = 24, rate: float = 0.01, seed: int = 5
+    texts: list[str], toxic: np.ndarray, steps: int = 300, batch: int = 24, rate: float = 0.01, seed: int = 5
 ) -> Network:
-    """Fit the network to documents with labels 0 and 1."""
+    """Fit the network to documents with labels 0 and 1, both present."""
     flat, lengths, words = word_numbers(texts)
     owner = np.repeat(np.arange(len(texts)), lengths)
     bare = [w.strip(EDGE) for w in words]
     number = {w: i for i, w in enumerate(dict.fromkeys(bare))}
     names = list(number)
     as_bare = np.fromiter((number[w] for w in bare), np.int64, len(bare))
-    # A word is known if it stands in two documents at least.
-    seen = np.unique(owner * len(names) + as_bare[flat]) % max(len(names), 1)
-    often = np.bincount(seen, minlength=len(names)) >= 2
-    known = {w: i for i, w in enumerate((w for w, o in zip(names, often, strict=True) if o), 1)}
+    pairs = np.unique(owner * max(len(names), 1) + as_bare[flat])
+    doc, word = pairs // max(len(names), 1), pairs % max(len(names), 1)
+    bad = np.bincount(word[toxic[doc] == 1], minlength=len(names))
+    told = tell(bad, np.bincount(word, minlength=len(names)) - bad, toxic)
+    known = {w: i for i, w in enumerate((names[i] for i in np.flatnonzero(told)), 1)}
     net = Network(known, seed=seed)
+    net.p["word"][1:, 0] = 0.25 * told[told != 0]
     adam = Adam(net.p, rate)
     rng = np.random.default_rng(seed)
     first = np.cumsum(lengths) - lengths
-    for epoch in range(epochs):
-        adam.rate = rate * (1 - epoch / epochs)
-        order = rng.permutation(len(texts))
-        for i in range(0, len(order), batch):
-            docs = order[i : i + batch]
-            part = np.concatenate([flat[first[d] : first[d] + lengths[d]] for d in docs])
-            used, local = np.unique(part, return_inverse=True)
-            idx, counts = windows(local, lengths[docs], len(used))
-            x, made = net.inputs([words[u] for u in used])
-            logits, cache = net.forward(net.table(x), idx, keep=True)
-            doc, weight = pool(logits, counts)
-            d = (_sigmoid(doc) - toxic[docs]) / len(docs)
-            of = np.repeat(np.arange(len(docs)), counts)
-            d_logits = (d[of] * weight * (1 + SHARP * (logits - doc[of]))).astype(np.float32)
-            grads, dtable = net.backward(idx, cache, d_logits, len(x))
-            grads |= net.input_gradients(x, made, dtable)
-            grads["word"] += 1e-4 * net.p["word"]
-            adam.step(grads)
+    for step, docs in enumerate(_balanced(toxic, batch, steps, rng)):
+        adam.rate = rate * (1 - step / steps)
+        part = np.concatenate([flat[first[d] : first[d] + lengths[d]] for d in docs])
+        used, local = np.unique(part, return_inverse=True)
+        idx, counts = windows(local, lengths[docs], len(used))
+        x, made = net.inputs([words[u] for u in used])
+        logits, cache = net.forward(net.table(x), idx, keep=True)
+        doc, weight = pool(logits, counts)
+        d = (_sigmoid(doc) - toxic[docs]) / len(docs)
+        if 2 * step >= steps:  # what still contradicts its label is taken for a wrong label
+            d[np.abs(d) * len(docs) > 0.8] = 0
+        of = np.repeat(np.arange(len(docs)), counts)
+        d_logits = (d[of] * weight * (1 + SHARP * (logits - doc[of]))).astype(np.float32)
+        grads, dtable = net.backward(idx, cache, d_logits, len(x))
+        grads |= net.input_gradients(x, made, dtable)
+        grads["char"] += 1e-3 * net.p["char"]
+        adam.step(grads)
     return net
 
 
@@ -218,16 +244,16 @@ def score_texts(net: Network, texts: list[str], block: int = 2048) -> np.ndarray
     idx, counts = windows(flat, lengths, len(words))
     table = net.table(x)
     logits = np.concatenate([net.forward(table, idx[i : i + block])[0] for i in range(0, len(idx), block)])
-    return _sigmoid(pool(logits.astype(float), counts)[0])
+    return _sigmoid(pool(logits.astype(float), counts)[0] + net.prior)
 
 
 def fit_toxicity(
-    docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, hold_out: int = HOLD_OUT, folds: int = FOLDS
+    docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE, hold_out: int = HOLD_OUT, folds: int = FOLDS
 ) -> Network | float:
     """The network, or a constant score where the labels have one class or none. Learns from
     labelled documents outside the fold ``hold_out``, ``sample`` of each label at most."""
     known = one_label(labels, "toxic").where(fold(F.col("doc_id"), folds) != hold_out)
-    picked = [bounded_sample(known.where(F.col("toxic") == c), "doc_id", sample) for c in (0, 1)]
+    picked = [bounded_sample(known.where(F.col("toxic") == c), "doc_id", sample[c]) for c in (0, 1)]
     rows = (
         docs.select("doc_id", "text")
         .join(picked[0].unionByName(picked[1]), "doc_id")
@@ -237,22 +263,31 @@ def fit_toxicity(
     toxic = rows["toxic"].to_numpy(float)
     if len(set(toxic)) < 2:
         return float(toxic.mean()) if len(toxic) else 0.0
-    return train([t or "" for t in rows["text"]], toxic)
+    net = train([t or "" for t in rows["text"]], toxic)
+    share = known.agg(F.avg("toxic")).first()[0]
+    net.prior = float(np.log(share / (1 - share)))
+    return net
 
 
-def score_documents(docs: DataFrame, net: Network | float) -> DataFrame:
-    """``docs`` with ``score``: all columns stay, a column of that name is replaced."""
-    kept = [c for c in docs.columns if c != "score"]
-    schema = docs.select(*[F.col(f"`{c}`") for c in kept]).schema.add("score", "double")
+def score_documents(docs: DataFrame, net: Network | float, column: str = "score") -> DataFrame:
+    """``docs`` with ``column``; all others stay, and one of that name is replaced."""
+    kept = docs.drop(column)
+    schema = T.StructType([*kept.schema.fields, T.StructField(column, T.DoubleType())])
 
     def run(batches):
         for part, texts in slices(batches, "text"):
             score = score_texts(net, texts) if isinstance(net, Network) else [net] * len(texts)
             yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array(score, pa.float64())], names=[*part.schema.names, "score"]
+                [*part.columns, pa.array(score, pa.float64())], names=[*part.schema.names, column]
             )
 
-    return docs.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, schema)
+    return kept.mapInArrow(run, schema)
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``."""
+    scored = score_documents(docs, fit_toxicity(docs, labels), "_toxicity")
+    return scored.where(F.col("_toxicity") < threshold).drop("_toxicity")
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
