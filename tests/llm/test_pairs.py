@@ -1,0 +1,269 @@
+"""Joins and deduplication against brute force on small tables."""
+
+import hashlib
+import random
+from itertools import combinations
+
+import numpy as np
+import pytest
+from helpers_llm import WORDS, awkward_rows, documents, prose
+
+from txnmart.llm import embed_dedup, induced, jaccard_join, suffix_dedup
+from txnmart.llm.components import components
+from txnmart.llm.fragments import distinct_entries, times
+
+
+class Union:
+    def __init__(self):
+        self.up = {}
+
+    def find(self, x):
+        while self.up.setdefault(x, x) != x:
+            x = self.up[x]
+        return x
+
+    def join(self, a, b):
+        a, b = self.find(a), self.find(b)
+        self.up[max(a, b)] = min(a, b)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components(spark, seed):
+    rng = random.Random(seed)
+    links = [(rng.randrange(60), rng.randrange(60)) for _ in range(40)] + [(i, i + 1) for i in range(100, 130)]
+    links += [(200, i) for i in range(201, 260)]
+    expected = Union()
+    for a, b in links:
+        expected.join(a, b)
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
+    assert got == {x: expected.find(x) for a, b in links if a != b for x in (a, b)}
+
+
+def test_components_of_nothing(spark):
+    assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_times_and_entries():
+    values = np.array([5, 7, 5, 5, 9], np.uint64)
+    assert times(values).tolist() == [3, 1, 3, 3, 1]
+    assert times(values[:0]).tolist() == []
+    entries, cells, shared = distinct_entries(np.array([1, 2, 2, 3, 2], np.uint64), np.array([2, 2, 0, 1]))
+    assert entries.tolist() == [1, 3, 2] and cells.tolist() == [1, 1, 0, 0, 1]
+    assert shared.tolist() == [False, True, True, False, True]
+
+
+# n-gram Jaccard join
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    if len(words) < 5:
+        return frozenset([tuple(words)]) if words else frozenset()
+    return frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+
+
+def expected_join(rows):
+    sets = [shingles(r[1]) for r in rows]
+    union = Union()
+    for a, b in combinations(range(len(rows)), 2):
+        both = len(sets[a] & sets[b])
+        if sets[a] and sets[b] and 100 * both >= 80 * len(sets[a] | sets[b]):
+            union.join(a, b)
+    least = {}
+    for i, r in enumerate(rows):
+        if r[0] is not None:
+            root = union.find(i)
+            least[root] = min(least.get(root, r[0]), r[0])
+    return sorted(
+        (
+            (r[0] is not None, r[0] or 0, len(sets[i]), least.get(union.find(i)) if sets[i] else r[0])
+            for i, r in enumerate(rows)
+        ),
+        key=str,
+    )
+
+
+def near_copies(seed, groups, most):
+    """Groups of copies with words changed here and there, so that some pairs link and others do
+    not, and chains form; a passage that many documents share."""
+    rng = random.Random(seed)
+    rows = []
+    shared = prose(99, 40)
+    for g in range(groups):
+        base = prose(1000 * seed + g, rng.randint(4, 120)).split()
+        for _ in range(rng.randint(1, most)):
+            words = list(base)
+            for _ in range(rng.choice([0, 0, 1, 1, 2, 5])):
+                words[rng.randrange(len(words))] = rng.choice(WORDS).upper() + str(rng.randrange(9))
+            text = " ".join(words) + (" " + shared if rng.random() < 0.4 else "")
+            rows.append((len(rows) + 1, text, "en", "a"))
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_jaccard_join(spark, seed):
+    rows = near_copies(seed, 12, 9)
+    got = jaccard_join.jaccard_report(documents(spark, rows).repartition(3)).collect()
+    assert sorted(
+        ((r[0] is not None, r[0] or 0, r["n_shingles"], r["component_id"]) for r in got), key=str
+    ) == expected_join(rows)
+
+
+def test_jaccard_join_awkward(spark):
+    rows = awkward_rows()
+    docs = documents(spark, rows, extra=True)
+    got = jaccard_join.jaccard_report(docs).collect()
+    assert sorted(
+        ((r[0] is not None, r[0] or 0, r["n_shingles"], r["component_id"]) for r in got), key=str
+    ) == expected_join(rows)
+    kept = jaccard_join.without_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    ids = sorted(str(r["doc_id"]) for r in kept.collect())
+    assert ids == sorted(["1", "4", "5", "6", "7", "8", "10", "None", "11", "12"])
+
+
+def test_jaccard_join_of_nothing(spark):
+    assert jaccard_join.jaccard_report(documents(spark, [])).count() == 0
+    assert jaccard_join.jaccard_report(documents(spark, [(1, None, None, None)])).collect()[0][:] == (1, 0, 1)
+
+
+# repeated passages
+
+
+def expected_repeats(rows):
+    out = []
+    windows = [
+        (r[0], {(r[1] or "").encode()[i : i + 50] for i in range(len((r[1] or "").encode()) - 49)}) for r in rows
+    ]
+    for doc, text, *_ in rows:
+        data = (text or "").encode()
+        taken = set().union(*[w for d, w in windows if d is not None and doc is not None and d < doc] or [set()])
+        covered = np.zeros(len(data), bool)
+        for i in range(len(data) - 49):
+            if data[i : i + 50] in taken:
+                covered[i : i + 50] = True
+        runs = int((covered & ~np.append(False, covered[:-1])[: len(data)]).sum())
+        kept = np.frombuffer(data, np.uint8)[~covered].tobytes()
+        out.append((doc, len(data), int(covered.sum()), runs, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+def passages(seed):
+    rng = random.Random(seed)
+    shared = [prose(500 + i, 30) for i in range(4)]
+    rows = []
+    for i in range(40):
+        parts = [prose(seed * 100 + i, rng.randint(0, 40))]
+        for _ in range(rng.randint(0, 3)):
+            p = rng.choice(shared)
+            a, b = sorted(rng.sample(range(len(p)), 2))
+            parts += [p[a:b], prose(rng.randrange(9999), rng.randint(0, 5))]
+        if rng.random() < 0.2:
+            parts.append("ab" * rng.randint(20, 60))
+        rows.append((i, " ".join(parts), "en", "a"))
+    rows += [(100 + i, rng.choice(rows)[1], "en", "a") for i in range(6)]
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_repeats(spark, seed):
+    rows = passages(seed)
+    got = suffix_dedup.repeat_report(documents(spark, rows).repartition(3)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == expected_repeats(rows)
+
+
+def test_repeats_awkward(spark):
+    rows = awkward_rows()
+    got = suffix_dedup.repeat_report(documents(spark, rows, extra=True)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == expected_repeats(rows)
+    assert suffix_dedup.repeat_report(documents(spark, [])).count() == 0
+
+
+def suffix_order(text):
+    order = sorted(range(len(text)), key=lambda i: tuple(text[i:]))[::-1]
+    common = [0]
+    for a, b in zip(order, order[1:], strict=False):
+        k = 0
+        while a + k < len(text) and b + k < len(text) and text[a + k] == text[b + k]:
+            k += 1
+        common.append(k)
+    return order, common
+
+
+@pytest.mark.parametrize("memory", [1, 3, 1000])
+@pytest.mark.parametrize("small_string", [0, 5, 1000])
+def test_induced_sorting_with_queues_on_disk(memory, small_string):
+    rng = np.random.default_rng(memory + small_string)
+    for _ in range(60):
+        text = np.append(rng.integers(1, rng.integers(2, 6), rng.integers(1, 70)), 0)
+        cap = int(rng.choice([3, 7, 100]))
+        blocks = list(induced.sort_suffixes(text, cap, memory, small_string))
+        order, common = suffix_order(text.tolist())
+        assert np.concatenate([p for p, _ in blocks]).tolist() == order
+        assert np.concatenate([c for _, c in blocks]).tolist() == [min(c, cap) for c in common]
+
+
+def test_smallest_ids_spills(monkeypatch):
+    segments = [(prose(i % 3, 20) + prose(i, 10)).encode() for i in range(12)]
+    least = np.arange(100, 112)[::-1].copy()
+    expected = []
+    for s in segments:
+        strings = [s[i : i + 50] for i in range(len(s) - 49)]
+        expected.append([min(x for x, t in zip(least, segments, strict=True) if w in t) for w in strings])
+    for memory in (2, 1 << 20):
+        assert [b.tolist() for b in suffix_dedup.smallest_ids(segments, least, memory)] == expected
+
+
+# vectors
+
+
+def expected_vectors(rows, threshold=0.9):
+    good = []
+    for i, (_, v) in enumerate(rows):
+        if v and all(x is not None and np.isfinite(x) for x in v) and any(v):
+            a = np.array(v, float)
+            good.append((i, a / np.abs(a).max() / np.linalg.norm(a / np.abs(a).max())))
+    union, links = Union(), [0] * len(rows)
+    for (i, a), (j, b) in combinations(good, 2):
+        if len(a) == len(b) and a @ b >= threshold:
+            links[i] += 1
+            links[j] += 1
+            union.join(i, j)
+    return links, [min(k for k in range(len(rows)) if union.find(k) == union.find(i)) for i in range(len(rows))]
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+@pytest.mark.parametrize("chunk", [8, 1024])
+def test_near_vectors(spark, kind, chunk):
+    rng = np.random.default_rng(5)
+    rows = []
+    for _ in range(12):
+        centre = rng.standard_normal(16)
+        for _ in range(int(rng.integers(1, 30))):
+            rows.append(np.float32(centre + rng.standard_normal(16) * rng.choice([0, 0.05, 0.25])).tolist())
+    rows += [None, [], [0.0] * 16, [None] + [1.0] * 15, [float("nan")] * 16, [float("inf")] * 16, [1.0, 2.0], [2.0, 4.0]]
+    rows = list(enumerate(rows))
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>").selectExpr("*", "'x' as node", "1 as links")
+    got = sorted(embed_dedup.near_vectors(df.repartition(3), chunk=chunk, miss=1e-9).collect())
+    links, component = expected_vectors(rows)
+    assert [r["n_links"] for r in got] == links
+    assert [r["component_id"] for r in got] == component
+    assert [r["kept"] for r in got] == [r["vec_id"] == r["component_id"] for r in got]
+
+
+def test_recall_and_repeated_ids(spark):
+    rng = np.random.default_rng(6)
+    a = rng.standard_normal((300, 32))
+    b = a + rng.standard_normal((300, 32)) * 0.38  # cosines around 0.93
+    rows = [(i, np.float32(v).tolist()) for i, v in enumerate(np.concatenate([a, b]))]
+    links, _ = expected_vectors(rows)
+    got = embed_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    assert sum(r["n_links"] for r in got) >= 0.99 * sum(links)
+    assert all(r["n_links"] <= links[r["vec_id"]] for r in got)
+    same = spark.createDataFrame([(7, [1.0, 0.0])] * 3 + [(None, [1.0, 0.0])], "vec_id long, embedding array<float>")
+    assert sorted(str(tuple(r)) for r in embed_dedup.near_vectors(same).collect()) == sorted(
+        [str((7, 3, 7, True))] * 3 + [str((None, 3, 7, False))]
+    )
+    assert embed_dedup.near_vectors(same.limit(0)).count() == 0

@@ -1,0 +1,107 @@
+import hashlib
+import re
+
+import pytest
+from compare import difference
+from helpers_llm import awkward_rows, documents
+
+from txnmart.llm import secrets
+from txnmart.llm.oracle import OP1
+
+ASSIGN = re.compile(
+    r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A
+)
+KEY = "AKIA" + "Q" * 14
+
+
+def base(text):
+    spans = [(m.start(), 0, "assign", m.end()) for m in ASSIGN.finditer(text) if len(m[1]) >= 12]
+    spans += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    spans += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+    return sorted(spans)
+
+
+TEXTS = [
+    None,
+    "",
+    "PassWord = 'abcdefghijkl' x",
+    "password: token: abcdefghijklmnop",
+    f"é🙂 {KEY} and {KEY}Q",
+    "token=" + "0123456789abcdef" * 3,
+    "AKIASHORT " + "ab12" * 5 + "\n" + "api_key:" + "Z" * 20,
+    "password=short77 only",
+    f"user=bob password=short77 at https://h.example/x {KEY}",
+    "user: alice\npassword: tiny99x\nhttps://db.example:99/a",
+    "login=carol " + "x" * 300 + " secret=abcdefghijkl1",
+    "login=carol " + "x" * 190 + " secret=abcdefghijkl1",
+    "Ab3" * 20 + " alone",
+    "https://only.example/",
+    ("f" * 16 + " ") * 500,
+]
+
+
+def rows(spark, texts):
+    return documents(spark, [(i, t, "en", "a") for i, t in enumerate(texts)], extra=True)
+
+
+def test_base_spans(spark):
+    texts = TEXTS + [r[1] for r in awkward_rows()]
+    for r in secrets.secret_report(rows(spark, texts)).collect():
+        want = base(texts[r["doc_id"]] or "")
+        joined = ",".join(f"{k}:{s}:{e}" for s, _, k, e in want)
+        assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        assert (r["n_assign"], r["n_access"], r["n_hex"]) == tuple(sum(s[1] == k for s in want) for k in range(3))
+        assert set(joined.split(",")) - {""} <= set(r["spans"].split(","))
+
+
+def weak(spark, text):
+    (r,) = secrets.secret_report(rows(spark, [text])).collect()
+    return [s.split(":")[0] for s in r["spans"].split(",") if s and s.split(":")[0] not in ("assign", "access", "hex")]
+
+
+@pytest.mark.parametrize(
+    ("text", "kinds"),
+    [
+        ("user=bob", []),
+        ("password=short77", []),
+        ("https://h.example/", []),
+        ("user=bob password=short77", []),
+        ("user=bob password=short77 https://h.example/", ["ident", "short", "endpoint"]),
+        (f"{KEY} password=short77", ["short"]),
+        ("user=bob secret=abcdefghijkl1", ["ident"]),
+        ("user=bob " + "- " * 150 + "secret=abcdefghijkl1", []),
+        (f"{KEY} " + "Ab3" * 12, ["blob"]),
+        ("https://h.example/ secret=abcdefghijkl1", []),
+    ],
+)
+def test_weak_parts_need_each_other(spark, text, kinds):
+    assert weak(spark, text) == kinds
+
+
+def test_sql_agrees(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    texts = TEXTS + [r[1] for r in awkward_rows()]
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", list(enumerate(texts)))
+    assert difference(con, OP1, secrets.secret_report(rows(spark, texts))) is None
+
+
+def test_repeated_ids_and_empty_table(spark):
+    docs = documents(spark, [(1, f"{KEY}", "en", "a")] * 3 + [(None, f"a {KEY}", "en", "a")])
+    assert [r["n_access"] for r in secrets.secret_report(docs).collect()] == [1, 1, 1, 1]
+    assert secrets.secret_report(documents(spark, [])).count() == 0
+
+
+def test_redact(spark):
+    docs = rows(spark, ["no", None, f"é {KEY}, token=abcdefabcdefabcdef.", "", f"{KEY}"])
+    got = {r["doc_id"]: r for r in secrets.redact(docs).collect()}
+    assert [got[i]["text"] for i in range(5)] == ["no", None, "é [secret], [secret]", "", "[secret]"]
+    assert secrets.redact(docs).columns == docs.columns
+    assert got[2]["n_chars"] == len(got[2]["text"])
+
+
+def test_no_python_in_plans(spark):
+    plan = secrets.secret_report(rows(spark, TEXTS))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan

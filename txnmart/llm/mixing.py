@@ -274,18 +274,19 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     )
     whole = mix.sized.select("row", F.col("size").alias("_mix_size"))
     joined = taken.join(whole, "row").join(held, F.col("row") == F.col("_mix_row"))
-    kind = "string"
 
-    @F.pandas_udf(kind)
+    @F.pandas_udf("string")
     def cut(text: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series(
-            [_kept_words(t, [(s["start"], s["n_words"]) for s in p]) for t, p in zip(text, spans, strict=True)]
+            [
+                None if t is None else _kept_words(t, [(s["start"], s["n_words"]) for s in p])
+                for t, p in zip(text, spans, strict=True)
+            ],
+            dtype=object,
         )
 
-    part = joined.where("_mix_words < _mix_size").withColumn("text", cut("text", "_mix_spans"))
-    both = joined.where("_mix_words = _mix_size").select(*docs.columns).unionByName(
-        part.select(*docs.columns)
-    )
+    in_part = F.when(F.col("_mix_words") < F.col("_mix_size"), F.col("text"))
+    out = joined.withColumn("text", F.coalesce(cut(in_part, "_mix_spans"), "text"))
     if "n_chars" in docs.columns:
-        both = both.withColumn("n_chars", F.length("text").cast("long"))
-    return both.select(*docs.columns)
+        out = out.withColumn("n_chars", F.length("text").cast("long"))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])

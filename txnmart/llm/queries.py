@@ -15,6 +15,7 @@ from txnmart.llm import (
     mixing,
     packing,
     secrets,
+    suffix_dedup,
     toxicity,
 )
 from txnmart.llm.common import table
@@ -44,6 +45,10 @@ def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeat_report(table(spark, sf_dir, "documents"))
+
+
 def op7_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), packing.default_tokenizer)
     return packing.piece_report(pieces)
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_mix_sources": op4_mix_sources,
     "op5_embedding_near_dedup": op5_embedding_near_dedup,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_sum_of_squares_packing": op7_sum_of_squares_packing,
     "op8_language": op8_language,
     "op9_cotraining": op9_cotraining,
