@@ -273,7 +273,8 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
         .agg(F.array_sort(F.collect_list(at)).alias("_mix_spans"), F.sum("n_words").alias("_mix_words"))
     )
     whole = mix.sized.select("row", F.col("size").alias("_mix_size"))
-    joined = taken.join(whole, "row").join(held, F.col("row") == F.col("_mix_row"))
+    joined = taken.join(whole, "row").withColumnsRenamed({"row": "_mix_of", "copy": "_mix_copy"})
+    joined = joined.join(held, F.col("_mix_of") == F.col("_mix_row"))
 
     @F.pandas_udf("string")
     def cut(text: pd.Series, spans: pd.Series) -> pd.Series:
