@@ -16,6 +16,7 @@ def spark():
         "local[8]",
         **{
             "spark.sql.shuffle.partitions": "4",
+            "spark.sql.files.minPartitionNum": "8",
             "spark.driver.memory": "6g",
             "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-txnmart-tests-"),
         },

@@ -3,6 +3,8 @@
 import json
 
 from txnmart.__main__ import main
+from txnmart.sinks.store import MartStore
+from txnmart.sources.files import create_file
 
 
 def last(capsys):
@@ -49,3 +51,18 @@ def test_missing_source(spark, tmp_path, capsys):
     assert main(job) == 0
     assert last(capsys)["status"] == "SKIPPED_NO_SOURCE"
     assert main(["--strict", *job]) == 1
+
+
+def test_audit_prints_every_version_newest_first(spark, tmp_path, capsys):
+    root = str(tmp_path / "mart")
+    store = MartStore(spark, root)
+    store.append("t", spark.range(1))
+    entry = json.loads(store.log().toJSON().first())
+    for version in range(2, 376):
+        lines = [json.dumps({**entry, "version": version, "table_name": f"t{i}"}) for i in range(4)]
+        create_file(spark, f"{root}/log/{version:010d}.json", "\n".join(lines))
+    assert main(["audit", "--mart", root]) == 0
+    rows = [json.loads(line) for line in capsys.readouterr().out.strip().splitlines()]
+    assert len(rows) == 1 + 374 * 4 and rows[0]["version"] == 375 and rows[-1]["version"] == 1
+    assert main(["audit", "--mart", root, "--versions", "2"]) == 0
+    assert len(capsys.readouterr().out.strip().splitlines()) == 8

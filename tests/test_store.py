@@ -4,7 +4,8 @@ import pytest
 from helpers import frame, txn, values
 
 from txnmart.operators.delta import merged
-from txnmart.sinks.store import APPEND
+from txnmart.sinks.store import APPEND, MartStore, VersionTaken
+from txnmart.sources.files import create_file
 
 
 def test_nothing_published(store):
@@ -64,13 +65,30 @@ def test_empty_table_keeps_its_schema(spark, store):
     assert store.read("t").schema == frame(spark).schema
 
 
-def test_two_writers_of_one_version_are_noticed(spark, store):
+def test_second_writer_of_a_version_fails_and_the_first_stays(spark, store, monkeypatch):
     store.publish({"t": frame(spark, txn(1))})
-    store.log().coalesce(1).selectExpr(
-        "version", "base", "'other' as commit", "table_name", "action", "path", "row_count", "columns"
-    ).write.json(f"{store.root}/log/0000000001-other")
-    with pytest.raises(RuntimeError, match="two writers"):
-        store.at()
+    late = MartStore(spark, store.root)
+    monkeypatch.setattr(late, "_newest", lambda: 0)  # it looked before the first one published
+    with pytest.raises(VersionTaken):
+        late.publish({"t": frame(spark, txn(2))})
+    assert [r[0] for r in values(store.read("t"))] == [1]
+    assert store.append("t", frame(spark, txn(3))) == 2
+
+
+def test_a_claimed_version_without_entries_changes_nothing(spark, store):
+    store.publish({"t": frame(spark, txn(1))})
+    create_file(spark, f"{store.root}/log/0000000002.json", "")
+    assert [r[0] for r in values(store.read("t"))] == [1]
+    assert store.append("t", frame(spark, txn(2))) == 3
+    assert [r[0] for r in values(store.read("t"))] == [1, 2]
+
+
+@pytest.mark.parametrize("keep", [0, -1])
+def test_expire_never_deletes_the_newest_version(spark, store, keep):
+    store.publish({"t": frame(spark, txn(1))})
+    with pytest.raises(ValueError, match="keep"):
+        store.expire(keep)
+    assert [r[0] for r in values(store.read("t"))] == [1]
 
 
 def test_expire_keeps_what_newer_versions_use(spark, store):
@@ -81,6 +99,7 @@ def test_expire_keeps_what_newer_versions_use(spark, store):
     assert store.expire(keep=3) == 0
     assert [r[0] for r in values(store.read("t", 2))] == [1, 2]
     assert store.expire(keep=2) == 2
+    assert store.expire(keep=2) == 0
     assert [r[0] for r in values(store.read("t"))] == [3, 4]
     assert [r[0] for r in values(store.read("t", 3))] == [3]
 

@@ -12,6 +12,7 @@ import json
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from txnmart.operators import reports
 from txnmart.plans import mart
@@ -60,7 +61,8 @@ def parser() -> argparse.ArgumentParser:
     database.add_argument("--connections", type=int, default=8)
     database.add_argument("--incremental", action="store_true", help="send only new rows")
     job("totals", "bring the daily totals up to date with silver", "mart")
-    job("audit", "rows written per version and table", "mart")
+    audit = job("audit", "rows written per version and table, newest first, as JSON lines", "mart")
+    audit.add_argument("--versions", type=int, help="only so many newest versions; default: all")
     job("expire", "delete data only older versions use", "mart").add_argument(
         "--keep", type=int, required=True, help="versions to keep readable"
     )
@@ -122,7 +124,11 @@ def run_job(spark: SparkSession, args: argparse.Namespace) -> int:
         target = JdbcTarget(args.url, args.driver, connections=args.connections)
         print(json.dumps(mart.load_database(store, target, args.schema, args.incremental)))
     elif args.job == "audit":
-        store.load_audit().orderBy("version", "table_name").show(1000, truncate=False)
+        audit = store.load_audit().orderBy(F.desc("version"), "table_name")
+        if args.versions:
+            audit = audit.where(F.col("version") > store.at().version - args.versions)
+        for line in audit.toJSON().toLocalIterator():
+            print(line)
     elif args.job == "expire":
         print(json.dumps({"job": "expire", "deleted": store.expire(args.keep)}))
     elif args.job == "top-spenders":

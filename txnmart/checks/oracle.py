@@ -279,6 +279,7 @@ priorities as (
 
 ORACLE: dict[str, str] = {
     "csv_scan": f"with {FEED} select {COLUMNS} from feed",
+    "csv_scan_reordered": f"with {FEED} select {COLUMNS} from feed",
     "parquet_scan": "select * from lineitem",
     "parquet_roundtrip": f"with {FEED} select {COLUMNS} from feed",
     "staged_publish": MERGED,

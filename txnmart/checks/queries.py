@@ -91,6 +91,16 @@ def csv_scan(spark, sf_dir):
     return files.csv_scan(spark, path).select(COLUMNS)
 
 
+@query
+def csv_scan_reordered(spark, sf_dir):
+    """The feed in two deliveries, the second with its columns in another order."""
+    feed, folder = staged(transactions(spark, sf_dir), "feed"), scratch_path(spark, "csv")
+    early = F.col("transaction_date") < F.lit(HISTORY_END).cast("date")
+    files.write_csv(feed.where(early), f"{folder}/1")
+    files.write_csv(feed.where(~early).select(*reversed(COLUMNS)), f"{folder}/2")
+    return files.csv_scan(spark, f"{folder}/*").select(COLUMNS)
+
+
 @query
 def parquet_scan(spark, sf_dir):
     return files.parquet_scan(spark, f"{sf_dir}/lineitem.parquet", schema=None)

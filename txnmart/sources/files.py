@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import csv
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -17,10 +21,93 @@ CSV_OPTIONS = {
 }
 
 
-def csv_scan(spark: SparkSession, path: str, schema: T.StructType = RAW_CSV) -> DataFrame:
-    """Transactions from CSV. A field that does not parse is NULL and the whole line is
-    kept in ``_corrupt_record``. Lines never span rows, so big files split."""
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+class HeaderMismatch(ValueError):
+    """A CSV file whose header does not name exactly the expected columns."""
+
+
+def csv_scan(
+    spark: SparkSession, path: str | list[str], schema: T.StructType = RAW_CSV
+) -> DataFrame:
+    """Transactions from CSV, columns taken by the names in each file's header.
+
+    Files may order their columns differently; a file that lacks a column or has an unknown
+    or repeated one is refused (:class:`HeaderMismatch`). A field that does not parse is NULL
+    and the whole line is kept in ``_corrupt_record``. Lines never span rows, so big files
+    split."""
+    by_header = headers(spark, path)
+    names = [n for n in schema.fieldNames() if n != CORRUPT]
+    for header, files in by_header.items():
+        if problem := header_problem(header, names):
+            raise HeaderMismatch(f"{files[0]}: {problem}")
+    scans = []
+    for header, files in by_header.items():
+        fields = [schema[n] for n in header] + [f for f in schema.fields if f.name == CORRUPT]
+        # One order for all files, the usual case: let Spark list them.
+        found = path if len(by_header) == 1 else files
+        scan = spark.read.schema(T.StructType(fields)).options(**CSV_OPTIONS).csv(found)
+        scans.append(scan.select(schema.fieldNames()))
+    if not scans:
+        return spark.createDataFrame([], schema)
+    return reduce(DataFrame.unionAll, scans)
+
+
+def header_problem(header: tuple[str, ...], names: list[str]) -> str | None:
+    """What is wrong with a header, or None."""
+    missing = [n for n in names if n not in header]
+    unknown = [n for n in header if n not in names]
+    repeated = sorted({n for n in header if header.count(n) > 1})
+    said = [
+        f"{what} {', '.join(columns)}"
+        for what, columns in (("missing", missing), ("unknown", unknown), ("repeated", repeated))
+        if columns
+    ]
+    return "; ".join(said) or None
+
+
+def headers(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """The CSV files of a path, by the column names of their header. Only the first line of
+    each file is read, several files at a time; files without a line are left out."""
+    paths = [path] if isinstance(path, str) else path
+    files = [f for p in paths for f in data_files(spark, p)]
+    with ThreadPoolExecutor(16) as pool:
+        lines = list(pool.map(lambda f: first_line(spark, f), files))
+    out: dict[tuple[str, ...], list[str]] = {}
+    for file, line in zip(files, lines, strict=True):
+        if line:
+            names = next(csv.reader([line.removeprefix("\ufeff")]))
+            out.setdefault(tuple(n.strip() for n in names), []).append(file)
+    return out
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The files below a path or pattern, without hidden ones and markers."""
+    fs, pattern = _file_system(spark, path)
+    found = []
+    folders = [s.getPath() for s in fs.globStatus(pattern) or ()]
+    for folder in folders:
+        listing = fs.listFiles(folder, True)
+        root = folder.toString().rstrip("/")
+        while listing.hasNext():
+            status = listing.next()
+            file = status.getPath().toString()
+            inside = file[len(root) :].split("/")
+            if status.getLen() and not any(p.startswith(("_", ".")) for p in inside):
+                found.append(file)
+    return sorted(found)
+
+
+def first_line(spark: SparkSession, file: str) -> str | None:
+    fs, path = _file_system(spark, file)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+    stream = fs.open(path)
+    try:
+        plain = codec.createInputStream(stream) if codec else stream
+        utf8 = jvm.java.nio.charset.StandardCharsets.UTF_8
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, utf8)).readLine()
+    finally:
+        stream.close()
 
 
 def parquet_scan(
@@ -30,18 +117,30 @@ def parquet_scan(
     return reader.parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Let all cores work on a source that splits into fewer parts than there are cores,
-    such as one small file; anything larger is returned as it is, unshuffled."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path (or a pattern) names anything, on whatever file system it is."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    found = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(hadoop)
-    return found is not None and len(found) > 0
+    return bool(matching_paths(spark, path))
+
+
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """What a path or pattern names."""
+    fs, hadoop = _file_system(spark, pattern)
+    return [s.getPath().toString() for s in fs.globStatus(hadoop) or ()]
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file that must not exist yet."""
+    fs, hadoop = _file_system(spark, path)
+    stream = fs.create(hadoop, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
 
 
 def write_csv(df: DataFrame, path: str) -> None:

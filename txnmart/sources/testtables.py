@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnmart.sources.files import spread
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -30,7 +28,7 @@ def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _lines(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     keys = ["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_shipdate"]
-    return spread(table(spark, sf_dir, "lineitem").select(*keys, *more))
+    return table(spark, sf_dir, "lineitem").select(*keys, *more)
 
 
 def transactions(spark: SparkSession, sf_dir: str, rates: bool = False) -> DataFrame:
