@@ -8,6 +8,7 @@ from hypothesis import settings as hypothesis_settings
 from hypothesis import strategies as st
 
 from txnmart.operators import history
+from txnmart.scratch import staged
 
 DIM = "k long, v string, valid_from date, valid_to date, is_current boolean"
 CHANGES = "k long, v string, on date, seq long"
@@ -57,6 +58,56 @@ def test_scd2_leaves_other_keys_alone(spark):
     )
 
 
+def test_scd2_keeps_ends_and_gaps(spark):
+    rows = [
+        (1, "a", day(0), day(3), False),  # ended, not in the changes
+        (2, "a", day(0), day(3), False),  # ended, opened again later with the same value
+        (3, "a", day(0), day(9), False),  # a change before its end
+        (4, "a", day(0), day(3), False),  # opened again on the day it ended
+        (None, "n", day(0), None, True),
+    ]
+    changes = [(2, "a", day(5), 1), (3, "b", day(4), 2), (4, "b", day(3), 3), (None, "m", day(2), 4)]
+    dim = spark.createDataFrame(rows, DIM)
+    expected = [
+        rows[0],
+        rows[1],
+        (2, "a", day(5), None, True),
+        (3, "a", day(0), day(4), False),
+        (3, "b", day(4), day(9), False),
+        (4, "a", day(0), day(3), False),
+        (4, "b", day(3), None, True),
+        (None, "n", day(0), day(2), False),
+        (None, "m", day(2), None, True),
+    ]
+    for _ in range(2):  # delivered again, nothing changes
+        dim = history.scd2_merge(dim, spark.createDataFrame(changes, CHANGES), "k", "v", "on", "seq")
+        assert values(dim) == sorted(expected, key=str)
+
+
+def test_unchanged_keys_are_not_in_a_window(spark):
+    """They go from the scan through an anti join to the result."""
+    dim = spark.createDataFrame([(i, "a", day(0), None, True) for i in range(50)], DIM)
+    dim = staged(dim, "dim")
+    changes = spark.createDataFrame([(3, "b", day(1), 1)], CHANGES)
+    got = history.scd2_merge(dim, changes, "k", "v", "on", "seq")
+    assert got.count() == 51
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    first, _, rest = plan.partition("LeftAnti")
+    assert "Window" not in first.partition("Union")[2].partition("Join")[0] and "LeftSemi" in rest
+
+
+def test_cdc_operations_and_null_keys(spark):
+    target = spark.createDataFrame([(1, 10), (2, 20), (3, 30), (None, 40)], "k long, v long")
+    changes = spark.createDataFrame(
+        [(1, None, 11, 1), (2, "d", 0, 2), (3, "??", 0, 3), (4, " i ", 44, 4), (None, "U", 41, 5), (5, "D", 0, 6)],
+        "k long, op string, v long, seq long",
+    )
+    for _ in range(2):
+        target = history.cdc_apply(target, changes, "k", "op", "seq")
+        assert values(target) == sorted([(1, 10), (3, 30), (4, 44), (None, 41)], key=str)
+    assert [r.seq for r in history.cdc_rejected(changes, "op").orderBy("seq").collect()] == [1, 3]
+
+
 ops = st.tuples(st.integers(1, 4), st.sampled_from("IUD"), st.one_of(st.none(), st.integers(0, 9)))
 
 

@@ -277,6 +277,17 @@ priorities as (
          cast(o_orderdate as date) as changed_on, o_orderkey as seq
   from orders)"""
 
+CHANGES = """
+changes as (
+  select case when o_orderkey % 11 <> 3 then o_custkey end as c_custkey,
+         o_totalprice as c_acctbal,
+         case when o_orderkey % 7 = 1 then case o_orderstatus when 'O' then 'u' when 'P' then 'd' when 'F' then 'i' end
+              when o_orderkey % 7 = 2 then 'X'
+              when o_orderkey % 7 <> 3 then case o_orderstatus when 'O' then 'U' when 'P' then 'D' when 'F' then 'I' end
+         end as op,
+         o_orderkey as seq
+  from orders)"""
+
 ORACLE: dict[str, str] = {
     "csv_scan": f"with {FEED} select {COLUMNS} from feed",
     "csv_scan_reordered": f"with {FEED} select {COLUMNS} from feed",
@@ -411,23 +422,42 @@ days as (
   select * from (
     select *, row_number() over (partition by customer_key, changed_on order by seq desc) as n
     from priorities) where n = 1),
-before as (
-  select *, lag(priority) over (partition by customer_key order by changed_on) as old from days),
-versions as (select * from before where old is null or old <> priority)
-select customer_key, priority, changed_on as valid_from,
-       lead(changed_on) over (partition by customer_key order by changed_on) as valid_to,
-       lead(changed_on) over (partition by customer_key order by changed_on) is null as is_current
-from versions""",
-    "cdc_apply": """
-with last as (
+old as (
+  select c_custkey as customer_key,
+         case when c_custkey % 5 = 0 then date '{q.OLD_ENDS[0]}'
+              else date '{q.OLD_ENDS[1]}' end as ended
+  from customer where c_custkey % 5 < 2),
+events as (
+  select customer_key, priority, changed_on as day, 1 as kind from days
+  union all
+  select customer_key, '{q.OLD_PRIORITY}', date '{q.OLD_START}', 1 from old
+  union all
+  select customer_key, null, ended, 0 from old
+  where not exists (select 1 from days d where d.customer_key = old.customer_key
+                                          and d.changed_on = old.ended)),
+seen as (
+  select *, lag(kind) over (partition by customer_key order by day) as kind_before,
+         lag(priority) over (partition by customer_key order by day) as priority_before
+  from events),
+kept as (
+  select * from seen
+  where kind = 0 or kind_before is null or kind_before = 0 or priority_before <> priority),
+spans as (
+  select *, lead(day) over (partition by customer_key order by day) as valid_to from kept)
+select customer_key, priority, day as valid_from, valid_to, valid_to is null as is_current
+from spans where kind = 1""",
+    "cdc_apply": f"""
+with {CHANGES},
+last as (
   select * from (
-    select o_custkey, o_totalprice, o_orderstatus,
-           row_number() over (partition by o_custkey order by o_orderkey desc) as n
-    from orders) where n = 1)
-select coalesce(c_custkey, o_custkey) as c_custkey,
-       case when o_custkey is null then c_acctbal else o_totalprice end as c_acctbal
-from customer full join last on c_custkey = o_custkey
-where o_custkey is null or o_orderstatus <> 'P'""",
+    select *, row_number() over (partition by c_custkey order by seq desc) as n
+    from changes where upper(op) in ('I', 'U', 'D')) where n = 1)
+select c_custkey, c_acctbal from customer c
+where not exists (select 1 from last l where l.c_custkey is not distinct from c.c_custkey)
+union all
+select c_custkey, c_acctbal from last where upper(op) <> 'D'""",
+    "cdc_rejected": f"""
+with {CHANGES} select * from changes where op is null or upper(op) not in ('I', 'U', 'D')""",
     "atomic_publish": f"with {HISTORY_SILVER},{dims('history')} {fact('history')}",
     "load_audit": f"""with {SILVER},{dims()}
 select 1::bigint as version, 'silver' as table_name, 'append' as action, count(*) as row_count from silver

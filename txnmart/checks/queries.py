@@ -35,6 +35,7 @@ FIRST_MONTH_END = "1995-02-01"
 LOAD_TS = "2026-03-12 08:00:00"
 RULE_DAYS = ("1995-01-01", "2000-12-31")
 SYNTH_DAYS = (dt.date(2024, 3, 12), dt.date(2026, 3, 12))
+OLD_PRIORITY, OLD_START, OLD_ENDS = "0-OLD", "1990-01-01", ("1991-01-01", "1998-06-01")
 TOP = 20
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -521,32 +522,56 @@ def dim_upsert(spark, sf_dir):
 
 @query
 def scd2_customer(spark, sf_dir):
-    """Versions from the history's changes, then from all changes delivered again."""
+    """Versions from the history's changes, then from all changes delivered again, on top of
+    customers whose old version had ended: some before any change, some between two."""
     changes = priorities(spark, sf_dir)
-    dim = spark.createDataFrame(
-        [],
-        "customer_key long, priority string, valid_from date, valid_to date, is_current boolean",
+    old = F.col("c_custkey") % 5
+    dim = (
+        table(spark, sf_dir, "customer")
+        .where(old < 2)
+        .select(
+            F.col("c_custkey").alias("customer_key"),
+            F.lit(OLD_PRIORITY).alias("priority"),
+            F.lit(OLD_START).cast("date").alias("valid_from"),
+            F.when(old == 0, F.lit(OLD_ENDS[0])).otherwise(F.lit(OLD_ENDS[1])).cast("date").alias("valid_to"),
+            F.lit(False).alias("is_current"),
+        )
     )
     for batch in (before(changes, HISTORY_END, "changed_on"), changes):
         dim = history.scd2_merge(dim, batch, "customer_key", "priority", "changed_on", "seq")
     return dim
 
 
-@query
-def cdc_apply(spark, sf_dir):
-    """Orders as changes to their customer: an open one updates the balance, a pending
-    one deletes the customer, a filled one (re)inserts it."""
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as changes to their customer: an open one updates the balance, a pending one
+    deletes the customer, a filled one (re)inserts it. Some write the operation in small
+    letters, some leave it out or ask for something unknown, some have no customer."""
     ops = {"O": "U", "P": "D", "F": "I"}
-    status = F.col("o_orderstatus")
+    status, order = F.col("o_orderstatus"), F.col("o_orderkey")
     op = F.coalesce(*[F.when(status == s, F.lit(o)) for s, o in ops.items()])
-    changes = table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").alias("c_custkey"),
+    return table(spark, sf_dir, "orders").select(
+        F.when(order % 11 != 3, F.col("o_custkey")).alias("c_custkey"),
         F.col("o_totalprice").alias("c_acctbal"),
-        op.alias("op"),
-        F.col("o_orderkey").alias("seq"),
+        F.when(order % 7 == 1, F.lower(op))
+        .when(order % 7 == 2, F.lit("X"))
+        .when(order % 7 != 3, op)
+        .alias("op"),
+        order.alias("seq"),
     )
-    return history.cdc_apply(customers, changes, "c_custkey", "op", "seq")
+
+
+@query
+def cdc_apply(spark, sf_dir):
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    changes = order_changes(spark, sf_dir)
+    once = staged(history.cdc_apply(customers, changes, "c_custkey", "op", "seq"), "changed")
+    # Delivered again, the same changes leave everything as it is.
+    return history.cdc_apply(once, changes, "c_custkey", "op", "seq")
+
+
+@query
+def cdc_rejected(spark, sf_dir):
+    return history.cdc_rejected(order_changes(spark, sf_dir), "op")
 
 
 class Interrupted(RuntimeError):
