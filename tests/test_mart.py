@@ -101,7 +101,8 @@ def test_rows_without_an_id_are_set_aside_not_repeated(spark, store):
         assert store.read(mart.QUARANTINE).count() == 2
     mart.ingest_frame(store, frame(spark, txn(1), txn(2)))
     assert mart.transform(store).rows == 1
-    assert store.read(mart.QUARANTINE).count() == 0
+    assert store.read(mart.QUARANTINE).count() == 2
+    assert {r.violations for r in store.read(mart.QUARANTINE).collect()} == {"id_present"}
 
 
 def test_dead_load_leaves_the_last_star(spark, store):
@@ -197,3 +198,68 @@ def test_totals_in_parts_equal_totals_at_once(spark, store):
     store.publish({mart.SILVER: frame(spark, *rows[:7])})
     assert mart.refresh_totals(store).status == mart.LOADED
     same()
+
+
+def test_validated_transform(spark, store):
+    rows = [
+        txn(1, "  ", amount=5.0),
+        txn(1, "B", amount=5.0),
+        txn(None),
+        txn(2, amount=-5.0, day="1900-01-01"),
+        txn(3, email="nobody"),
+        txn(4, merchant=" "),
+    ]
+    checks = mart.Checks(defaults=True, dedup=True, days=("2024-01-01", "2024-12-31"))
+    for _ in range(2):
+        mart.ingest_frame(store, frame(spark, *rows))
+        mart.transform(store, checks)
+        good = {r.transaction_id: r for r in store.read(mart.SILVER).collect()}
+        bad = {r.transaction_id: r.violations for r in store.read(mart.QUARANTINE).collect()}
+        assert bad == {None: "id_present", 2: "amount_positive,date_in_range", 3: "email_shape"}
+        assert set(good) == {1, 4} and good[1].customer_name is None
+        assert good[4].merchant_name == "UNKNOWN"
+        assert len(good) + len(bad) == len(rows) - 1
+
+
+def test_stream_and_batch_set_the_same_rows_aside(spark, store):
+    from txnmart.streaming.ingest import merge_batch
+
+    merge_batch(store, mart.SILVER, frame(spark, txn(None, "S"), txn(1)))
+    mart.ingest_frame(store, frame(spark, txn(None, "S"), txn(None, "T"), txn(1), txn(2), txn(2)))
+    assert mart.transform(store, mart.Checks(dedup=True)).rows == 1
+    merge_batch(store, mart.SILVER, frame(spark, txn(None, "T"), txn(3)))
+    assert sorted(r.customer_name for r in store.read(mart.QUARANTINE).collect()) == ["S", "T"]
+    assert [r[0] for r in silver(store)] == [1, 2, 3]
+
+
+def test_a_star_by_email_stays_by_email(spark, store):
+    mart.append_new(store, mart.SILVER, frame(spark, txn(1, "A", "a@x.org"), txn(2, "B", "a@x.org")))
+    mart.load(store, LOAD_TS, by_email=True)
+    mart.append_new(store, mart.SILVER, frame(spark, txn(3, "C", "a@x.org"), txn(4, "D", None)))
+    mart.load_incremental(store, LOAD_TS)
+    mart.append_new(store, mart.SILVER, frame(spark, txn(5, "E", "a@x.org")))
+    mart.load_incremental(store, LOAD_TS)
+    ids = {r.transaction_id: r.customer_id for r in store.read(mart.FACT).collect()}
+    assert ids == {1: 1, 2: 1, 3: 1, 4: 2, 5: 1}
+
+
+def test_silver_written_by_other_means_is_compared_with_the_fact(spark, store):
+    mart.append_new(store, mart.SILVER, frame(spark, txn(1)))
+    mart.load(store, LOAD_TS)
+    store.append(mart.SILVER, frame(spark, txn(1), txn(2)))
+    assert mart.load_incremental(store, LOAD_TS).rows == 1
+    store.publish({mart.SILVER: frame(spark, txn(2), txn(3))})
+    assert mart.load_incremental(store, LOAD_TS).rows == 1
+
+
+def test_customer_history(spark, store):
+    assert mart.refresh_history(store).status == mart.SKIPPED_NO_SOURCE
+    for rows in ([txn(1, "A", day="2024-01-01")], [txn(2, "B", day="2024-01-05"), txn(3, "A", day="2024-01-03")]):
+        mart.append_new(store, mart.SILVER, frame(spark, *rows))
+        assert mart.refresh_history(store).status == mart.LOADED
+    assert mart.refresh_history(store).status == mart.UNCHANGED
+    got = store.read(mart.CUSTOMER_HISTORY).orderBy("valid_from").collect()
+    assert [(r.customer_name, str(r.valid_from), r.is_current) for r in got] == [
+        ("A", "2024-01-01", False),
+        ("B", "2024-01-05", True),
+    ]

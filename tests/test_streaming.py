@@ -42,7 +42,7 @@ def test_a_batch_committed_before_a_crash_is_left_alone(spark, store):
         merge_batch(store, "t", batch, "stream/0")
     assert store.read("t_quarantine").count() == 1
     merge_batch(store, "t", batch, "stream/1")
-    assert store.read("t_quarantine").count() == 2
+    assert store.read("t_quarantine").count() == 1  # the same row, delivered again
     assert ids(store.read("t")) == [1]
 
 

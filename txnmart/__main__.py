@@ -23,6 +23,7 @@ from txnmart.sinks.store import MartStore
 from txnmart.sources.files import path_exists, write_csv
 from txnmart.sources.synthetic import sequential_ids, synthetic_transactions
 from txnmart.streaming.ingest import csv_stream, ingest_available
+from txnmart.streaming.totals import daily_totals_stream, utc_instant, write_available
 
 
 def parser() -> argparse.ArgumentParser:
@@ -47,13 +48,32 @@ def parser() -> argparse.ArgumentParser:
 
     ingest = job("ingest", "CSV to the raw table", "mart", "source")
     ingest.add_argument("--incremental", action="store_true", help="add only new ids")
-    job("transform", "clean raw rows and append the new ones to silver", "mart")
+    transform = job("transform", "clean raw rows and append the new ones to silver", "mart")
     load = job("load", "rebuild the star and publish it", "mart", "time")
     load.add_argument("--incremental", action="store_true", help="extend it instead")
-    job("run", "ingest, transform and load", "mart", "source", "time")
-    job("stream", "merge CSV files that have arrived into silver", "mart", "source").add_argument(
-        "--state", required=True, help="checkpoint folder of the stream"
-    )
+    run = job("run", "ingest, transform and load", "mart", "source", "time")
+    for p in (transform, run):
+        p.add_argument("--defaults", action="store_true", help="blank text to NULL or a default")
+        p.add_argument("--dedup", action="store_true", help="one row per id")
+        p.add_argument(
+            "--days", nargs=2, metavar=("FIRST", "LAST"),
+            help="check the business rules, with transactions between these days; rows that "
+            "break one go to the quarantine table",
+        )
+    for p in (load, run):
+        p.add_argument(
+            "--by-email", action="store_true", help="find customers by email alone; kept by "
+            "incremental loads",
+        )
+    stream = job("stream", "merge CSV files that have arrived into silver", "mart", "source")
+    stream.add_argument("--state", required=True, help="checkpoint folder of the stream")
+    stream.add_argument("--files-per-batch", type=int, help="most files of a micro-batch")
+    totals = job("stream-totals", "daily totals of an event stream, each day once it is final")
+    totals.add_argument("--source", required=True, help="folder or pattern of parquet files")
+    totals.add_argument("--output", required=True, help="folder of the totals")
+    totals.add_argument("--state", required=True, help="checkpoint folder of the stream")
+    totals.add_argument("--lateness", default="1 hour")
+    job("history", "bring the type-2 table of customers up to date with silver", "mart")
     database = job("load-database", "send the star to a database over JDBC", "mart")
     database.add_argument("--url", required=True)
     database.add_argument("--driver", default="org.postgresql.Driver")
@@ -93,16 +113,32 @@ def main(argv: list[str] | None = None) -> int:
         clear_scratch(spark)
 
 
-def stream(store: MartStore, source: str, state: str) -> mart.StepResult:
+def stream(
+    store: MartStore, source: str, state: str, files_per_batch: int | None = None
+) -> mart.StepResult:
     if not path_exists(store.spark, source):
         return mart.StepResult(mart.SKIPPED_NO_SOURCE)
     before = store.at().rows(mart.SILVER)
-    ingest_available(store, mart.SILVER, csv_stream(store.spark, source), state)
+    files = csv_stream(store.spark, source, files_per_batch)
+    ingest_available(store, mart.SILVER, files, state)
     at = store.at()
     rows = at.rows(mart.SILVER) - before
     return mart.StepResult(mart.LOADED if rows else mart.UNCHANGED, rows, at.version)
 
 
+def stream_totals(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Events have a zone-less UTC ``ts`` and a ``value``; the schema is that of the files that
+    are there."""
+    schema = spark.read.parquet(args.source).schema
+    events = spark.readStream.schema(schema).parquet(args.source)
+    events = events.withColumn("ts", utc_instant(F.col("ts")))
+    write_available(daily_totals_stream(events, args.lateness), args.output, args.state)
+
+
+def checks_of(args: argparse.Namespace) -> mart.Checks:
+    return mart.Checks(args.defaults, args.dedup, tuple(args.days) if args.days else None)
+
+
 def run_job(spark: SparkSession, args: argparse.Namespace) -> int:
     store = MartStore(spark, args.mart) if "mart" in args else None
     result = None
@@ -110,16 +146,22 @@ def run_job(spark: SparkSession, args: argparse.Namespace) -> int:
         step = mart.ingest_incremental if args.incremental else mart.ingest
         result = step(store, args.source)
     elif args.job == "transform":
-        result = mart.transform(store)
+        result = mart.transform(store, checks_of(args))
     elif args.job == "load":
         step = mart.load_incremental if args.incremental else mart.load
-        result = step(store, args.load_time)
+        result = step(store, args.load_time, by_email=args.by_email)
+    elif args.job == "history":
+        result = mart.refresh_history(store)
+    elif args.job == "stream-totals":
+        stream_totals(spark, args)
     elif args.job == "totals":
         result = mart.refresh_totals(store)
     elif args.job == "run":
-        result = mart.run(store, args.source, args.load_time)
+        result = mart.run(
+            store, args.source, args.load_time, checks_of(args), by_email=args.by_email
+        )
     elif args.job == "stream":
-        result = stream(store, args.source, args.state)
+        result = stream(store, args.source, args.state, args.files_per_batch)
     elif args.job == "load-database":
         target = JdbcTarget(args.url, args.driver, connections=args.connections)
         print(json.dumps(mart.load_database(store, target, args.schema, args.incremental)))

@@ -236,12 +236,10 @@ BROKEN_RULES = {
     "email_shape": f"not coalesce(regexp_matches(customer_email, '{EMAIL}'), false)",
     "id_unique": "transaction_id is not null and copies > 1",
 }
+BROKEN = ", ".join(f"case when {t} then '{n}' end" for n, t in BROKEN_RULES.items())
 CHECKED = f"""{TEXT_SILVER},
 counted as (select *, count(*) over (partition by transaction_id) as copies from silver),
-checked as (
-  select *, concat_ws(',', {", ".join(f"case when {t} then '{n}' end"
-                                      for n, t in BROKEN_RULES.items())}) as violations
-  from counted)"""
+checked as (select *, concat_ws(',', {BROKEN}) as violations from counted)"""
 
 
 def schema_row(name: str, kind: str) -> str:
@@ -354,6 +352,39 @@ from (select distinct l_orderkey * 10 + l_linenumber as transaction_id from line
     "fact_transactions_by_email": f"""with {SILVER},{dims()}
 {fact(on='s.customer_email is not distinct from c.customer_email', names=False)}""",
     "mart_end_to_end": FULL_FACT,
+    "mart_validated_run": f"""with {TEXT_FEED},
+tidy as ({cleaned('text_feed')}),
+filled as (
+  select transaction_id, nullif(customer_name, '') as customer_name,
+         nullif(customer_email, '') as customer_email,
+         coalesce(nullif(merchant_name, ''), '{DEFAULTS["merchant_name"]}') as merchant_name,
+         transaction_amount, transaction_date
+  from tidy),
+silver as (
+  select * from filled where transaction_id is null
+  union all {DEDUP.replace("from silver", "from filled where transaction_id is not null")}),
+counted as (select *, 1 as copies from silver)
+select {COLUMNS}, concat_ws(',', {BROKEN}) as violations from counted""",
+    "fact_incremental_by_email": f"""with {FIRST_LOAD},{added('later')}
+{fact('first_month', 'old_', on='s.customer_email is not distinct from c.customer_email', names=False)}
+union all
+{fact('later', 'new_', on='s.customer_email is not distinct from c.customer_email', names=False)}""",
+    "customer_history": f"""with {HISTORY_SILVER},
+one as ({DEDUP}),
+early as ({DEDUP.replace("from silver", "from history")}),
+merged as (select * from early union all ({new_rows('one', 'early')})),
+days as (
+  select * from (
+    select *, row_number() over (partition by customer_email, transaction_date
+                                 order by transaction_id desc) as n
+    from merged) where n = 1),
+seen as (
+  select *, lag(customer_name) over w as old, lag(transaction_id) over w is null as first
+  from days window w as (partition by customer_email order by transaction_date)),
+versions as (select * from seen where first or old is distinct from customer_name)
+select customer_email, customer_name, transaction_date as valid_from,
+       lead(transaction_date) over w as valid_to, lead(transaction_date) over w is null as is_current
+from versions window w as (partition by customer_email order by transaction_date)""",
     "monthly_spend": MONTHLY,
     "top_spenders": f"{MONTHLY} order by total_spent desc, customer_name, month limit {q.TOP}",
     "daily_totals": f"with {SILVER} {totals('silver')}",
@@ -487,6 +518,10 @@ from orders
 left join accounts on o_custkey = c_custkey
 left join days on cast(o_orderdate as date) = full_date""",
     "stream_ingest": f"with {ORDER_FEED} {cleaned('order_feed')}",
+    "stream_ingest_lines": f"""with {HISTORY_SILVER},
+one as ({DEDUP}),
+early as ({DEDUP.replace("from silver", "from history")})
+select * from early union all ({new_rows('one', 'early')})""",
     "stream_daily_totals": """
 select cast(ts as date) as day, count(*) as transactions,
        cast(sum(cast(value as decimal(18,2))) as double) as total_amount

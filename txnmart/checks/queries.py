@@ -341,6 +341,40 @@ def mart_end_to_end(spark, sf_dir):
     return store.read(mart.FACT)
 
 
+@query
+def mart_validated_run(spark, sf_dir):
+    """The untidy feed through ingest and a transform with defaults, de-duplication and rules,
+    delivered twice: silver, and the quarantine with its reasons."""
+    path = scratch_path(spark, "csv")
+    files.write_csv(text_transactions(spark, sf_dir), path)
+    store = new_store(spark)
+    for _ in range(2):
+        mart.ingest(store, path).require()
+        mart.transform(store, mart.Checks(defaults=True, dedup=True, days=RULE_DAYS))
+    good = store.read(mart.SILVER).withColumn("violations", F.lit(""))
+    return good.unionByName(store.read(mart.QUARANTINE))
+
+
+@query
+def fact_incremental_by_email(spark, sf_dir):
+    """A star loaded by email with the first month, then extended by the whole feed."""
+    feed, store = staged_silver(spark, sf_dir), new_store(spark)
+    for batch in (before(feed, FIRST_MONTH_END), feed):
+        mart.append_new(store, mart.SILVER, batch)
+        mart.load_incremental(store, LOAD_TS, by_email=True)
+    return store.read(mart.FACT)
+
+
+@query
+def customer_history(spark, sf_dir):
+    """The type-2 table of customers after two loads of silver."""
+    feed, store = staged_silver(spark, sf_dir), new_store(spark)
+    for batch in (before(feed, HISTORY_END), feed):
+        mart.append_new(store, mart.SILVER, delta.dedup_batch(batch))
+        mart.refresh_history(store)
+    return store.read(mart.CUSTOMER_HISTORY)
+
+
 # --- reports
 
 
@@ -384,10 +418,12 @@ def daily_totals_incremental(spark, sf_dir):
 
 @query
 def table_counts(spark, sf_dir):
-    feed = staged_silver(spark, sf_dir)
-    names = [d.table for d in dims.DIMENSIONS]
-    members = [d.members(feed) for d in dims.DIMENSIONS]
-    return reports.table_counts({**dict(zip(names, members)), mart.FACT: feed})
+    """Rows of the published star, counted in its tables."""
+    store = new_store(spark)
+    store.append(mart.SILVER, silver(spark, sf_dir))
+    mart.load(store, LOAD_TS)
+    star = [*(d.table for d in dims.DIMENSIONS), mart.FACT]
+    return reports.table_counts({name: store.read(name) for name in star})
 
 
 # --- incremental warehouse
@@ -674,6 +710,19 @@ def stream_ingest(spark, sf_dir):
     return store.read(mart.SILVER)
 
 
+@query
+def stream_ingest_lines(spark, sf_dir):
+    """Line items, whose ids repeat inside and across micro-batches, as two deliveries."""
+    feed = staged(transactions(spark, sf_dir), "stream-feed")
+    folder, store = scratch_path(spark, "stream-in"), new_store(spark)
+    checkpoint = scratch_path(spark, "stream-state")
+    for part, delivered in enumerate((before(feed, HISTORY_END), feed)):
+        files.write_csv(delivered, f"{folder}/delivery-{part}")
+        stream = stream_ingest_jobs.csv_stream(spark, f"{folder}/*")
+        stream_ingest_jobs.ingest_available(store, mart.SILVER, stream, checkpoint)
+    return store.read(mart.SILVER)
+
+
 @query
 def stream_daily_totals(spark, sf_dir):
     # A pattern, since a stream reads folders or patterns, not a single file.

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from txnmart.functions.cleaning import clean
+from txnmart.functions.cleaning import clean, null_handling
 from txnmart.operators import reports
-from txnmart.operators.delta import new_rows
+from txnmart.operators.delta import dedup_batch, new_rows
 from txnmart.operators.dims import DIMENSIONS, Dimension
 from txnmart.operators.facts import fact_transactions
+from txnmart.operators.history import scd2_merge
+from txnmart.operators.quality import split_by_rules, tag_violations, transaction_rules
 from txnmart.schemas import COLUMNS, ID
 from txnmart.scratch import staged
 from txnmart.sinks.jdbc import JdbcTarget, append, full_reload, is_empty
@@ -21,7 +24,10 @@ from txnmart.sinks.store import APPEND, MartStore, Snapshot, Written
 from txnmart.sources.files import csv_scan, path_exists
 
 RAW, SILVER, QUARANTINE, FACT = "raw", "silver", "silver_quarantine", "fact_transactions"
-DAY_PARTS = "day_parts"
+DAY_PARTS, CUSTOMER_HISTORY = "day_parts", "customer_history"
+# How commits are named: silver rows that were compared with silver, and how a fact's
+# customers were found.
+CHECKED_NEW, BY_EMAIL, BY_NAME = "new:", "load-by-email:", "load-by-name:"
 
 LOADED = "LOADED"
 UNCHANGED = "UNCHANGED"
@@ -74,22 +80,65 @@ def raw_incremental(store: MartStore, feed: DataFrame | None) -> StepResult:
     return append_new(store, RAW, feed)
 
 
-def transform(store: MartStore) -> StepResult:
-    """Clean the raw table and append what is new to silver.
+@dataclass(frozen=True)
+class Checks:
+    """What a validated transform does beyond cleaning; each part is optional.
+
+    ``defaults``: blank text becomes NULL and gets its default. ``dedup``: one row per id.
+    ``days``: the first and last day a transaction may have; with it all business rules
+    (:func:`transaction_rules`, and ids that do not repeat) must hold."""
+
+    defaults: bool = False
+    dedup: bool = False
+    days: tuple[str, str] | None = None
 
-    Rows without an id would be new on every run; they are set aside in the quarantine
-    table, which shows those of the present raw table.
+
+def transform(store: MartStore, checks: Checks = Checks()) -> StepResult:
+    """Clean the raw table, apply ``checks``, and append what is new to silver.
+
+    Without checks all rows with an id go on, as they are. Rows without an id would be new
+    on every run; they, and those that break a rule, are added to the quarantine table with
+    the rules they break, once however often they are delivered.
     """
     mart = store.at()
     raw = mart.read(RAW)
     if raw is None:
         return StepResult(SKIPPED_NO_SOURCE)
     cleaned = clean(raw.select(COLUMNS))
-    delta = _write_new(store, mart, SILVER, cleaned.where(F.col(ID).isNotNull()))
-    lost = store.write(QUARANTINE, cleaned.where(F.col(ID).isNull()))
-    if lost.rows or mart.rows(QUARANTINE):
-        return _commit_new(store, mart, delta, lost)
-    return _commit_new(store, mart, delta)
+    if checks.defaults:
+        cleaned = null_handling(cleaned)
+    if checks.dedup:
+        cleaned = staged(dedup_batch(cleaned), "deduplicated")
+    if checks.days:
+        rules = transaction_rules(*checks.days)
+        tagged = staged(tag_violations(staged(cleaned, "to-check"), rules), "checked")
+        good, bad = split_by_rules(tagged)
+        delta = _write_new(store, mart, SILVER, good)
+        bad = bad.withColumn("violations", F.concat_ws(",", "violations"))
+        return _commit_new(store, mart, delta, write_rejected(store, mart, bad))
+    seen = Observation()
+    without_id = F.count_if(F.col(ID).isNull())
+    observed = cleaned.observe(seen, without_id.alias("without_id"))
+    delta = _write_new(store, mart, SILVER, observed.where(F.col(ID).isNotNull()))
+    lost = None
+    if seen.get["without_id"]:
+        lost = write_rejected(store, mart, without_ids(cleaned))
+    return _commit_new(store, mart, delta, lost)
+
+
+def without_ids(rows: DataFrame) -> DataFrame:
+    """The rows without an id, as the quarantine holds them."""
+    return rows.where(F.col(ID).isNull()).withColumn("violations", F.lit("id_present"))
+
+
+def write_rejected(
+    store: MartStore, mart: Snapshot, rows: DataFrame, table: str = QUARANTINE
+) -> Written:
+    """Write what the quarantine does not hold yet: as many copies of a row as are missing."""
+    known = mart.read(table)
+    if known is not None:
+        rows = rows.select(known.columns).exceptAll(known)
+    return store.write(table, rows, APPEND)
 
 
 def append_new(store: MartStore, table: str, batch: DataFrame | None) -> StepResult:
@@ -110,10 +159,9 @@ def _write_new(store: MartStore, mart: Snapshot, table: str, batch: DataFrame) -
 def _commit_new(
     store: MartStore, mart: Snapshot, delta: Written, aside: Written | None = None
 ) -> StepResult:
-    tables = [delta] if delta.rows else []
-    if aside:
-        tables.append(aside)
-    version = store.commit(*tables, base=mart.version) if tables else None
+    tables = [w for w in (delta, aside) if w and w.rows]
+    name = f"{CHECKED_NEW}{uuid.uuid4().hex}"
+    version = store.commit(*tables, base=mart.version, name=name) if tables else None
     if delta.rows:
         return StepResult(LOADED, delta.rows, version)
     return StepResult(SKIPPED_EMPTY if mart.read(delta.table) is None else UNCHANGED)
@@ -148,26 +196,33 @@ def load(
     star = [store.written(w) for w in dims]
     fact = store.write(FACT, fact_transactions(silver, *star, load_ts, by_email=by_email))
     done(FACT)
-    return StepResult(LOADED, fact.rows, store.commit(*dims, fact, base=mart.version))
+    name = f"{BY_EMAIL if by_email else BY_NAME}{uuid.uuid4().hex}"
+    return StepResult(LOADED, fact.rows, store.commit(*dims, fact, base=mart.version, name=name))
 
 
-def load_incremental(store: MartStore, load_ts: str) -> StepResult:
+def load_incremental(store: MartStore, load_ts: str, by_email: bool = False) -> StepResult:
     """Extend the published star by the silver rows its fact lacks.
 
-    Only silver rows added after the version the fact was computed from are looked at, and
-    of those the ones whose id the fact does not have. Known members keep their ids; new
-    ones are numbered on from the last. With no fact yet, or an empty one, this is a full
-    :func:`load`.
+    Only silver rows added after the version the fact was computed from are looked at. They
+    are new to the fact if the jobs here added them, which compare ids with silver; only if
+    silver was replaced or written by other means are they compared with the fact's ids.
+    Known members keep their ids; new ones are numbered on from the last. Customers are found
+    as the fact's full load found them; with no fact yet, or an empty one, this is a full
+    :func:`load`, and ``by_email`` says how.
     """
     mart = store.at()
     if mart.read(SILVER) is None:
         return StepResult(SKIPPED_NO_SOURCE)
     if mart.rows(FACT) == 0:
-        return load(store, load_ts)
-    added_since = mart.read(SILVER, since=mart.base(FACT))
-    if added_since is None:
+        return load(store, load_ts, by_email)
+    by_email = mart.commits(FACT)[0].startswith(BY_EMAIL)
+    since = mart.base(FACT)
+    batch = mart.read(SILVER, since=since)
+    if batch is None:
         return StepResult(UNCHANGED)
-    batch = staged(new_rows(added_since, mart.read(FACT)), "unloaded")
+    checked = all(c.startswith(CHECKED_NEW) for c in mart.commits(SILVER, since=since))
+    if mart.replaced_since(SILVER, since) or not checked:
+        batch = staged(new_rows(batch, mart.read(FACT)), "unloaded")
     if batch.isEmpty():
         return StepResult(UNCHANGED)
 
@@ -177,7 +232,9 @@ def load_incremental(store: MartStore, load_ts: str) -> StepResult:
 
     added = _for_each_dimension(extend)
     star = [mart.read(w.table).unionByName(store.written(w)) for w in added]
-    delta = store.write(FACT, fact_transactions(batch, *star, load_ts), APPEND)
+    delta = store.write(
+        FACT, fact_transactions(batch, *star, load_ts, by_email=by_email), APPEND
+    )
     tables = [*(w for w in added if w.rows), delta]
     return StepResult(LOADED, delta.rows, store.commit(*tables, base=mart.version))
 
@@ -188,13 +245,45 @@ def _for_each_dimension(work: Callable[[Dimension], Written]) -> list[Written]:
         return list(pool.map(work, DIMENSIONS))
 
 
-def run(store: MartStore, csv_path: str, load_ts: str) -> StepResult:
+def run(
+    store: MartStore,
+    csv_path: str,
+    load_ts: str,
+    checks: Checks = Checks(),
+    by_email: bool = False,
+) -> StepResult:
     """Ingest, transform and load in turn; stops at a step that is skipped."""
     ingested = ingest(store, csv_path)
     if ingested.status != LOADED:
         return ingested
-    transform(store)
-    return load(store, load_ts)
+    transform(store, checks)
+    return load(store, load_ts, by_email)
+
+
+def refresh_history(store: MartStore) -> StepResult:
+    """Keep the type-2 table of customers up to date: the name each email goes by, and since
+    when, from the silver rows added since. Of one day's names the last by id counts."""
+    mart = store.at()
+    if mart.read(SILVER) is None:
+        return StepResult(SKIPPED_NO_SOURCE)
+    known, since = mart.read(CUSTOMER_HISTORY), mart.base(CUSTOMER_HISTORY)
+    if mart.replaced_since(SILVER, since):
+        known, since = None, 0
+    added = mart.read(SILVER, since=since)
+    if added is None:
+        return StepResult(UNCHANGED)
+    if known is None:
+        known = store.spark.createDataFrame(
+            [],
+            "customer_email string, customer_name string, valid_from date, valid_to date, "
+            "is_current boolean",
+        )
+    changes = added.where("transaction_date is not null")
+    versions = scd2_merge(
+        known, changes, "customer_email", "customer_name", "transaction_date", ID
+    )
+    written = store.write(CUSTOMER_HISTORY, versions)
+    return StepResult(LOADED, written.rows, store.commit(written, base=mart.version))
 
 
 def refresh_totals(store: MartStore) -> StepResult:
