@@ -52,9 +52,15 @@ def bounded_sample(df: DataFrame, key: str, bound: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(F.lit(7), F.col(key)), F.lit(1 << 30)) < keep)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4_000_000):
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4_000_000, raw: bool = False):
     """Cut Arrow batches so that the texts of a slice hold about ``most`` bytes, or are one
-    text. Yields (slice, list of texts, NULL as '')."""
+    text. Yields (slice, list of texts, NULL as ''); with ``raw`` the texts as UTF-8 bytes."""
+
+    def texts(part: pa.RecordBatch) -> list:
+        values = part.column(column)
+        return [t or b"" for t in values.cast(pa.binary()).to_pylist()] if raw else [
+            t or "" for t in values.to_pylist()
+        ]
     for batch in batches:
         sizes = np.asarray(
             pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(
@@ -66,12 +72,12 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4_000_000
         for i, size in enumerate(sizes):
             if i > start and held + size > most:
                 part = batch.slice(start, i - start)
-                yield part, [t or "" for t in part.column(column).to_pylist()]
+                yield part, texts(part)
                 start, held = i, 0
             held += int(size)
         if start < batch.num_rows:
             part = batch.slice(start)
-            yield part, [t or "" for t in part.column(column).to_pylist()]
+            yield part, texts(part)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

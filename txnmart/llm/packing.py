@@ -14,6 +14,10 @@ opened first. Repeated rows are packed each; extra columns are ignored.
 
 from __future__ import annotations
 
+import functools
+import json
+import os
+import re
 from collections import deque
 from collections.abc import Callable, Iterator
 
@@ -27,55 +31,169 @@ from txnmart.llm.common import slices
 
 LENGTH = 4096
 END_ID = 2
-CACHED_WORDS = 400_000
+CACHED_WORDS = 900_000
+
+
+# A word of these Latin letters, with or without punctuation at its end, is lower-cased letter
+# by letter and cut into these two parts by the steps named below, and nothing else.
+_PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f]+")
+# The steps before the model, as such a vocabulary's file states them.
+_STEPS = (
+    ["NFC", "Replace", "Lowercase"],
+    r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
+    "ByteLevel",
+)
+
+
+def _byte_letters() -> list[str]:
+    """The letter that byte-level vocabularies write for each byte: printable Latin-1 bytes stand
+    for themselves, the others follow from U+0100 in order."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    other = iter(range(0x100, 0x200))
+    return [chr(b) if b in plain else chr(next(other)) for b in range(256)]
+
+
+class _Numbers(dict):
+    """Numbers words as they come, from 1, and notes the new ones."""
+
+    def __init__(self) -> None:
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self.new.append(word)
+        number = self[word] = len(self) + 1
+        return number
 
 
 class WordEncoder:
     """Token ids of texts through a cache of words. The tokenizer never joins what a space
-    parts, so a text's ids are those of its words in order. The cache is emptied when full."""
+    parts, so a text's ids are those of its words in order. Plain words go to the tokenizer's
+    model at once where the steps before it are known; other new words are encoded together,
+    parted by a special token of the vocabulary. The cache is emptied when full."""
+
+    TOGETHER = 2048
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        special = {i: t.content for i, t in self._tokenizer.get_added_tokens_decoder().items()}
+        self._part = max(special) if special else -1
+        self._parter = special.get(self._part, "")
+        self._letters = _byte_letters()
+        self._plain = self._steps(path) == _STEPS
         self._clear()
 
+    @staticmethod
+    def _steps(path: str):
+        """The kinds of normalizers, the splitting pattern and the last pre-tokenizer."""
+        with open(path, encoding="utf-8") as f:
+            parts = json.load(f)
+        try:
+            split, last = parts["pre_tokenizer"]["pretokenizers"]
+            kinds = [n["type"] for n in parts["normalizer"]["normalizers"]]
+            known = (split["behavior"], split["invert"], last["add_prefix_space"], last["use_regex"])
+            if known != ("Removed", True, False, False):
+                return None
+            return kinds, split["pattern"]["Regex"], last["type"]
+        except (KeyError, TypeError, ValueError):
+            return None
+
     def _clear(self) -> None:
-        self._index: dict[bytes, int] = {}
+        self._numbers = _Numbers()
         self._flat = np.zeros(1 << 16, np.uint32)
-        self._starts: list[int] = []
-        self._lengths: list[int] = []
+        self._starts = np.zeros(1 << 14, np.int64)  # of each word's ids
+        self._lengths = np.zeros(1 << 14, np.int64)
         self._used = 0
+        self._pieces: dict[bytes, list[int]] = {}
+
+    def _piece(self, text: bytes) -> list[int]:
+        """The model's ids of a lower-case piece, through a cache of its own."""
+        got = self._pieces.get(text)
+        if got is None:
+            spelt = text.decode() if text.isascii() else "".join([self._letters[b] for b in text])
+            got = self._pieces[text] = [t.id for t in self._tokenizer.model.tokenize(spelt)]
+        return got
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[bytes]) -> None:
-        for got, word in zip(
-            self._tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False),
-            words,
-            strict=True,
-        ):
-            ids = got.ids
-            while self._used + len(ids) > len(self._flat):
-                self._flat = np.concatenate([self._flat, np.zeros_like(self._flat)])
-            self._flat[self._used : self._used + len(ids)] = ids
-            self._index[word] = len(self._starts)
-            self._starts.append(self._used)
-            self._lengths.append(len(ids))
-            self._used += len(ids)
-
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        split = [t.encode().split() for t in texts]
-        fresh = {w for words in split for w in words if w not in self._index}
-        if len(self._index) + len(fresh) > CACHED_WORDS:
+        if self._plain:
+            plain, rest, ids, ends = [], [], [], []
+            for word in words:
+                core = word.rstrip(b".,;:!?$%*#&")
+                if core.isalpha():  # of ASCII letters
+                    own = self._piece(core.lower())
+                else:
+                    letters = core.decode()
+                    if not _PLAIN.fullmatch(letters):
+                        rest.append(word)
+                        continue
+                    own = self._piece(letters.lower().encode())
+                ids += own
+                if len(core) < len(word):
+                    ids += self._piece(word[len(core) :])
+                plain.append(word)
+                ends.append(len(ids))
+            self._add(plain, np.array(ids, np.uint32), np.array(ends, np.int64))
+            if len(self._pieces) > CACHED_WORDS // 2:
+                self._pieces = {}
+            words = rest
+        odd = [w for w in words if self._part < 0 or self._parter.encode() in w]
+        if odd:
+            words = [w for w in words if w not in set(odd)]
+        joiner = f" {self._parter} "
+        runs = []
+        for i in range(0, len(words), self.TOGETHER):
+            together = b"\n".join(words[i : i + self.TOGETHER]).decode().replace("\n", joiner)
+            runs += self._encode([together + joiner])
+        ids = np.array([i for run in runs for i in run], np.uint32)
+        cuts = np.flatnonzero(ids == self._part) if self._part >= 0 else np.zeros(0, np.int64)
+        self._add(words, np.delete(ids, cuts), cuts - np.arange(len(cuts)))
+        for word, own in zip(odd, self._encode([w.decode() for w in odd]), strict=True):
+            self._add([word], np.array(own, np.uint32), np.array([len(own)]))
+
+    def _add(self, words: list[bytes], ids: np.ndarray, ends: np.ndarray) -> None:
+        if not words:
+            return
+        while self._used + len(ids) > len(self._flat):
+            self._flat = np.concatenate([self._flat, np.zeros_like(self._flat)])
+        while len(self._numbers) >= len(self._starts):
+            self._starts = np.concatenate([self._starts, np.zeros_like(self._starts)])
+            self._lengths = np.concatenate([self._lengths, np.zeros_like(self._lengths)])
+        at = np.fromiter(map(self._numbers.__getitem__, words), np.int64, len(words))
+        starts = np.append(0, ends[:-1])
+        self._starts[at], self._lengths[at] = self._used + starts, ends - starts
+        self._flat[self._used : self._used + len(ids)] = ids
+        self._used += len(ids)
+
+    def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        """The ids of each UTF-8 text."""
+        if len(self._numbers) > CACHED_WORDS:
             self._clear()
-            fresh = {w for words in split for w in words}
-        self._learn(sorted(fresh))
-        starts, lengths = np.array(self._starts, np.int64), np.array(self._lengths, np.int64)
-        for words in split:
-            at = np.fromiter((self._index[w] for w in words), np.int64, len(words))
-            n = lengths[at]
+        # ASCII capitals end up as small letters anyhow; special tokens are left as they are.
+        fold = (lambda b: b if b"<|" in b else b.lower()) if self._plain else bytes
+        number = self._numbers.__getitem__
+        runs = []
+        for text in texts:
+            words = fold(text).split()
+            runs.append(np.fromiter(map(number, words), np.int64, len(words)))
+        new, self._numbers.new = self._numbers.new, []
+        if new:
+            self._learn(new)
+        for at in runs:
+            n = self._lengths[at]
             ends = np.cumsum(n)
             total = int(ends[-1]) if len(ends) else 0
-            yield self._flat[np.repeat(starts[at] - (ends - n), n) + np.arange(total)]
+            yield self._flat[np.repeat(self._starts[at] - (ends - n), n) + np.arange(total)]
+
+
+@functools.cache
+def encoder_of(path: str) -> WordEncoder:
+    """One encoder per worker process: the tasks that follow each other there share its cache."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    return WordEncoder(path)
 
 
 class LevelPacker:
@@ -171,7 +289,7 @@ def pack(
     names = ["doc_id", "start", "ids", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer() if callable(tokenizer) else tokenizer)
+        encoder = encoder_of(tokenizer() if callable(tokenizer) else tokenizer)
         packer = LevelPacker(length, most_open)
         upper = TaskContext.get().partitionId() << 40
         doc_type: pa.DataType | None = None
@@ -191,7 +309,7 @@ def pack(
             ]
             return pa.RecordBatch.from_arrays(columns, names=names)
 
-        for part, texts in slices(batches, "text"):
+        for part, texts in slices(batches, "text", raw=True):
             doc_type = part.column("doc_id").type
             ids_of = encoder.encode(texts)
             for doc, ids in zip(part.column("doc_id").to_pylist(), ids_of, strict=True):
