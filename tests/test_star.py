@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from helpers import frame, settings, txn, values
 from hypothesis import HealthCheck, given
 from hypothesis import settings as hypothesis_settings
@@ -85,3 +86,15 @@ def test_additions_to_an_empty_dimension(spark):
     feed = frame(spark, txn(1))
     empty = dims.DATE.build(frame(spark))
     assert values(dims.DATE.additions(feed, empty)) == [(dt.date(2024, 1, 7), 1, 2024, 1, 7, 1)]
+
+
+def test_ids_beyond_the_range_of_int(spark):
+    keys = spark.createDataFrame([("b",), ("a",), (None,)], "k string")
+    start = 2**31 - 2
+    got = dense_key(keys, "k", "id", start=start)
+    assert got.schema["id"].dataType.simpleString() == "bigint"
+    assert {r.k: r.id for r in got.collect()} == {None: start + 1, "a": start + 2, "b": start + 3}
+    small = dense_key(keys, "k", "id", id_type="int")
+    assert small.schema["id"].dataType.simpleString() == "int"
+    with pytest.raises(Exception, match="CAST_OVERFLOW|overflow"):
+        dense_key(keys, "k", "id", start=start, id_type="int").collect()

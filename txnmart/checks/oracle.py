@@ -83,7 +83,7 @@ TEXT_SILVER = f"{TEXT_FEED},\nsilver as ({cleaned('text_feed')})"
 
 
 def rank(order: str) -> str:
-    return f"cast(row_number() over (order by {order} nulls first) as integer)"
+    return f"row_number() over (order by {order} nulls first)"
 
 
 def first_names(source: str) -> str:
@@ -120,8 +120,8 @@ def added(source: str, old: str = "old_") -> str:
 new_{table} as (
   select * from {old}{table}
   union all
-  select *, cast((select coalesce(max({id_col}), 0) from {old}{table})
-                 + row_number() over (order by {key} nulls first) as integer) as {id_col}{more}
+  select *, (select coalesce(max({id_col}), 0) from {old}{table})
+            + row_number() over (order by {key} nulls first) as {id_col}{more}
   from ({members}) m
   where not exists (select 1 from {old}{table} o where o.{key} is not distinct from m.{key}))"""
 
@@ -197,21 +197,39 @@ def totals(source: str) -> str:
 
 
 def draw(stream: int, seed: int = 7) -> str:
-    x = f"((transaction_id + {seed * 1009 + stream * 7919 + 1}) % {syn.MODULUS})"
-    for _ in range(3):
-        x = f"(({x} * {syn.MULTIPLIER} + {stream + 1}) % {syn.MODULUS})"
+    x = (
+        f"((transaction_id % {syn.MODULUS} * {syn.MULTIPLIER} "
+        f"+ transaction_id // {syn.MODULUS} % {syn.MODULUS} * {syn.HIGH_MULTIPLIER} "
+        f"+ {seed * 1009 + stream * 7919 + 1}) % {syn.MODULUS})"
+    )
     return x
 
 
+def rounds(columns: dict[str, int], seed: int = 7) -> str:
+    """The later steps of each stream, one common table expression per round."""
+    out, source = [], "drawn0"
+    for n in range(1, syn.ROUNDS + 1):
+        each = ", ".join(
+            f"({c} * {c} % {syn.MODULUS} * {syn.MULTIPLIER} + {stream * 104729 + seed + 1}) % {syn.MODULUS} as {c}"
+            for c, stream in columns.items()
+        )
+        out.append(f"drawn{n} as (select transaction_id, {each} from {source})")
+        source = f"drawn{n}"
+    return ",\n".join(out)
+
+
+STREAMS = {"c": 1, "m": 2, "a": 3, "d": 4}
 SYNTH = f"""
 with ids as (select l_orderkey * 10 + l_linenumber as transaction_id from lineitem),
+drawn0 as (select transaction_id, {", ".join(f"{draw(n)} as {c}" for c, n in STREAMS.items())} from ids),
+{rounds(STREAMS)},
 drawn as (
   select transaction_id,
-         {draw(1)} % (select count(*) from customer) as customer,
-         {draw(2)} % (select count(*) from supplier) as merchant,
-         {syn.MIN_CENTS} + {draw(3)} % {syn.MAX_CENTS - syn.MIN_CENTS + 1} as cents,
-         {draw(4)} % {(q.SYNTH_DAYS[1] - q.SYNTH_DAYS[0]).days + 1} as day
-  from ids)
+         c % (select count(*) from customer) as customer,
+         m % (select count(*) from supplier) as merchant,
+         {syn.MIN_CENTS} + a % {syn.MAX_CENTS - syn.MIN_CENTS + 1} as cents,
+         d % {(q.SYNTH_DAYS[1] - q.SYNTH_DAYS[0]).days + 1} as day
+  from drawn{syn.ROUNDS})
 select transaction_id, 'Customer ' || customer as customer_name,
        'customer' || customer || '@example.com' as customer_email,
        'Merchant ' || merchant || ', Inc' as merchant_name,
@@ -343,7 +361,7 @@ select * from silver union all ({cleaned('order_feed')})""",
     "incremental_merge": MERGED,
     "dense_key": """
 select transaction_id,
-       cast(row_number() over (order by transaction_id) as integer) as dense_id
+       row_number() over (order by transaction_id) as dense_id
 from (select distinct l_orderkey * 10 + l_linenumber as transaction_id from lineitem)""",
     "dim_customer": f"with {SILVER},{dims()} select * from dim_customer",
     "dim_merchant": f"with {SILVER},{dims()} select * from dim_merchant",

@@ -42,13 +42,14 @@ class Dimension:
     table: str
     key: str
     id_col: str
+    id_type: str = "bigint"
 
     def members(self, silver: DataFrame) -> DataFrame:
         return MEMBERS[self.table](silver)
 
     def build(self, silver: DataFrame) -> DataFrame:
         """All members with ids 1..n in key order."""
-        return self._finish(dense_key(self.members(silver), self.key, self.id_col))
+        return self._finish(dense_key(self.members(silver), self.key, self.id_col, id_type=self.id_type))
 
     def additions(self, silver: DataFrame, existing: DataFrame) -> DataFrame:
         """Members not in ``existing`` (NULL matches NULL), numbered after its last id.
@@ -58,7 +59,7 @@ class Dimension:
             known, F.col(self.key).eqNullSafe(F.col("known_key")), "left_anti"
         )
         last = existing.agg(F.max(self.id_col)).first()[0] or 0
-        return self._finish(dense_key(new, self.key, self.id_col, start=last))
+        return self._finish(dense_key(new, self.key, self.id_col, start=last, id_type=self.id_type))
 
     def _finish(self, keyed: DataFrame) -> DataFrame:
         return date_parts(keyed) if self.table == "dim_date" else keyed

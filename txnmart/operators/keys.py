@@ -13,9 +13,14 @@ POSITION_BITS = 33
 POSITION_MASK = (1 << POSITION_BITS) - 1
 
 
-def dense_key(keys: DataFrame, order_by: str, id_col: str, start: int = 0) -> DataFrame:
+def dense_key(
+    keys: DataFrame, order_by: str, id_col: str, start: int = 0, id_type: str = "bigint"
+) -> DataFrame:
     """Add ``id_col`` = start + rank of ``order_by``, which must be unique; NULL is first.
 
+    Ids are long. ``id_type="int"`` fits tables that were made with such ids; an id beyond
+    its range then fails.
+
     The keys are range-partitioned and sorted, each row's partition and position are
     written out once (a recomputed sort could draw other range bounds), and every
     partition's offset is the sum of the counts before it. Only the counts, one row per
@@ -36,5 +41,5 @@ def dense_key(keys: DataFrame, order_by: str, id_col: str, start: int = 0) -> Da
     position = F.col("_rank").bitwiseAND(F.lit(POSITION_MASK))
     return placed.join(F.broadcast(offsets), "_part").select(
         *keys.columns,
-        (F.lit(start) + F.col("_offset") + position + 1).cast("int").alias(id_col),
+        (F.lit(start).cast("long") + F.col("_offset") + position + 1).cast(id_type).alias(id_col),
     )

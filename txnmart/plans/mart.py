@@ -19,12 +19,13 @@ from txnmart.operators.history import scd2_merge
 from txnmart.operators.quality import split_by_rules, tag_violations, transaction_rules
 from txnmart.schemas import COLUMNS, ID
 from txnmart.scratch import staged
-from txnmart.sinks.jdbc import JdbcTarget, append, full_reload, is_empty
+from txnmart.sinks.jdbc import JdbcTarget, append, check_rows, is_empty, reload_all
 from txnmart.sinks.store import APPEND, MartStore, Snapshot, Written
 from txnmart.sources.files import csv_scan, path_exists
 
 RAW, SILVER, QUARANTINE, FACT = "raw", "silver", "silver_quarantine", "fact_transactions"
 DAY_PARTS, CUSTOMER_HISTORY = "day_parts", "customer_history"
+DATABASE_LOADS = "database_loads"
 # How commits are named: silver rows that were compared with silver, and how a fact's
 # customers were found.
 CHECKED_NEW, BY_EMAIL, BY_NAME = "new:", "load-by-email:", "load-by-name:"
@@ -311,17 +312,40 @@ def load_database(
     """Send the published star to the database, dimensions before the fact that points at
     them. Returns the rows sent per table.
 
-    Tables are truncated and loaded again; with ``incremental``, a table that already has
-    rows only gets those whose key it lacks. That fits a star kept up by
-    :func:`load_incremental`, whose ids stay, and can be repeated after a failure.
+    All tables are replaced together (:func:`reload_all`). With ``incremental``, which fits a
+    star kept up by :func:`load_incremental`, a table that is empty gets all rows, and another
+    one the rows the mart gained since the last load that came to its end, of those the ones
+    whose key it lacks. Afterwards the database must hold as many rows as the mart, else
+    :class:`LoadMismatch` is raised: ids repeat in the fact, so after a load that died half-way
+    an incremental one may find fewer rows than it should, and a full one is needed.
     """
     mart = store.at()
     keys = {**{d.table: d.id_col for d in DIMENSIONS}, FACT: ID}
-    sent = {}
-    for table, key in keys.items():
-        name = f"{schema}.{table}" if schema else table
-        if incremental and not is_empty(store.spark, target, name):
-            sent[table] = append(mart.read(table), target, name, key=key)
-        else:
-            sent[table] = full_reload(mart.read(table), target, name, cascade=not incremental)
+    names = {table: f"{schema}.{table}" if schema else table for table in keys}
+    if not incremental:
+        rows = reload_all({names[t]: mart.read(t) for t in keys}, target)
+        sent = {t: rows[names[t]] for t in keys}
+    else:
+        since = last_load(mart, target, schema)
+        sent = {}
+        for table, key in keys.items():
+            if is_empty(store.spark, target, names[table]):
+                sent[table] = append(mart.read(table), target, names[table])
+                continue
+            added = mart.read(table, since=since)
+            sent[table] = append(added, target, names[table], key=key) if added is not None else 0
+        for table, name in names.items():
+            check_rows(store.spark, target, name, mart.rows(table))
+    loaded = [(target.url, schema, mart.version)]
+    log = store.spark.createDataFrame(loaded, "url string, schema string, version long")
+    store.append(DATABASE_LOADS, log.coalesce(1))
     return sent
+
+
+def last_load(mart: Snapshot, target: JdbcTarget, schema: str) -> int:
+    """The version that the last complete load of a database sent; 0 before the first."""
+    loads = mart.read(DATABASE_LOADS)
+    if loads is None:
+        return 0
+    same = (F.col("url") == target.url) & (F.col("schema") == schema)
+    return loads.where(same).agg(F.max("version")).first()[0] or 0

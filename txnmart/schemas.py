@@ -23,19 +23,19 @@ DIM_CUSTOMER = T.StructType(
     [
         T.StructField("customer_name", T.StringType()),
         T.StructField("customer_email", T.StringType()),
-        T.StructField("customer_id", T.IntegerType()),
+        T.StructField("customer_id", T.LongType()),
     ]
 )
 DIM_MERCHANT = T.StructType(
     [
         T.StructField("merchant_name", T.StringType()),
-        T.StructField("merchant_id", T.IntegerType()),
+        T.StructField("merchant_id", T.LongType()),
     ]
 )
 DIM_DATE = T.StructType(
     [
         T.StructField("transaction_date", T.DateType()),
-        T.StructField("date_id", T.IntegerType()),
+        T.StructField("date_id", T.LongType()),
         T.StructField("year", T.IntegerType()),
         T.StructField("month", T.IntegerType()),
         T.StructField("day", T.IntegerType()),
@@ -45,10 +45,10 @@ DIM_DATE = T.StructType(
 FACT = T.StructType(
     [
         T.StructField("transaction_id", T.LongType()),
-        T.StructField("customer_id", T.IntegerType()),
-        T.StructField("merchant_id", T.IntegerType()),
+        T.StructField("customer_id", T.LongType()),
+        T.StructField("merchant_id", T.LongType()),
         T.StructField("transaction_amount", T.DoubleType()),
-        T.StructField("date_id", T.IntegerType()),
+        T.StructField("date_id", T.LongType()),
         T.StructField("load_timestamp", T.TimestampNTZType()),
     ]
 )

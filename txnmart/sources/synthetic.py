@@ -11,18 +11,27 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Multiplier and modulus of the Lehmer step; amounts in cents, 5.00 to 5000.00.
-MULTIPLIER = 48271
+# A prime modulus, two multipliers; amounts in cents, 5.00 to 5000.00.
 MODULUS = 2147483647
+MULTIPLIER = 48271
+HIGH_MULTIPLIER = 69621
+ROUNDS = 3
 MIN_CENTS = 500
 MAX_CENTS = 500000
 
 
 def _draw(row_id: Column, seed: int, stream: int) -> Column:
-    """A number in [0, MODULUS) for one stream of draws; never overflows a long."""
-    x = (row_id + F.lit(seed * 1009 + stream * 7919 + 1).cast("long")) % F.lit(MODULUS)
-    for _ in range(3):
-        x = (x * F.lit(MULTIPLIER).cast("long") + F.lit(stream + 1)) % F.lit(MODULUS)
+    """A number in [0, MODULUS) for one stream of draws; never overflows a long.
+
+    Both halves of a 64-bit id take part, and squaring between the affine steps makes the
+    streams independent of each other: affine steps alone would leave all of them functions
+    of one number."""
+    modulus = F.lit(MODULUS).cast("long")
+    low = row_id % modulus
+    high = F.call_function("div", row_id - low, modulus) % modulus
+    x = (low * MULTIPLIER + high * HIGH_MULTIPLIER + (seed * 1009 + stream * 7919 + 1)) % modulus
+    for _ in range(ROUNDS):
+        x = ((x * x) % modulus * MULTIPLIER + (stream * 104729 + seed + 1)) % modulus
     return x
 
 
