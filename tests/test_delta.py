@@ -1,11 +1,13 @@
 """Which rows of a batch are new."""
 
+import pytest
 from helpers import frame, settings, txn, values
 from hypothesis import HealthCheck, given
 from hypothesis import settings as hypothesis_settings
 from hypothesis import strategies as st
 
 from txnmart.operators.delta import dedup_batch, merged, new_rows
+from txnmart.scratch import staged
 
 
 def ids(df):
@@ -75,3 +77,15 @@ def test_same_result_without_broadcast(spark):
     ):
         assert ids(new_rows(batch, existing)) == expected
     assert len(expected) == 105
+
+
+@pytest.mark.parametrize("known", [0, 3, 10, 17, 20])
+def test_every_way_of_finding_new_rows_gives_the_same(spark, known):
+    """From no key known to all of them: the ways differ by which list of keys is shorter."""
+    rows = [txn(i % 20, name=f"N{i}") for i in range(50)] + [txn(None), txn(None)]
+    existing = frame(spark, *[txn(i) for i in range(known)], txn(99), txn(None))
+    for narrow in ({}, {"spark__sql__autoBroadcastJoinThreshold": "-1"}):
+        with settings(spark, **narrow):
+            got = values(new_rows(staged(frame(spark, *rows), "batch"), existing))
+        expected = [r for r in rows if r[0] is None or r[0] >= known]
+        assert got == values(frame(spark, *expected))
