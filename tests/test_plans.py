@@ -153,7 +153,7 @@ def test_reports_shrink_the_fact_before_joining_customers(spark, feed, star):
     customers, merchants, dates = star
     fact = staged(facts.fact_transactions(feed, *star, "2026-01-01 00:00:00"), "fact")
     text = plan(reports.monthly_spend(fact, customers, dates))
-    assert "struct<customer_id:int,transaction_amount:double,date_id:int>" in text
+    assert "struct<customer_id:bigint,transaction_amount:double,date_id:bigint>" in text
     assert "IsNotNull(customer_id)" in text
     with settings(spark, **NO_BROADCAST):
         steps = re.findall(
