@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,4 +67,41 @@ def staged(df: DataFrame, label: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    if _open:
+        _open[-1].frames.append((out, path))
+    return out
+
+
+class Temporary:
+    """What was staged since a :func:`temporary` block began."""
+
+    def __init__(self) -> None:
+        self.frames: list[tuple[DataFrame, str]] = []
+        self.kept: list[tuple[DataFrame, str]] = []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Let a staged frame outlive the block."""
+        self.kept += [f for f in self.frames if f[0] is df]
+        self.frames = [f for f in self.frames if f[0] is not df]
+        return df
+
+
+_open: list[Temporary] = []
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[Temporary]:
+    """Delete what is staged inside the block when it ends, but for what it keeps: frames that
+    read anything else of it stop working. Blocks nest; what an inner one keeps is the outer
+    one's to delete. For one thread."""
+    mine = Temporary()
+    _open.append(mine)
+    try:
+        yield mine
+    finally:
+        _open.remove(mine)
+        for _, path in mine.frames:
+            delete_folder(spark, path)
+        if _open:
+            _open[-1].frames += mine.kept
