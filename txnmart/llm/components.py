@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnmart.scratch import staged
+from txnmart.scratch import staged, temporary
 
 
 def _downward(links: DataFrame) -> DataFrame:
@@ -31,24 +31,29 @@ def components(links: DataFrame) -> DataFrame:
     """``node`` and ``component`` (the smallest node reachable) of every node that has a link.
 
     ``links`` has long columns ``u`` and ``v``; order, repeats and loops do not matter."""
-    now = staged(_downward(links), "links")
-    state = _state(now)
-    while state[0]:
-        both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        down = staged(_downward(large), "links")
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        after = staged(
-            _downward(small.unionAll(least.select("u", F.col("m").alias("v")))), "links"
-        )
-        new_state = _state(after)
-        if new_state == state:
-            break
-        now, state = after, new_state
-    # Links are stars now: each node but the smallest points at it.
-    roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return staged(
-        now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(roots), "components"
-    )
+    spark = links.sparkSession
+    with temporary(spark) as block:
+        now = staged(_downward(links), "links")
+        state = _state(now)
+        while state[0]:
+            with temporary(spark) as round_:
+                after = round_.keep(staged(_round(now), "links"))
+            new_state = _state(after)
+            if new_state == state:
+                break
+            now, state = after, new_state
+        # Links are stars now: each node but the smallest points at it.
+        roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+        stars = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+        return block.keep(staged(stars.unionAll(roots), "components"))
+
+
+def _round(now: DataFrame) -> DataFrame:
+    """The links after a large-star and a small-star step."""
+    both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    down = staged(_downward(large), "links")
+    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    small = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return _downward(small.unionAll(least.select("u", F.col("m").alias("v"))))

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from txnmart.llm.common import partitions
 from txnmart.llm.components import components
-from txnmart.scratch import staged
+from txnmart.scratch import staged, temporary
 
 THRESHOLD = 0.9
 MISS = 2e-4
@@ -203,15 +203,18 @@ def near_vectors(
         .select(F.monotonically_increasing_id().alias("node"), "copies", "least", "vec"),
         "vector-classes",
     )
-    sums, links = link_classes(classes.select("node", "copies", "vec"), dtype, threshold, miss, chunk, seed)
-    of = components(links)
-    known = (
-        classes.select("node", "copies", "least")
-        .join(of, "node", "left")
-        .join(sums, "node", "left")
-        .withColumn("component", F.coalesce("component", "node"))
-    )
-    known = staged(known, "vector-components")
+    with temporary(vectors.sparkSession) as block:
+        sums, links = link_classes(
+            classes.select("node", "copies", "vec"), dtype, threshold, miss, chunk, seed
+        )
+        of = components(links)
+        known = (
+            classes.select("node", "copies", "least")
+            .join(of, "node", "left")
+            .join(sums, "node", "left")
+            .withColumn("component", F.coalesce("component", "node"))
+        )
+        known = block.keep(staged(known, "vector-components"))
     smallest = known.groupBy("component").agg(F.min("least").alias("component_id"))
     by_class = known.join(smallest, "component").select(
         "node", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from txnmart.llm.common import mix64, partitions, slices
 from txnmart.llm.components import components
 from txnmart.llm.fragments import distinct_entries, fragment_of, fragment_rows, joined, times
-from txnmart.scratch import staged
+from txnmart.scratch import staged, temporary
 
 SHINGLE = 5
 PERCENT = 80
@@ -295,14 +295,19 @@ def near_duplicates(docs: DataFrame, node: Column | None = None) -> DataFrame:
     component by id) for every row of ``docs`` (``doc_id``, ``text``). ``node`` numbers the rows;
     without it they are numbered here."""
     spark = docs.sparkSession
-    fragments = 4 * partitions(spark)
-    th = F.xxhash64("text")
     numbered = docs.select(
         (node if node is not None else F.monotonically_increasing_id()).alias("node"),
         "doc_id",
-        th.alias("th"),
+        F.xxhash64("text").alias("th"),
         "text",
     )
+    with temporary(spark) as block:
+        return block.keep(staged(_grouped(docs, numbered), "near-duplicates"))
+
+
+def _grouped(docs: DataFrame, numbered: DataFrame) -> DataFrame:
+    spark = docs.sparkSession
+    fragments = 4 * partitions(spark)
     rows = staged(_shared_counts(numbered, fragments), "shingle-counts")
     classes = staged(
         rows.where("n > 0")
@@ -315,13 +320,15 @@ def near_duplicates(docs: DataFrame, node: Column | None = None) -> DataFrame:
         F.col("node").alias("of_node"), F.col("doc_id").alias("of_id"), F.col("th").alias("of_th")
     )
     texts = (
-        docs.select("doc_id", th.alias("th"), "text")
+        docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
         .join(maybe, (F.col("th") == F.col("of_th")) & F.col("doc_id").eqNullSafe(F.col("of_id")))
         .select(F.col("of_node").alias("node"), "text")
         .dropDuplicates(["node"])
     )
-    sets = staged(_ordered_sets(texts, fragments), "shingle-sets")
-    of = _linked(sets)
+    with temporary(spark) as block:
+        sets = block.keep(staged(_ordered_sets(texts, fragments), "shingle-sets"))
+    with temporary(spark) as block:
+        of = block.keep(_linked(sets))
     grouped = staged(
         classes.join(of, "node", "left").select(
             "digest", "doc_id", "node", F.coalesce("component", "node").alias("component")
