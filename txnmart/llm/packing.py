@@ -14,7 +14,6 @@ opened first. Repeated rows are packed each; extra columns are ignored.
 
 from __future__ import annotations
 
-import functools
 import json
 import os
 import re
@@ -31,7 +30,7 @@ from txnmart.llm.common import slices
 
 LENGTH = 4096
 END_ID = 2
-CACHED_WORDS = 900_000
+CACHED_WORDS = 600_000
 
 
 # A word of these Latin letters, with or without punctuation at its end, is lower-cased letter
@@ -189,13 +188,6 @@ class WordEncoder:
             yield self._flat[np.repeat(self._starts[at] - (ends - n), n) + np.arange(total)]
 
 
-@functools.cache
-def encoder_of(path: str) -> WordEncoder:
-    """One encoder per worker process: the tasks that follow each other there share its cache."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    return WordEncoder(path)
-
-
 class LevelPacker:
     """Open sequences by fill level. ``put`` places pieces; ``closed`` gives and forgets the
     pieces of finished sequences, as (doc, start, ids, doc tokens, sequence, offset)."""
@@ -289,7 +281,8 @@ def pack(
     names = ["doc_id", "start", "ids", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(tokenizer() if callable(tokenizer) else tokenizer)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        encoder = WordEncoder(tokenizer() if callable(tokenizer) else tokenizer)
         packer = LevelPacker(length, most_open)
         upper = TaskContext.get().partitionId() << 40
         doc_type: pa.DataType | None = None
