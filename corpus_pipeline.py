@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from txnmart.llm import jaccard_join, mixing, packing, secrets, toxicity
 from txnmart.llm.common import table
-from txnmart.scratch import staged
+from txnmart.scratch import staged, temporary
 
 # Three stages are learned, hashed or drawn: no SQL can state the result.
 ORACLE_SQL: str | None = None
@@ -53,6 +53,8 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"stage-{name}")
-    return docs
+    with temporary(spark) as all_stages:
+        for name, stage in STAGES:
+            with temporary(spark) as block:
+                docs = block.keep(staged(stage(spark, docs, sf_dir), f"stage-{name}"))
+        return all_stages.keep(docs)

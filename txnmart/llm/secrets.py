@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from txnmart.scratch import staged
+from txnmart.scratch import staged, temporary
 
 
 def either_case(words: str) -> str:
@@ -231,39 +231,35 @@ def secret_report(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
     """``docs`` with every reported span replaced by ``mask``; other columns stay, ``n_chars``
     follows the text where there is one. A text without spans is left as it is, NULL too."""
-    spark_row = "_secret_row"
-    held = staged(docs.withColumn(spark_row, F.monotonically_increasing_id()), "redact")
-    spans = scan_secrets(held.select(F.struct(spark_row, "doc_id").alias("doc_id"), "text")).where(
-        F.size("spans") > 0
-    )
-    marks = spans.select(
-        F.col(f"doc_id.{spark_row}").alias(spark_row), F.col("spans").alias("_secret_spans")
-    )
+    row = "_secret_row"
+    held = staged(docs.withColumn(row, F.monotonically_increasing_id()), "redact")
+    numbered = held.select(F.col(row).alias("doc_id"), "text")
+    with temporary(docs.sparkSession) as block:
+        marks = scan_secrets(numbered).where(F.size("spans") > 0)
+        marks = marks.select(F.col("doc_id").alias("_secret_of"), F.col("spans").alias("_secret_spans"))
+        marks = block.keep(staged(marks, "redact-spans"))
     # Walk the spans in order; one that begins inside the last masked stretch adds to it.
+    text = F.col("text")
     start = F.struct(F.lit("").alias("done"), F.lit(0).cast("long").alias("at"))
-    walked = F.aggregate(
-        "_secret_spans",
-        start,
-        lambda acc, s: F.when(
-            s["start"] >= acc["at"],
-            F.struct(
-                F.concat(
-                    acc["done"],
-                    F.substring(F.col("text"), acc["at"].cast("int") + 1, (s["start"] - acc["at"]).cast("int")),
-                    F.lit(mask),
-                ).alias("done"),
-                s["end"].alias("at"),
-            ),
-        ).otherwise(F.struct(acc["done"].alias("done"), F.greatest(acc["at"], s["end"]).alias("at"))),
+
+    def step(acc: Column, s: Column) -> Column:
+        between = F.substring(text, acc["at"].cast("int") + 1, (s["start"] - acc["at"]).cast("int"))
+        masked = F.concat(acc["done"], between, F.lit(mask))
+        return F.when(
+            s["start"] >= acc["at"], F.struct(masked.alias("done"), s["end"].alias("at"))
+        ).otherwise(
+            F.struct(acc["done"].alias("done"), F.greatest(acc["at"], s["end"]).alias("at"))
+        )
+
+    walked = F.aggregate("_secret_spans", start, step)
+    rest = F.substring(text, walked["at"].cast("int") + 1, F.length(text))
+    out = held.join(marks, F.col(row) == F.col("_secret_of"), "left").withColumn(
+        "_secret_text",
+        F.when(F.col("_secret_spans").isNotNull(), F.concat(walked["done"], rest)),
     )
-    text = F.when(
-        F.col("_secret_spans").isNotNull(),
-        F.concat(walked["done"], F.substring(F.col("text"), walked["at"].cast("int") + 1, F.length("text"))),
-    ).otherwise(F.col("text"))
-    out = held.join(marks, spark_row, "left").withColumn("text", text)
+    changed = {"text": F.coalesce("_secret_text", text)}
     if "n_chars" in docs.columns:
-        out = out.withColumn(
-            "n_chars",
-            F.when(F.col("_secret_spans").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")),
-        )
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+        changed["n_chars"] = F.when(
+            F.col("_secret_text").isNotNull(), F.length("_secret_text").cast("long")
+        ).otherwise(F.col("n_chars"))
+    return out.withColumns(changed).select(*[F.col(f"`{c}`") for c in docs.columns])
