@@ -12,7 +12,8 @@ and the counts of all fragments are added up per document or per pair.
    order: rare first. Two documents that link share a shingle among the first ``n - 0.8 n + 1``
    of each in this order.
 4. Documents that share such a shingle are candidates. Candidates are first taken as stars
-   around the smallest document of a shingle; then all pairs whose documents are not yet in one
+   around the smallest document of a shingle, then between members of components that share
+   one; then all pairs whose documents are not yet in one
    component, and whose lengths and positions allow a link, are taken. Each pair's overlap is
    counted per fragment and summed. Links inside a component change nothing, so large groups of
    near copies are never expanded into pairs, and no link between components is lost.
@@ -43,6 +44,7 @@ from txnmart.scratch import staged, temporary
 
 SHINGLE = 5
 PERCENT = 80
+BRIDGE_ROUNDS = 4
 SEGMENTS = 8  # by the first three bits
 
 
@@ -273,23 +275,57 @@ def _linked(sets: DataFrame) -> DataFrame:
     )
     links = links.unionAll(staged(_verified(others, sets), "jaccard-links"))
     of = components(links)
-    one = staged(labelled(of), "labelled-prefixes")
+    # Components that share shingles but not yet a link meet through one member each, another
+    # one for every shingle, until that finds nothing more. It only spares the last step work.
+    for _ in range(BRIDGE_ROUNDS):
+        found = staged(_verified(_bridges(labelled(of)), sets), "jaccard-links")
+        if not found.take(1):
+            break
+        links = links.unionAll(found)
+        of = components(links)
+    # What is left: shingles of several components. A pair is taken at its first shared one.
+    lab = labelled(of)
+    open_ = lab.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    left = lab.join(open_.where("low != high").select("token"), "token")
+    order = sets.select(F.col("node").alias("of_node"), "prefix")
+    ahead = F.transform(F.filter("prefix", lambda p: p["pos"] < F.col("pos")), lambda p: p["token"])
+    one = staged(
+        left.join(order, F.col("node") == F.col("of_node")).select(
+            "token", "node", "n", "pos", "component", ahead.alias("ahead")
+        ),
+        "labelled-prefixes",
+    )
     x, y = one.alias("x"), one.alias("y")
     bound = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
-    rest = (
-        x.join(
-            y,
-            (F.col("x.token") == F.col("y.token"))
-            & (F.col("x.component") < F.col("y.component"))
-            & _enough(bound, F.col("x.n"), F.col("y.n")),
-        )
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        .distinct()
-    )
+    rest = x.join(
+        y,
+        (F.col("x.token") == F.col("y.token"))
+        & (F.col("x.component") < F.col("y.component"))
+        & _enough(bound, F.col("x.n"), F.col("y.n"))
+        & ~F.arrays_overlap("x.ahead", "y.ahead"),
+    ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     more = staged(_verified(rest, sets), "jaccard-links")
     return components(links.unionAll(more)) if more.take(1) else of
 
 
+def _bridges(entries: DataFrame) -> DataFrame:
+    """Pairs of documents of different components: for each shingle a member of its first and of
+    its last component, with a member of every other one. Members are picked by a hash."""
+    pick = F.min_by("node", F.xxhash64("token", "node")).alias("node")
+    members = entries.groupBy("token", "component").agg(pick)
+    member = F.struct("component", "node")
+    ends = members.groupBy("token").agg(F.min(member).alias("low"), F.max(member).alias("high"))
+    ends = ends.where("low.component != high.component")
+    met = members.join(ends, "token")
+    ways = [
+        met.where(F.col("component") != F.col(f"{end}.component")).select(
+            F.least("node", f"{end}.node").alias("a"), F.greatest("node", f"{end}.node").alias("b")
+        )
+        for end in ("low", "high")
+    ]
+    return ways[0].unionAll(ways[1]).distinct()
+
+
 def near_duplicates(docs: DataFrame, node: Column | None = None) -> DataFrame:
     """``node``, ``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` (the first row of its
     component by id) for every row of ``docs`` (``doc_id``, ``text``). ``node`` numbers the rows;
