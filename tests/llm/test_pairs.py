@@ -5,6 +5,7 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers_llm import WORDS, awkward_rows, documents, prose
 
@@ -216,6 +217,62 @@ def test_smallest_ids_spills(monkeypatch):
         assert [b.tolist() for b in suffix_dedup.smallest_ids(segments, least, memory)] == expected
 
 
+def test_queues_share_one_bound(monkeypatch):
+    most = []
+    grown = induced.Spool.grown
+
+    def seen(self, rows):
+        grown(self, rows)
+        most.append(self.held)
+
+    monkeypatch.setattr(induced.Spool, "grown", seen)
+    text = np.append(np.random.default_rng(0).integers(1, 120, 30_000), 0).astype(np.uint8)
+    order = np.concatenate([p for p, _ in induced.sort_suffixes(text, 5, 1000)])
+    raw = text.tobytes()
+    assert order.tolist() == sorted(range(len(raw)), key=lambda i: raw[i : i + 60])[::-1]
+    assert max(most) <= 500  # half for the queues, half for the large part
+
+
+@pytest.mark.parametrize("limit", [120, 2000, 20_000, 10**9])
+def test_one_key_larger_than_is_sorted_together(monkeypatch, limit):
+    rng = random.Random(limit)
+    common = [prose(i, 12)[:45] for i in range(4)]
+    held = {
+        ("".join(rng.choice("abc ") for _ in range(rng.randint(0, 40))) + rng.choice(common)
+         + "".join(rng.choice("ab") for _ in range(rng.randint(6, 30)))).encode()
+        for _ in range(300)
+    } | {b"-" * n for n in (50, 51, 400)} | {b"xy" * n for n in (30, 200)}
+    held = sorted(t for t in held if len(t) >= 50)
+    rng.shuffle(held)
+    # Most have one key, which is dealt; a few others, with strings of their own, come before and after.
+    key = [7] * len(held)
+    for k in (1, 1, 1, 2, 3, 9, 9, 10, 10):
+        key.append(k)
+        held.append((f"<{k}>" * rng.randint(20, 40)).encode())
+    least = [rng.randrange(40) for _ in held]
+    rows = [(k, 5, i, x, t) for i, (k, x, t) in enumerate(zip(key, least, held, strict=True))]
+    rows = sorted(rows + [(k, a, i, x + 50, t) for k, a, i, x, t in rows[::7]], key=lambda r: r[:4])
+    smallest = {}
+    for k, _, _, x, t in rows:
+        for i in range(len(t) - 49):
+            smallest[k, t[i : i + 50]] = min(x, smallest.get((k, t[i : i + 50]), 10**6))
+    sizes = []
+    sort = suffix_dedup.smallest_ids
+    monkeypatch.setattr(
+        suffix_dedup, "smallest_ids", lambda s, *a: sizes.append(sum(map(len, s))) or sort(s, *a)
+    )
+    columns = [pa.array(c) for c in zip(*rows, strict=True)]
+    table = pa.Table.from_arrays(columns, names=["key", "hi", "lo", "least", "held"])
+    got = {}
+    for out in suffix_dedup._resolve(table.to_batches(max_chunksize=25), limit):
+        for r in out.to_pylist():
+            for off, n, x in zip(r["offs"], r["lens"], r["ids"], strict=True):
+                for i in range(off, off + n):
+                    assert got.setdefault((r["lo"], i), x) == x
+    assert got == {(i, j): smallest[k, t[j : j + 50]] for k, _, i, _, t in rows for j in range(len(t) - 49)}
+    assert max(sizes, default=0) <= limit + 25 * max(map(len, held))
+
+
 # vectors
 
 
