@@ -202,6 +202,28 @@ def test_languages_held_out_and_mixed(spark):
     assert np.mean([y == ("en" if i < 20 else "de") for i, (_, y) in enumerate(mixed)]) > 0.8
 
 
+@pytest.mark.parametrize("short", ["fr", "de fr en"])
+def test_languages_with_short_texts_only(short):
+    """A language is learned from texts of fewer words than a passage has, also if all are short."""
+
+    def sample(first, n):
+        langs = [("en", "de", "fr")[i % 3] for i in range(n)]
+        sizes = [1 + i % 9 if x in short.split() else 30 + i % 70 for i, x in enumerate(langs)]
+        return [speech(x, first + i, k) for i, (x, k) in enumerate(zip(langs, sizes, strict=True))], langs
+
+    model = langid.train(*sample(0, 300))
+    texts, langs = sample(10_000, 300)
+    names, _ = langid.identify(model, texts)
+    for lang in ("en", "de", "fr"):
+        assert np.mean([a == b for a, b in zip(names, langs, strict=True) if b == lang]) > 0.9
+
+
+def test_sequences_of_uneven_passages():
+    at, y = langid._sequences(np.array([5, 0, 9, 2]), np.array([2, 3, 1, 2]), np.array([1, 0, 2, 1]), 3)
+    assert at.tolist() == [[5, 6, 0, 1, 2, 9], [2, 3, -1, -1, -1, -1]]
+    assert y.tolist() == [[1, 1, 0, 0, 0, 2], [1, 1, 0, 0, 0, 0]]
+
+
 def test_languages_awkward(spark):
     docs = documents(spark, awkward_rows(), extra=True)
     assert langid.language_report(docs).count() == len(awkward_rows())

@@ -4,6 +4,7 @@ A word's features are its prefixes and suffixes of one to three bytes, its byte
 and the languages whose learned lexicon holds it. Feature weights and the transitions between
 languages of neighbouring words are trained together by the likelihood of label sequences; the
 training sequences join passages of several languages, so changes inside a text are learned.
+Texts shorter than a passage are learned from whole.
 Forward-backward gives each word's label probabilities; a document's language is the one with
 the largest sum over its words.
 
@@ -192,42 +193,61 @@ def train(
     rng = np.random.default_rng(seed)
     # Passages of ``passage`` words from anywhere in the text; shorter texts come whole.
     first = np.cumsum(lengths) - lengths
-    usable = np.flatnonzero(lengths >= passage)
-    for epoch in range(epochs if len(usable) else 0):
+    usable = np.flatnonzero(lengths)
+    for epoch in range(epochs):
         adam.rate = 0.05 * (1 - epoch / epochs)
         # Each document gives up to eight passages per epoch.
-        docs = np.repeat(usable, np.minimum(8, lengths[usable] // passage))
+        docs = np.repeat(usable, np.clip(lengths[usable] // passage, 1, 8))
         rng.shuffle(docs)
-        start = first[docs] + (rng.random(len(docs)) * (lengths[docs] - passage + 1)).astype(np.int64)
-        docs, start = docs[: len(docs) // joined * joined], start[: len(docs) // joined * joined]
-        at = (start[:, None] + np.arange(passage)).reshape(-1, joined * passage)
-        y = np.repeat(label[docs], passage).reshape(-1, joined * passage)
+        size = np.minimum(lengths[docs], passage)
+        start = first[docs] + (rng.random(len(docs)) * (lengths[docs] - size + 1)).astype(np.int64)
+        at, y = _sequences(start, size, label[docs], joined)
         for i in range(0, len(at), 64):
             _step(model, adam, flat, words, at[i : i + 64], y[i : i + 64])
     return model
 
 
+def _sequences(start: np.ndarray, size: np.ndarray, label: np.ndarray, joined: int):
+    """Places and labels of the words of ``joined`` passages after each other, a row each; a place
+    of -1 is after the end."""
+    owner = np.arange(len(start)) // joined
+    total = np.bincount(owner, size).astype(np.int64)
+    before = np.cumsum(size) - size
+    within = np.arange(size.sum()) - np.repeat(before, size)
+    row = np.repeat(owner, size)
+    column = np.arange(size.sum()) - (np.cumsum(total) - total)[row]
+    at = np.full((len(total), int(total.max())), -1)
+    at[row, column] = np.repeat(start, size) + within
+    y = np.zeros(at.shape, np.int64)
+    y[row, column] = np.repeat(label, size)
+    return at, y
+
+
 def _step(model: Field, adam: Adam, flat, words, at, y) -> None:
     k = len(model.languages)
-    used, local = np.unique(flat[at], return_inverse=True)
-    local = local.reshape(at.shape).T
-    y = y.T
+    at = at[:, : int((at >= 0).sum(axis=1).max())].T
+    y = y[:, : len(at)].T
+    inside = at >= 0
+    used, local = np.unique(flat[at[inside]], return_inverse=True)
     described = model.describe([words[u] for u in used])
     emit = model.emissions(described)
     factors = np.exp(emit - emit.max(axis=1, keepdims=True)) + 1e-30
     trans, start = np.exp(model.p["trans"]), np.exp(model.p["start"])
-    grid = factors[local]
-    p, ahead, back = marginals(grid, np.zeros(local.shape, bool), trans, start)
-    scale = 1 / y.size
+    grid = np.ones((*at.shape, k))
+    grid[inside] = factors[local]
+    # What follows a sequence's end is apart from it.
+    p, ahead, back = marginals(grid, ~inside, trans, start)
+    scale = 1 / inside.sum()
     truth = np.eye(k)[y]
-    d = sum_by(local.ravel(), ((p - truth) * scale).reshape(-1, k), len(used))
+    d = sum_by(local, (p - truth)[inside] * scale, len(used))
     # Pair probabilities of neighbours, for the transitions.
-    pair = ahead[:-1, :, :, None] * trans * (grid[1:] * back[1:])[:, :, None, :]
-    pair /= pair.sum(axis=(2, 3), keepdims=True)
+    both = inside[1:]
+    pair = ahead[:-1][both][:, :, None] * trans * (grid[1:] * back[1:])[both][:, None, :]
+    pair /= pair.sum(axis=(1, 2), keepdims=True)
     seen = np.zeros((k, k))
-    np.add.at(seen, (y[:-1].ravel(), y[1:].ravel()), 1)
+    np.add.at(seen, (y[:-1][both], y[1:][both]), 1)
     grads = model.gradients(described, d)
-    grads["trans"] = (pair.sum(axis=(0, 1)) - seen) * scale
+    grads["trans"] = (pair.sum(axis=0) - seen) * scale
     grads["start"] = (p[0] - truth[0]).sum(axis=0) * scale
     adam.step(grads)
 
