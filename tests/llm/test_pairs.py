@@ -124,6 +124,17 @@ def test_jaccard_join_awkward(spark):
     assert ids == sorted(["1", "4", "5", "6", "7", "8", "10", "None", "11", "12"])
 
 
+def test_jaccard_join_null_id_beside_a_copy_with_an_id(spark):
+    base, other = prose(2, 120), prose(7, 60)
+    rows = [(None, base, "en", "a"), (5, base, "en", "a"), (9, base.replace("oak", "ash", 1), "en", "a")]
+    rows += [(2, other, "en", "a"), (None, other, "en", "a"), (None, prose(8, 30), "en", "a")]
+    got = jaccard_join.jaccard_report(documents(spark, rows)).collect()
+    assert sorted(
+        ((r[0] is not None, r[0] or 0, r["n_shingles"], r["component_id"]) for r in got), key=str
+    ) == expected_join(rows)
+    assert {r["doc_id"]: r["component_id"] for r in got if r["doc_id"]} == {2: 2, 5: 5, 9: 5}
+
+
 def test_jaccard_join_of_nothing(spark):
     assert jaccard_join.jaccard_report(documents(spark, [])).count() == 0
     assert jaccard_join.jaccard_report(documents(spark, [(1, None, None, None)])).collect()[0][:] == (1, 0, 1)

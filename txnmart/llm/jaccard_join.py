@@ -348,8 +348,11 @@ def _grouped(docs: DataFrame, numbered: DataFrame) -> DataFrame:
     classes = staged(
         rows.where("n > 0")
         .groupBy("digest")
-        .agg(F.min(F.struct("doc_id", "node", "th", "n", "shared")).alias("r"))
-        .select("digest", "r.*"),
+        .agg(
+            F.min(F.struct("doc_id", "node", "th", "n", "shared")).alias("r"),
+            F.min("doc_id").alias("least_id"),  # r has a NULL id if any row of the class has
+        )
+        .select("digest", "r.*", "least_id"),
         "set-classes",
     )
     maybe = classes.where(100 * F.col("shared") >= PERCENT * F.col("n")).select(
@@ -367,12 +370,12 @@ def _grouped(docs: DataFrame, numbered: DataFrame) -> DataFrame:
         of = block.keep(_linked(sets))
     grouped = staged(
         classes.join(of, "node", "left").select(
-            "digest", "doc_id", "node", F.coalesce("component", "node").alias("component")
+            "digest", "doc_id", "least_id", "node", F.coalesce("component", "node").alias("component")
         ),
         "set-components",
     )
     first = grouped.groupBy("component").agg(
-        F.min("doc_id").alias("component_id"), F.min(F.struct("doc_id", "node")).alias("first")
+        F.min("least_id").alias("component_id"), F.min(F.struct("doc_id", "node")).alias("first")
     )
     by_digest = grouped.select(F.col("digest").alias("of_digest"), "component").join(first, "component")
     out = rows.join(by_digest, F.col("digest") == F.col("of_digest"), "left")
