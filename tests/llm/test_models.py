@@ -153,6 +153,29 @@ def test_toxicity_held_out(spark):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
+def test_rare_toxic_phrase_is_not_taken_for_wrong_labels(monkeypatch):
+    """Documents of a kind that is not learned by the middle of training still count."""
+
+    def toxic(i, words, n):
+        rng = random.Random(i)
+        text = prose(i, rng.randint(20, 80)).split()
+        for _ in range(n):
+            text.insert(rng.randrange(len(text)), rng.choice(words))
+        return " ".join(text)
+
+    texts = [prose(i, 20 + i % 60) for i in range(360)]
+    texts += [toxic(1000 + i, ["vile", "rotten", "wretch"], 3) for i in range(104)]
+    texts += [toxic(2000 + i, ["zorkblat"], 1) for i in range(16)]
+    rare, clean = [toxic(5000 + i, ["zorkblat"], 1) for i in range(40)], [prose(9000 + i, 20 + i % 60) for i in range(100)]
+    means = []
+    for doubt in (toxicity.DOUBT, 0.0):  # 0 leaves them out
+        monkeypatch.setattr(toxicity, "DOUBT", doubt)
+        net = toxicity.train(texts, np.repeat([0.0, 1.0], [360, 120]), steps=70)
+        means.append(toxicity.score_texts(net, rare).mean())
+        assert (toxicity.score_texts(net, clean) < 0.5).all()
+    assert means[0] > means[1] + 0.05
+
+
 def test_toxicity_awkward(spark):
     docs = documents(spark, awkward_rows(), extra=True)
     for marks, score in (([], 0.0), ([(1, 1)], 1.0), ([(2, 0), (None, 1), (3, None)], 0.0)):

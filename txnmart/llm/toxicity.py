@@ -5,7 +5,8 @@ learned vectors of its hashed character 3-grams. Windows of ``WINDOW`` words, ev
 words and one at the end, cover the whole text and overlap; each is read in both directions,
 pooled by attention and given a logit. A document's logit is the mean of its windows' logits
 weighted by their softmax, so that the worst passage decides. The label of a document trains
-all its windows through the same weighting.
+all its windows through the same weighting. In the second half of training, documents that still
+contradict their label by more than 0.8 count ``DOUBT``: the label may be wrong, or of a rare kind.
 
 Training takes a bounded sample of labelled documents (``SAMPLE``: at most so many of label 0 and
 of label 1) on the driver, both labels in equal parts, and the share of label 1 among all labels
@@ -33,6 +34,7 @@ THRESHOLD = 0.3
 HOLD_OUT, FOLDS = 2, 4
 BUCKETS = 4096
 SHARP = 4.0
+DOUBT = 0.5  # weight of documents that contradict their label by more than 0.8
 
 
 def windows(flat: np.ndarray, lengths: np.ndarray, pad: int) -> tuple[np.ndarray, np.ndarray]:
@@ -226,8 +228,8 @@ def train(
         logits, cache = net.forward(net.table(x), idx, keep=True)
         doc, weight = pool(logits, counts)
         d = (_sigmoid(doc) - toxic[docs]) / len(docs)
-        if 2 * step >= steps:  # what still contradicts its label is taken for a wrong label
-            d[np.abs(d) * len(docs) > 0.8] = 0
+        if 2 * step >= steps:  # a wrong label, or a rare kind that is not learned yet
+            d[np.abs(d) * len(docs) > 0.8] *= DOUBT
         of = np.repeat(np.arange(len(docs)), counts)
         d_logits = (d[of] * weight * (1 + SHARP * (logits - doc[of]))).astype(np.float32)
         grads, dtable = net.backward(idx, cache, d_logits, len(x))
