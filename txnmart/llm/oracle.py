@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from txnmart.llm.hard_negatives import BAND, EVERY, NEGATIVES, POSITIVES, SCALE
 from txnmart.llm.secrets import ACCESS, ASSIGN, BLOB, ENDPOINT, HEX, IDENT, SCOPE
 
 
@@ -76,4 +77,30 @@ select t.doc_id,
 from texts t left join spans s on t.row = s.row
 group by t.row, t.doc_id"""
 
-ORACLE: dict[str, str] = {"op1_secret_scan": OP1}
+OP13 = f"""
+with rows as (
+  select row_number() over () as row, vec_id,
+         case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: cast(floor({SCALE} * cast(x as double)) as bigint)) as v
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select a.row as anchor, a.vec_id as anchor_id, c.row, c.vec_id, a.label = c.label as alike,
+         cast(coalesce(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * c.v[i])), 0)
+              as bigint) as score
+  from rows a join rows c on len(a.v) = len(c.v)
+  where a.vec_id % {EVERY} = 0),
+positives as (
+  select anchor, anchor_id, vec_id as positive_id, score as positive_score,
+         row_number() over (partition by anchor order by score desc, vec_id) as nth
+  from scored where alike and row <> anchor
+  qualify nth <= {POSITIVES})
+select p.anchor_id, p.positive_id,
+       cast(row_number() over (partition by p.anchor, p.nth order by n.score desc, n.vec_id) as int) as rank,
+       n.vec_id as negative_id, p.positive_score, n.score as negative_score
+from positives p join scored n on p.anchor = n.anchor and not n.alike
+where {BAND[0]} * p.positive_score <= 100 * n.score and 100 * n.score <= {BAND[1]} * p.positive_score
+qualify rank <= {NEGATIVES}"""
+
+ORACLE: dict[str, str] = {"op1_secret_scan": OP1, "op13_hard_negatives": OP13}

@@ -10,6 +10,7 @@ from txnmart.llm import (
     cotraining,
     decision_list,
     embed_dedup,
+    hard_negatives,
     jaccard_join,
     langid,
     mixing,
@@ -68,6 +69,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_report(table(spark, sf_dir, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negative_report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decision_list": op2_decision_list,
@@ -79,4 +84,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_cotraining": op9_cotraining,
     "op10_jaccard_join": op10_jaccard_join,
+    "op13_hard_negatives": op13_hard_negatives,
 }
