@@ -1,0 +1,150 @@
+"""Periodic runs against brute force."""
+
+import hashlib
+import random
+import zlib
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from helpers_llm import awkward_rows, documents
+
+from txnmart.llm import periodic_runs
+from txnmart.llm.periodic_runs import PRIME
+
+
+def brute(words, least=24):
+    """All runs (start, length, period): for every period the longest stretches, without those that
+    a smaller period has too."""
+    n, found = len(words), {}
+    for q in range(1, n // 3 + 1):
+        s = 0
+        for i in range(n - q + 1):
+            if i == n - q or words[i] != words[i + q]:
+                if i - s + q >= max(least, 3 * q):
+                    found.setdefault((s, i + q), q)
+                s = i + 1
+    return sorted((s, e - s, q) for (s, e), q in found.items())
+
+
+def found(words):
+    codes, lengths, _ = periodic_runs.numbered([" ".join(words).encode()])
+    _, *runs = periodic_runs.Finder(codes, lengths).runs()
+    return list(zip(*(c.tolist() for c in runs), strict=True))
+
+
+def test_prime_and_root():
+    assert all(PRIME % k for k in range(2, 3000)) and (PRIME - 1) % (1 << 20) == 0
+    w = pow(periodic_runs.ROOT, (PRIME - 1) >> 20, PRIME)
+    assert pow(w, 1 << 19, PRIME) == PRIME - 1
+
+
+@pytest.mark.parametrize("block,many", [(8, 15), (16, 16), (64, 64), (128, 128), (2048, 2048)])
+def test_convolution_is_exact(block, many):
+    rng = np.random.default_rng(block)
+    a = rng.integers(-(PRIME // 2), PRIME // 2 + 1, (3, block))
+    b = rng.integers(-(PRIME // 2), PRIME // 2 + 1, (3, many + block - 1))
+    got = periodic_runs.correlated(a.astype(float), b.astype(float))
+    for i in range(3):
+        for d in (0, 1, many // 2, many - 1):
+            want = sum(int(x) * int(y) for x, y in zip(a[i], b[i, d : d + block], strict=True))
+            assert (want - int(got[i, d])) % PRIME == 0
+
+
+def test_largest_transform_is_exact():
+    size = 2 * periodic_runs.MOST_BLOCK
+    x = np.full((1, size // 2), PRIME // 2, float)
+    y = np.full((1, size - 1), -(PRIME // 2), float)
+    got = periodic_runs.correlated(x, y)
+    assert (got == periodic_runs.reduced(np.array([float(-(PRIME // 2) ** 2 % PRIME * (size // 2))]))).all()
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_against_brute_force(seed):
+    rng = random.Random(seed)
+    words = []
+    while len(words) < 700:
+        kind = rng.randrange(4)
+        if kind == 0:  # a repeated passage, cut anywhere, perhaps with an error
+            unit = [rng.choice("abcdefgh"[: rng.choice([1, 2, 8])]) for _ in range(rng.randint(1, 60))]
+            part = (unit * 9)[: rng.randint(len(unit), 9 * len(unit))]
+            if rng.random() < 0.4:
+                part[rng.randrange(len(part))] = "z"
+            words += part
+        elif kind == 1:
+            words += [str(rng.randrange(1000)) for _ in range(rng.randint(1, 40))]
+        elif kind == 2:  # a period that holds a run of its own
+            words += (["a"] * rng.randint(20, 70) + ["b"] * rng.randint(1, 9)) * rng.randint(1, 4)
+        else:
+            words += [rng.choice("ab") for _ in range(rng.randint(1, 60))]
+    assert found(words) == brute(words)
+
+
+def test_every_period_and_offset():
+    for q in (1, 2, 7, 8, 15, 16, 17, 31, 32, 63, 64, 100):
+        unit = [f"u{k}" for k in range(q)]
+        for before in (0, 1, 5, 7, 13):
+            length = max(24, 3 * q)
+            words = [f"x{k}" for k in range(before)] + (unit * (length // q + 1))[:length] + ["y"]
+            assert found(words) == [(before, length, q)]
+            assert found(words[: before + length - 1]) == []
+
+
+def test_one_word_many_times():
+    assert found(["a"] * 50_000) == [(0, 50_000, 1)]
+
+
+def test_windows_beyond_the_largest_block(monkeypatch):
+    monkeypatch.setattr(periodic_runs, "MOST_BLOCK", 16)
+    unit = [f"u{k}" for k in range(150)]
+    words = ["x"] * 5 + unit * 3 + ["y"] + ["a", "b", "c"] * 200
+    assert found(words) == brute(words)
+
+
+def test_chance_zeros_add_nothing(monkeypatch):
+    """Words whose numbers are alike modulo the prime look alike to the sums only."""
+    words = np.arange(200) % 5
+    codes = np.where(np.arange(200) == 100, words + PRIME, words)
+    runs = periodic_runs.Finder(codes, np.array([200])).runs()
+    assert [c.tolist() for c in runs[1:]] == [[0, 101], [100, 99], [5, 5]]
+
+
+def expected(doc_id, text):
+    words = (text or "").encode().split()
+    n = len(words)
+    if n and doc_id is not None:
+        h = zlib.crc32(str(doc_id).encode())
+        g = h // 10
+        if h % 10 == 0:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    runs = brute(words)
+    gone = {i for s, length, q in runs for i in range(s + q, s + length)}
+    top = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2])) if runs else (None,) * 3
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    return (
+        doc_id, len(runs), *top, None if not runs else 1000 * top[1] // top[2],
+        sha("".join(f"{s},{length},{q}\n" for s, length, q in runs).encode()),
+        sha(b" ".join(w for i, w in enumerate(words) if i not in gone)),
+    )
+
+
+def test_report(spark):
+    rng = random.Random(5)
+    rows = awkward_rows()
+    rows += [(i, " ".join(rng.choice("abcdef") for _ in range(rng.randint(0, 90))), "en", "a") for i in range(100, 200)]
+    rows += [(300, "so it goes " * 40 + "and then " + "x y " * 60, "en", "a"), (301, "a " * 30 + "b " * 30, "en", "a")]
+    report = periodic_runs.run_report(documents(spark, rows, extra=True).selectExpr("*", "0 as n_words", "1 as runs"))
+    assert report.columns == [
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256",
+    ]
+    got = sorted((tuple(r) for r in report.collect()), key=str)
+    assert got == sorted((expected(*r[:2]) for r in rows), key=str)
+    assert sum(r[1] > 0 for r in got) >= 10
+
+
+def test_empty_table_and_texts(spark):
+    assert periodic_runs.run_report(documents(spark, [])).collect() == []
+    held = periodic_runs.annotated(documents(spark, [(1, None, None, None), (2, " \n", None, None)])).collect()
+    assert [(r["n_words"], r["runs"], r["collapsed"]) for r in held] == [(0, [], ""), (0, [], "")]

@@ -15,6 +15,7 @@ from txnmart.llm import (
     langid,
     mixing,
     packing,
+    periodic_runs,
     secrets,
     suffix_dedup,
     toxicity,
@@ -69,6 +70,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_report(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_report(table(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negative_report(table(spark, sf_dir, "embeddings"))
 
@@ -84,5 +89,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_cotraining": op9_cotraining,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_periodic_runs": op11_periodic_runs,
     "op13_hard_negatives": op13_hard_negatives,
 }
