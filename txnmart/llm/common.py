@@ -80,6 +80,20 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4_000_000
             yield part, texts(part)
 
 
+PIECE = 1 << 20  # bytes of a text that are cut into words at once
+
+
+def words_of(text: bytes) -> Iterator[list[bytes]]:
+    """The words of a text, some at a time."""
+    start = 0
+    while start < len(text):
+        end = min(start + PIECE, len(text))
+        while end < len(text) and text[end] not in b" \t\n\x0b\x0c\r":
+            end += 1
+        yield text[start:end].split()
+        start = end
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of unsigned 64-bit numbers (multiply and shift, twice)."""
     x = x.astype(np.uint64, copy=True)

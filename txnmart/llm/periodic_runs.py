@@ -33,14 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnmart.llm.common import slices
+from txnmart.llm.common import slices, words_of
 
 LEAST, TIMES = 24, 3
 PRIME, ROOT = 7 * (1 << 20) + 1, 3
 FIRST_BLOCK, MOST_BLOCK = 8, 1 << 17
 DIRECT = 128  # transforms up to this size are one product, larger ones two
 HELD = 1 << 18  # numbers of an array that is worked on at once
-PIECE = 1 << 20  # bytes of a text that are cut into words at once
 
 
 def reduced(x: np.ndarray) -> np.ndarray:
@@ -254,17 +253,6 @@ class Finder:
                     self.known[key] = (far, text)
 
 
-def words_of(text: bytes) -> Iterator[list[bytes]]:
-    """The words of a text, some at a time."""
-    start = 0
-    while start < len(text):
-        end = min(start + PIECE, len(text))
-        while end < len(text) and text[end] not in b" \t\n\x0b\x0c\r":
-            end += 1
-        yield text[start:end].split()
-        start = end
-
-
 def numbered(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """(word numbers end to end, words per text, the distinct words)."""
     code: defaultdict[bytes, int] = defaultdict()

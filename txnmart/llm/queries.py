@@ -13,6 +13,7 @@ from txnmart.llm import (
     hard_negatives,
     jaccard_join,
     langid,
+    license_scan,
     mixing,
     packing,
     periodic_runs,
@@ -74,6 +75,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_report(table(spark, sf_dir, "documents"))
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_report(table(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negative_report(table(spark, sf_dir, "embeddings"))
 
@@ -90,5 +95,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_cotraining": op9_cotraining,
     "op10_jaccard_join": op10_jaccard_join,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_license_scan": op12_license_scan,
     "op13_hard_negatives": op13_hard_negatives,
 }
