@@ -1,5 +1,7 @@
 """Every registered query against its SQL on the smallest tables."""
 
+import re
+
 import pytest
 from compare import connect, difference
 
@@ -13,11 +15,18 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_matches_sql(spark, con, name):
     assert difference(con, entry.oracle_sql()[name], entry.queries()[name](spark, SF)) is None
 
 
+def test_every_query_of_the_mart_has_sql():
+    """The optional ones, named apart, have tests of their own where SQL cannot state the result."""
+    without = set(entry.queries()) - set(entry.oracle_sql())
+    assert all(re.fullmatch(r"op\d+_.*|pipeline", name) for name in without)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_entry(spark):
     assert entry.entry(spark).columns == ["customer_name", "month", "total_spent"]
 
