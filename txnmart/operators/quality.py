@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txnmart.schemas import CORRUPT, ID
+from txnmart.schemas import CORRUPT, ID, VALID
 from txnmart.scratch import staged
 
 # The character decoders put in place of undecodable bytes, and an email's shape.
@@ -59,12 +59,19 @@ def schema_check(df: DataFrame, expected: T.StructType) -> DataFrame:
 
 
 def csv_verdict(scan: DataFrame) -> DataFrame:
-    """Tag each line of a CSV scan ``good``, ``malformed`` or ``encoding``."""
+    """Tag each line of a CSV scan ``good``, ``malformed`` or ``encoding``.
+
+    A scan that looked at the bytes (``check_bytes``) says itself which lines are not UTF-8. In
+    another, the character that decoders put in place of broken bytes tells, which a right file
+    may hold too."""
     texts = [f.name for f in scan.schema.fields if isinstance(f.dataType, T.StringType)]
-    undecodable = reduce(
-        Column.__or__,
-        [F.coalesce(F.contains(F.col(c), F.lit(REPLACEMENT)), F.lit(False)) for c in texts],
-    )
+    if VALID in scan.columns:
+        undecodable = ~F.col(VALID)
+    else:
+        undecodable = reduce(
+            Column.__or__,
+            [F.coalesce(F.contains(F.col(c), F.lit(REPLACEMENT)), F.lit(False)) for c in texts],
+        )
     return scan.withColumn(
         "verdict",
         F.when(undecodable, "encoding")

@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 ID = "transaction_id"
 CORRUPT = "_corrupt_record"
+VALID = "_valid_utf8"
 
 # Column names and types of the layers.
 TRANSACTION = T.StructType(
