@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txnmart.scratch import staged, temporary
+
 # Fixed value: a word is a run of anything but these six ASCII spaces. Python's
 # ``bytes.split()`` cuts at exactly the same characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -35,6 +37,13 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % parts
 
 
+def apart(df: DataFrame, prefix: str) -> str:
+    """A prefix for columns of our own: ``prefix``, made longer while a column of ``df`` begins so."""
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def one_label(labels: DataFrame, column: str) -> DataFrame:
     """One label per document: repeated rows take the larger, NULLs go."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col(column).isNotNull())
@@ -52,6 +61,29 @@ def bounded_sample(df: DataFrame, key: str, bound: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(F.lit(7), F.col(key)), F.lit(1 << 30)) < keep)
 
 
+def bounded_rows(rows: DataFrame, sized: list[str], most_bytes: int) -> dict[str, list]:
+    """Rows for fitting on the driver, as columns by ``doc_id``: one row per id, the least by the other
+    columns, and ``most_bytes`` of the columns ``sized`` together at most. Documents are taken whole, in
+    the order of a hash of their id; one for which there is no room left is passed over.
+
+    Only for a sample whose ids are bounded by the caller: their sizes come to the driver first."""
+    rest = [c for c in rows.columns if c != "doc_id"]
+    with temporary(rows.sparkSession):
+        least = rows.groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("r"))
+        once = staged(least.select("doc_id", *[F.col(f"r.{c}").alias(c) for c in rest]), "fitting-rows")
+        size = sum((F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c in sized), F.lit(0))
+        sizes = once.select("doc_id", size.alias("size"), F.xxhash64(F.lit(7), "doc_id").alias("h")).collect()
+        left, taken = most_bytes, []
+        for r in sorted(sizes, key=lambda r: (r["h"], str(r["doc_id"]))):
+            if r["size"] <= left:
+                left -= r["size"]
+                taken.append(r["doc_id"])
+        if len(taken) < len(sizes):
+            once = once.where(F.col("doc_id").isin(taken))
+        held = once.toArrow().sort_by("doc_id")
+    return {c: held.column(c).to_pylist() for c in rows.columns}
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4_000_000, raw: bool = False):
     """Cut Arrow batches so that the texts of a slice hold about ``most`` bytes, or are one
     text. Yields (slice, list of texts, NULL as ''); with ``raw`` the texts as UTF-8 bytes."""

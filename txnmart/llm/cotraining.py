@@ -2,15 +2,21 @@
 
 The content view sees the words of the text (hashed, with shares of repeated, capital and marked
 words); the metadata view sees what a crawler records: source, language, length and layout,
-numbers cut into bins at quantiles. Each is a logistic model. In every round each view labels the
-documents of an unlabelled pool it is surest of, in the proportion of the classes, and the other
-view learns from them. Both are then calibrated on labelled documents that neither has learned
-from, and the mean of the calibrated log-odds scores every document.
-
-Labels and pool are bounded samples (``LABELLED``, ``POOL`` documents at most) held by the
-driver; scoring is a map over partitions. NULL or empty texts have no words and score by their
-metadata; NULL metadata is a value of its own. With no label, or one class only, the score is
-that class's share (1 without labels). Repeated rows each give a row; extra columns are ignored.
+numbers cut into bins at quantiles. Each is a logistic model, calibrated on labelled documents that
+neither has learned from. In every round each view scores all documents without a label, and of those
+it is surest of, in the proportion of the classes, ``PICKS`` go to the other view, which learns from
+them; a view that tells nothing of the documents it is calibrated on is sure of none. In the end the
+mean of both calibrated log-odds scores every document.
+
+Both views of every document are written once; each round is a map over what was written and a
+distributed choice of the first few, so any document can be picked, however many there are. Documents
+that both views score alike count as one then, so that copies don't fill the picks. The driver holds
+``LABELLED`` labelled documents at most, about, and the picks, one row per id, and ``BYTES`` of
+features together.
+
+NULL or empty texts have no words and score by their metadata; NULL metadata is a value of its own.
+With no label, or one class only, the score is that class's share (1 without labels). Repeated rows
+each give a row; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,10 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnmart.llm.common import bounded_sample, fold, one_label, slices
+from txnmart.llm.common import bounded_rows, bounded_sample, fold, one_label, slices
 from txnmart.llm.wordtables import Adam, segment_sum, word_numbers
+from txnmart.scratch import staged, temporary
 
-LABELLED, POOL = 3000, 4000
+LABELLED = 3000
+PICKS = 200  # documents that a view labels for the other in a round
+ROUNDS, SURE = 4, 0.9
+BYTES = 128_000_000  # of features that the driver holds
 WORDS, NAMES, BINS, DENSE = 1 << 14, 64, 12, 4
 HOLD_OUT, FOLDS = 3, 4
 KEEP = 0.4
@@ -144,97 +154,190 @@ class CoTrained:
     models: tuple[Logistic, Logistic]
     scales: list[tuple[float, float]]
 
-    def views(self, texts, langs, sources, n_chars) -> tuple[Sparse, Sparse]:
-        return content_view(texts), metadata_view(layout(texts, n_chars), langs, sources, self.edges)
-
-    def score(self, texts, langs, sources, n_chars) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def score(self, views: Views) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Probabilities of label 1 by content, by metadata, and by both."""
         z = [
             a * m.logits(x) + b
-            for m, x, (a, b) in zip(
-                self.models, self.views(texts, langs, sources, n_chars), self.scales, strict=True
-            )
+            for m, x, (a, b) in zip(self.models, views.sparse(self.edges), self.scales, strict=True)
         ]
         z.append((z[0] + z[1]) / 2)
-        return tuple(1 / (1 + np.exp(-np.clip(v, -500, 500))) for v in z)
+        return tuple(_chance(v) for v in z)
+
+
+def _chance(logits: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(logits, -500, 500)))
+
+
+@dataclass
+class Views:
+    """Both views of some documents, before their numbers are cut into bins."""
+
+    content: Sparse
+    numbers: np.ndarray
+    langs: list
+    sources: list
+
+    @staticmethod
+    def of(texts: list[str], langs: list, sources: list, n_chars: list) -> Views:
+        return Views(content_view(texts), layout(texts, n_chars), langs, sources)
+
+    @staticmethod
+    def read(rows: dict[str, list]) -> Views:
+        """What :func:`written_views` holds."""
+        index = [np.frombuffer(b, "<u2") for b in rows["words"]]
+        value = [np.frombuffer(b, "<f4") for b in rows["weights"]]
+        flat = lambda parts, kind: np.concatenate([np.zeros(0, kind), *parts]).astype(kind)
+        content = Sparse(
+            flat(index, np.int64), flat(value, np.float64), np.array([len(i) for i in index], np.int64)
+        )
+        numbers = flat([np.frombuffer(b, "<f8") for b in rows["numbers"]], np.float64).reshape(-1, 5)
+        return Views(content, numbers, rows["lang"], rows["source"])
+
+    def sparse(self, edges: list[np.ndarray]) -> tuple[Sparse, Sparse]:
+        return self.content, metadata_view(self.numbers, self.langs, self.sources, edges)
+
+
+VIEWS = ["words", "weights", "numbers", "lang", "source"]
+
+
+def written_views(docs: DataFrame) -> DataFrame:
+    """``row``, ``doc_id`` and both views of every row of ``docs``, as bytes."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        for part, texts in slices(batches, "text"):
+            views = Views.of(texts, *[part.column(c).to_pylist() for c in META])
+            ends = np.cumsum(views.content.counts)
+            cut = lambda flat, kind, ends=ends: [
+                flat[a:b].astype(kind).tobytes() for a, b in zip([0, *ends[:-1]], ends, strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("row"),
+                    part.column("doc_id"),
+                    pa.array(cut(views.content.index, "<u2"), pa.binary()),
+                    pa.array(cut(views.content.value, "<f4"), pa.binary()),
+                    pa.array([n.astype("<f8").tobytes() for n in views.numbers], pa.binary()),
+                    part.column("lang"),
+                    part.column("source"),
+                ],
+                names=["row", "doc_id", *VIEWS],
+            )
 
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", *META)
+    return staged(
+        numbered.mapInArrow(
+            run,
+            f"row long, doc_id {kind}, words binary, weights binary, numbers binary, lang string, source string",
+        ),
+        "page-views",
+    )
 
-def co_train(labelled, pool, rounds: int = 4, share: float = 0.05, sure: float = 0.9) -> CoTrained:
-    """``labelled`` and ``pool``: pandas frames with text, lang, source, n_chars; the first has
-    ``good`` (0 or 1) and ``calibrate`` (rows kept for calibration)."""
 
-    def parts(f):
-        known = f.astype(object).where(f.notna(), None)
-        return [t or "" for t in known["text"]], list(known["lang"]), list(known["source"]), list(known["n_chars"])
+def _mapped(views: DataFrame, score, names: list[str]) -> DataFrame:
+    """``row``, ``doc_id`` and what ``score`` makes of the views of each document."""
+    kind = views.schema["doc_id"].dataType.simpleString()
 
-    first, other = parts(labelled), parts(pool)
-    numbers = np.concatenate([layout(first[0], first[3]), layout(other[0], other[3])])
-    edges = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) for c in numbers.T]
-    out = CoTrained(edges, (Logistic(WORDS + DENSE), Logistic(numbers.shape[1] * BINS + 2 * NAMES)), [])
-    known, free = out.views(*first), out.views(*other)
-    y, hold = labelled["good"].to_numpy(float), labelled["calibrate"].to_numpy(bool)
+    def run(batches):
+        for batch in batches:
+            found = score(Views.read({c: batch.column(c).to_pylist() for c in VIEWS}))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), batch.column("doc_id"), *[pa.array(f, pa.float64()) for f in found]],
+                names=["row", "doc_id", *names],
+            )
+
+    schema = ", ".join(f"{n} double" for n in names)
+    return views.mapInArrow(run, f"row long, doc_id {kind}, {schema}")
+
+
+def _surest(scored: DataFrame, of: str, rate: float, picks: int, sure: float) -> list[tuple[int, float]]:
+    """(row, label) of the documents that the view ``of`` is surest of, in the proportion of the
+    classes; ties by a hash of the scores."""
+    out: dict[int, float] = {}
+    for label, confidence, part in ((1.0, F.col(of), rate), (0.0, 1 - F.col(of), 1 - rate)):
+        best = (
+            scored.where(confidence >= sure)
+            .orderBy(confidence.desc(), F.xxhash64("content", "metadata"), "row")
+            .limit(max(1, int(picks * part)))
+        )
+        for r in best.select("row").collect():
+            out.setdefault(r["row"], label)
+    return list(out.items())
+
+
+def co_train(
+    views: DataFrame,
+    truth: DataFrame,
+    known: dict[str, list],
+    rounds: int = ROUNDS,
+    picks: int = PICKS,
+    sure: float = SURE,
+) -> CoTrained:
+    """``views``: both views of all documents; ``truth``: the ids (``doc_id``) that have a label;
+    ``known``: the views of labelled documents, with ``good`` (0 or 1) and ``calibrate`` (rows kept
+    for calibration)."""
+    base = Views.read(known)
+    edges = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) for c in base.numbers.T]
+    out = CoTrained(edges, (Logistic(WORDS + DENSE), Logistic(base.numbers.shape[1] * BINS + 2 * NAMES)), [])
+    own = base.sparse(edges)
+    y, hold = np.array(known["good"], float), np.array(known["calibrate"], bool)
     learn = np.flatnonzero(~hold)
     rate = y[learn].mean()
-    # The pseudo-labels each view has got from the other: pool row and label.
+    # The pseudo-labels each view has got from the other: row and label.
     given: list[dict[int, float]] = [{}, {}]
+    test = np.flatnonzero(hold) if hold.any() else learn
     for round_ in range(rounds + 1):
+        rows = sorted(given[0].keys() | given[1].keys())
+        taken = views.where(F.col("row").isin(rows)) if rows else views.limit(0)
+        more = taken.select("row", *VIEWS).orderBy("row").toPandas()
+        at = {r: i for i, r in enumerate(more["row"].tolist())}
+        free = Views.read({c: [None if v != v else v for v in more[c]] for c in VIEWS}).sparse(edges)
         for v in (0, 1):
-            rows = np.fromiter(given[v], np.int64, len(given[v]))
-            x, more = known[v].take(learn), free[v].take(rows)
+            use = np.fromiter((at[r] for r in given[v]), np.int64, len(given[v]))
+            x, extra = own[v].take(learn), free[v].take(use)
             joined = Sparse(*[np.concatenate(p) for p in zip(
-                (x.index, x.value, x.counts), (more.index, more.value, more.counts), strict=True)])
-            out.models[v].fit(joined, np.concatenate([y[learn], [given[v][r] for r in rows]]))
-        if round_ == rounds or not len(pool):
+                (x.index, x.value, x.counts), (extra.index, extra.value, extra.counts), strict=True)])
+            out.models[v].fit(joined, np.concatenate([y[learn], list(given[v].values())]))
+        # How sure a view may be is told by documents it has not learned from.
+        out.scales = [platt(out.models[v].logits(own[v].take(test)), y[test]) for v in (0, 1)]
+        if round_ == rounds:
             break
-        for v in (0, 1):
-            p = 1 / (1 + np.exp(-out.models[v].logits(free[v])))
-            for label, confidence, part in ((1.0, p, rate), (0.0, 1 - p, 1 - rate)):
-                best = np.argsort(-confidence, kind="stable")
-                best = best[: max(1, int(share * part * len(p)))]
-                for r in best[confidence[best] >= sure]:
-                    given[1 - v].setdefault(int(r), label)
-    test = np.flatnonzero(hold) if hold.any() else learn
-    out.scales = [platt(out.models[v].logits(known[v].take(test)), y[test]) for v in (0, 1)]
+        with temporary(views.sparkSession):
+            chances = _mapped(views, lambda x: out.score(x)[:2], ["content", "metadata"])
+            scored = chances.join(truth.select("doc_id"), "doc_id", "left_anti")
+            # Documents that look alike to both views count once.
+            once = staged(scored.groupBy("content", "metadata").agg(F.min("row").alias("row")), "page-scores")
+            for v, name in enumerate(("content", "metadata")):
+                other = once.where(~F.col("row").isin(list(given[1 - v]))) if given[1 - v] else once
+                given[1 - v] |= dict(_surest(other, name, rate, picks, sure))
     return out
 
 
 def fit_quality(
-    docs: DataFrame, labels: DataFrame, label: str = "quality", labelled: int = LABELLED, pool: int = POOL
+    views: DataFrame, labels: DataFrame, label: str = "quality", labelled: int = LABELLED, most_bytes: int = BYTES
 ) -> CoTrained | float:
-    truth = one_label(labels, label).select("doc_id", F.col(label).alias("good"))
-    rows = docs.select("doc_id", "text", *META)
+    truth = staged(one_label(labels, label).select("doc_id", F.col(label).alias("good")), "page-labels")
     bound = bounded_sample(truth, "doc_id", labelled).withColumn(
         "calibrate", fold(F.col("doc_id"), FOLDS) == HOLD_OUT
     )
-    order = ["doc_id", "text"]
-    known = rows.join(bound, "doc_id").toPandas().sort_values(order, kind="stable")
-    good = known["good"].to_numpy(float)
-    if len(set(good[~known["calibrate"].to_numpy(bool)])) < 2:
+    known = bounded_rows(views.drop("row").join(bound, "doc_id"), ["words", "weights"], most_bytes)
+    good = np.array(known["good"], float)
+    if len(set(good[~np.array(known["calibrate"], bool)])) < 2:
         return float(good.mean()) if len(good) else 1.0
-    ids = bounded_sample(rows.select("doc_id").join(truth, "doc_id", "left_anti"), "doc_id", pool)
-    free = rows.join(ids.distinct(), "doc_id").toPandas().sort_values(order, kind="stable")
-    return co_train(known, free)
+    return co_train(views, truth, known)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id``, both views' probabilities, the combined ``score`` and ``kept``."""
-    model = fit_quality(docs, labels)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "content_score", "metadata_score", "score"]
+    views = written_views(docs)
+    model = fit_quality(views, labels)
 
-    def run(batches):
-        for part, texts in slices(batches, "text"):
-            if isinstance(model, CoTrained):
-                three = model.score(texts, *[part.column(c).to_pylist() for c in META])
-            else:
-                three = [np.full(len(texts), model)] * 3
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), *[pa.array(s, pa.float64()) for s in three]], names=names
-            )
+    def score(some: Views) -> tuple[np.ndarray, ...]:
+        if isinstance(model, CoTrained):
+            return model.score(some)
+        return (np.full(len(some.numbers), model),) * 3
 
-    scored = docs.select("doc_id", "text", *META).mapInArrow(
-        run, f"doc_id {kind}, content_score double, metadata_score double, score double"
-    )
+    scored = _mapped(views, score, ["content_score", "metadata_score", "score"]).drop("row")
     return scored.withColumns(
         {"predicted": (F.col("score") >= 0.5).cast("int"), "kept": F.col("score") >= KEEP}
     )

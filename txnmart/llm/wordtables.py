@@ -23,6 +23,7 @@ def word_numbers(texts: list[str], lower: bool = True) -> tuple[np.ndarray, np.n
         lengths[i] = len(words)
         runs.append(np.fromiter(map(code.__getitem__, words), np.int32, len(words)))
     flat = np.concatenate(runs) if runs else np.zeros(0, np.int32)
+    code.default_factory = None  # it refers to the table, which would stay until the next collection
     return flat, lengths, list(code)
 
 
