@@ -8,28 +8,32 @@ weighted by their softmax, so that the worst passage decides. The label of a doc
 all its windows through the same weighting. In the second half of training, documents that still
 contradict their label by more than 0.8 count ``DOUBT``: the label may be wrong, or of a rare kind.
 
-Training takes a bounded sample of labelled documents (``SAMPLE``: at most so many of label 0 and
-of label 1) on the driver, both labels in equal parts, and the share of label 1 among all labels
+Training takes a bounded sample of labelled documents (``SAMPLE``: about so many of label 0 and of
+label 1 at most, one row per id, and ``BYTES`` of text) on the driver, both labels in equal parts, and the share of label 1 among all labels
 then corrects the score; scoring is a map over partitions with the fitted weights, and nothing is shuffled.
 
 NULL and empty texts are one window of padding. With no label, or one class only, the score is
-that class's share for every document (0 without labels). Repeated rows each give a row; extra
-columns are ignored.
+that class's share for every document (0 without labels). A NULL id is neither held out nor learned
+from. Repeated rows each give a row; extra columns, clashing names included, stay as they are.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from txnmart.llm.common import bounded_sample, fold, one_label, slices
+from txnmart.llm.common import bounded_rows, bounded_sample, fold, one_label, slices
 from txnmart.llm.wordtables import EDGE, Adam, ngrams, segment_sum, sum_by, word_numbers
 
 WINDOW, STRIDE = 32, 16
 SAMPLE = (2400, 800)
+BYTES = 64_000_000  # of texts to learn from
+SLICE = 1_000_000  # bytes of texts scored together
+WORDS = 4096  # described together
 THRESHOLD = 0.3
 HOLD_OUT, FOLDS = 2, 4
 BUCKETS = 4096
@@ -44,11 +48,13 @@ def windows(flat: np.ndarray, lengths: np.ndarray, pad: int) -> tuple[np.ndarray
     nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
     # The last window ends with its text.
     start = np.minimum(nth * STRIDE, np.maximum(lengths[owner] - WINDOW, 0))
-    at = start[:, None] + np.arange(WINDOW)
-    inside = at < lengths[owner][:, None]
-    padded = np.append(flat, pad)
-    first = (np.cumsum(lengths) - lengths)[owner][:, None]
-    return padded[np.where(inside, first + at, len(flat))], n
+    first = (np.cumsum(lengths) - lengths)[owner]
+    padded = np.append(flat, pad).astype(np.int32)
+    out = np.empty((len(owner), WINDOW), np.int32)
+    for k in range(WINDOW):
+        at = start + k
+        out[:, k] = padded[np.where(at < lengths[owner], first + at, len(flat))]
+    return out, n
 
 
 def _sigmoid(x):
@@ -239,30 +245,33 @@ def train(
     return net
 
 
-def score_texts(net: Network, texts: list[str], block: int = 2048) -> np.ndarray:
+def score_texts(net: Network, texts: list[str], block: int = 1024) -> np.ndarray:
     """The probability of label 1 of whole texts."""
     flat, lengths, words = word_numbers(texts)
-    x, _ = net.inputs(words)
+    # Some words at a time, the padding last: describing a word takes a hundred times its size.
+    parts = [net.table(net.inputs(words[i : i + WORDS])[0][:-1]) for i in range(0, len(words), WORDS)]
+    table = np.concatenate([*parts, net.table(net.inputs([])[0])])
     idx, counts = windows(flat, lengths, len(words))
-    table = net.table(x)
     logits = np.concatenate([net.forward(table, idx[i : i + block])[0] for i in range(0, len(idx), block)])
     return _sigmoid(pool(logits.astype(float), counts)[0] + net.prior)
 
 
 def fit_toxicity(
-    docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE, hold_out: int = HOLD_OUT, folds: int = FOLDS
+    docs: DataFrame,
+    labels: DataFrame,
+    sample: tuple[int, int] = SAMPLE,
+    hold_out: int = HOLD_OUT,
+    folds: int = FOLDS,
+    most_bytes: int = BYTES,
 ) -> Network | float:
     """The network, or a constant score where the labels have one class or none. Learns from
-    labelled documents outside the fold ``hold_out``, ``sample`` of each label at most."""
+    labelled documents outside the fold ``hold_out``, about ``sample`` of each label at most, one row
+    per id, whose texts have ``most_bytes`` together at most."""
     known = one_label(labels, "toxic").where(fold(F.col("doc_id"), folds) != hold_out)
     picked = [bounded_sample(known.where(F.col("toxic") == c), "doc_id", sample[c]) for c in (0, 1)]
-    rows = (
-        docs.select("doc_id", "text")
-        .join(picked[0].unionByName(picked[1]), "doc_id")
-        .toPandas()
-        .sort_values(["doc_id", "text"], kind="stable")
-    )
-    toxic = rows["toxic"].to_numpy(float)
+    texts = docs.select("doc_id", "text").join(picked[0].unionByName(picked[1]), "doc_id")
+    rows = bounded_rows(texts, ["text"], most_bytes)
+    toxic = np.array(rows["toxic"], float)
     if len(set(toxic)) < 2:
         return float(toxic.mean()) if len(toxic) else 0.0
     net = train([t or "" for t in rows["text"]], toxic)
@@ -271,25 +280,30 @@ def fit_toxicity(
     return net
 
 
-def score_documents(docs: DataFrame, net: Network | float, column: str = "score") -> DataFrame:
-    """``docs`` with ``column``; all others stay, and one of that name is replaced."""
-    kept = docs.drop(column)
-    schema = T.StructType([*kept.schema.fields, T.StructField(column, T.DoubleType())])
+def scorer(net: Network | float):
+    """A function of a text column: the score. Texts alone go to Python, and numbers come back."""
 
-    def run(batches):
-        for part, texts in slices(batches, "text"):
-            score = score_texts(net, texts) if isinstance(net, Network) else [net] * len(texts)
-            yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array(score, pa.float64())], names=[*part.schema.names, column]
-            )
+    @F.arrow_udf("double")
+    def score(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            batch = pa.RecordBatch.from_arrays([column], ["text"])
+            parts = [
+                score_texts(net, texts) if isinstance(net, Network) else np.full(len(texts), net)
+                for _, texts in slices([batch], "text", SLICE)
+            ]
+            yield pa.array(np.concatenate([np.zeros(0), *parts]), pa.float64())
 
-    return kept.mapInArrow(run, schema)
+    return score
+
+
+def score_documents(docs: DataFrame, net: Network | float, column: str = "score") -> DataFrame:
+    """``docs`` with ``column``; all others stay, and one of that name is replaced."""
+    return docs.withColumn(column, scorer(net)("text"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``."""
-    scored = score_documents(docs, fit_toxicity(docs, labels), "_toxicity")
-    return scored.where(F.col("_toxicity") < threshold).drop("_toxicity")
+    """The rows of ``docs`` that score below ``threshold``, with all their columns."""
+    return docs.where(scorer(fit_toxicity(docs, labels))("text") < threshold)
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -297,7 +311,7 @@ def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     scored = score_documents(docs.select("doc_id", "text"), net)
     return scored.select(
         "doc_id",
-        (fold(F.col("doc_id"), FOLDS) == HOLD_OUT).alias("held_out"),
+        F.coalesce(fold(F.col("doc_id"), FOLDS) == HOLD_OUT, F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
