@@ -49,11 +49,13 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _round(now: DataFrame) -> DataFrame:
-    """The links after a large-star and a small-star step."""
+    """The links after a large-star and a small-star step. The smallest neighbours are written before
+    they are joined: a join beside the aggregation that feeds it could not be split."""
     both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = staged(least, "smallest-neighbours")
     large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     down = staged(_downward(large), "links")
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = staged(down.groupBy("u").agg(F.min("v").alias("m")), "smallest-neighbours")
     small = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return _downward(small.unionAll(least.select("u", F.col("m").alias("v"))))

@@ -1,8 +1,9 @@
 """Counting hashes of documents in fragments of their range.
 
 Documents are handled in blocks (the texts of a few megabytes). A block sends each fragment of the
-hash range one row with its distinct hashes there: a hash that many documents of the block have
-is sent once, so however common it is, a fragment gets one entry per block."""
+hash range where it has any one row with its distinct hashes there, and whose they are: a hash that
+many documents of the block have is sent once, so however common it is, a fragment gets one entry per
+block, and what a block sends grows with its hashes, not with the fragments."""
 
 from __future__ import annotations
 
@@ -36,17 +37,26 @@ def distinct_entries(hashes: np.ndarray, counts: np.ndarray):
 
 
 def fragment_rows(hashes: np.ndarray, counts: np.ndarray, fragments: int, kind: str):
-    """For each fragment: its number, the number of hashes each document has there, and the
-    hashes (their last bytes, as ``kind`` has room for)."""
-    docs = len(counts)
-    owner = np.repeat(np.arange(docs), counts)
+    """For each fragment that has any of the hashes: its number, the document of each hash there, in
+    order, and the hashes (their last bytes, as ``kind`` has room for). What is sent follows the
+    hashes, however many fragments there are."""
+    owner = np.repeat(np.arange(len(counts)), counts)
     of = fragment_of(hashes, fragments)
     order = np.argsort(of, kind="stable")  # within a fragment by document
-    cells = np.bincount(of * docs + owner, minlength=fragments * docs).reshape(fragments, docs)
-    ends = np.cumsum(cells.sum(axis=1))
+    of, owner = of[order], owner[order]
     held = hashes[order].astype(kind)
-    for f in range(fragments):
-        yield f, cells[f].astype("<u4").tobytes(), held[ends[f - 1] if f else 0 : ends[f]].tobytes()
+    starts = np.flatnonzero(np.append(True, of[1:] != of[:-1])) if len(of) else np.zeros(0, np.int64)
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(of)], strict=False):
+        yield int(of[a]), owner[a:b], held[a:b].tobytes()
+
+
+def packed(numbers: np.ndarray, most: int) -> bytes:
+    """Numbers up to ``most`` in two or four bytes each; :func:`unpacked` is told how many."""
+    return numbers.astype("<u2" if most < 1 << 16 else "<u4").tobytes()
+
+
+def unpacked(held: bytes, many: int) -> np.ndarray:
+    return np.frombuffer(held, "<u2" if len(held) == 2 * many else "<u4").astype(np.int64)
 
 
 def joined(parts, kind: str) -> np.ndarray:

@@ -37,9 +37,17 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnmart.llm.common import mix64, partitions, slices
+from txnmart.llm.common import apart, mix64, partitions, slices
 from txnmart.llm.components import components
-from txnmart.llm.fragments import distinct_entries, fragment_of, fragment_rows, joined, times
+from txnmart.llm.fragments import (
+    distinct_entries,
+    fragment_of,
+    fragment_rows,
+    joined,
+    packed,
+    times,
+    unpacked,
+)
 from txnmart.scratch import staged, temporary
 
 SHINGLE = 5
@@ -96,9 +104,13 @@ def _shared_counts(docs: DataFrame, fragments: int) -> DataFrame:
             entries, cells, again = distinct_entries(hashes, counts)
             owner = np.repeat(np.arange(len(counts)), counts)
             local = np.bincount(owner[again], minlength=len(counts))
-            rows = list(fragment_rows(entries, cells, fragments, "<u4"))
-            # One of the block's rows bears what is known of its documents.
-            once = lambda v: [v if r[0] == block % fragments else None for r in rows]
+            rows = [
+                (f, packed(of, len(counts)), held)
+                for f, of, held in fragment_rows(entries, cells, fragments, "<u4")
+            ]
+            # One more row bears what is known of the block's documents.
+            rows.append((block % fragments, None, None))
+            once = lambda v: [*[None] * (len(rows) - 1), v]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([block] * len(rows), pa.int64()),
@@ -110,24 +122,33 @@ def _shared_counts(docs: DataFrame, fragments: int) -> DataFrame:
                     pa.array(once(digests), pa.list_(pa.binary())),
                     pa.array(once(local), pa.list_(pa.int64())),
                 ],
-                names=["block", "fragment", "cells", "held", *info],
+                names=["block", "fragment", "owners", "held", *info],
             )
             block += 1
 
     def count(f: pd.DataFrame) -> pd.DataFrame:
-        cells = [np.frombuffer(c, "<u4") for c in f["cells"]]
-        per_doc = np.concatenate(cells).astype(np.int64)
-        owner = np.repeat(np.arange(len(per_doc)), per_doc)
+        """``owners`` and ``held`` become the documents of a block that have shared shingles here, and
+        how many each."""
+        bearers = f[f["held"].isna()]
+        f = f[f["held"].notna()]
+        ends = np.cumsum([0, *(len(h) // 4 for h in f["held"])])
         again = times(joined(f["held"], "<u4")) > 1
-        shared = np.bincount(owner[again], minlength=len(per_doc)).astype("<u4")
-        ends = np.cumsum([len(c) for c in cells])
-        out = f[["block", *info]].copy()
-        out["shared"] = [shared[e - len(c) : e].tobytes() for e, c in zip(ends, cells, strict=True)]
-        return out
+        rows = []
+        for block, owners, a, b in zip(f["block"], f["owners"], ends[:-1], ends[1:], strict=True):
+            docs, many = np.unique(unpacked(owners, b - a)[again[a:b]], return_counts=True)
+            if len(docs):
+                rows.append((block, docs.astype("<u4").tobytes(), many.astype("<u4").tobytes()))
+        rows = [(*r, *[None] * len(info)) for r in rows]
+        counted = pd.DataFrame(rows, columns=["block", "owners", "held", *info], dtype=object)
+        out = pd.concat([bearers[["block", "owners", "held", *info]], counted])
+        return out.astype({"block": "int64"})
 
     def add(f: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(s, "<u4").astype(np.int64) for s in f["shared"])[:-1]
         bearer = f[f["sizes"].notna()].iloc[0]
+        f = f[f["held"].notna()]
+        total = np.bincount(
+            joined(f["owners"], "<u4"), joined(f["held"], "<u4"), minlength=len(bearer["sizes"]) + 1
+        ).astype(np.int64)[:-1]
         out = pd.DataFrame(
             {"node": bearer["node"], "th": bearer["th"], "n": bearer["sizes"], "shared": total + bearer["local"]}
         )
@@ -136,9 +157,11 @@ def _shared_counts(docs: DataFrame, fragments: int) -> DataFrame:
         return out.astype({"doc_id": "Int64"}) if doc_kind in ("bigint", "int") else out
 
     sent = docs.select("node", "doc_id", "th", "text").mapInArrow(
-        send, f"block long, fragment int, cells binary, held binary, {info_schema}"
+        send, f"block long, fragment int, owners binary, held binary, {info_schema}"
+    )
+    counted = sent.groupBy("fragment").applyInPandas(
+        count, f"block long, owners binary, held binary, {info_schema}"
     )
-    counted = sent.groupBy("fragment").applyInPandas(count, f"block long, {info_schema}, shared binary")
     return counted.groupBy("block").applyInPandas(
         add, f"node long, th long, n long, shared long, doc_id {doc_kind}, digest binary"
     )
@@ -285,8 +308,10 @@ def _linked(sets: DataFrame) -> DataFrame:
         of = components(links)
     # What is left: shingles of several components. A pair is taken at its first shared one.
     lab = labelled(of)
-    open_ = lab.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    left = lab.join(open_.where("low != high").select("token"), "token")
+    ends = lab.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    # Written, so that the join is between two plain shuffles and a hot shingle can be split.
+    open_ = staged(ends.where("low != high").select("token"), "open-shingles")
+    left = lab.join(open_, "token")
     order = sets.select(F.col("node").alias("of_node"), "prefix")
     ahead = F.transform(F.filter("prefix", lambda p: p["pos"] < F.col("pos")), lambda p: p["token"])
     one = staged(
@@ -315,7 +340,7 @@ def _bridges(entries: DataFrame) -> DataFrame:
     members = entries.groupBy("token", "component").agg(pick)
     member = F.struct("component", "node")
     ends = members.groupBy("token").agg(F.min(member).alias("low"), F.max(member).alias("high"))
-    ends = ends.where("low.component != high.component")
+    ends = staged(ends.where("low.component != high.component"), "shingle-ends")
     met = members.join(ends, "token")
     ways = [
         met.where(F.col("component") != F.col(f"{end}.component")).select(
@@ -394,6 +419,7 @@ def jaccard_report(docs: DataFrame) -> DataFrame:
 
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with one row, the first by id, of each group; rows without a set all stay."""
-    held = staged(docs.withColumn("_node", F.monotonically_increasing_id()), "dedup-docs")
-    keep = near_duplicates(held, F.col("_node")).where("kept").select(F.col("node").alias("_node"))
-    return held.join(keep, "_node", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    node = apart(docs, "_node")
+    held = staged(docs.withColumn(node, F.monotonically_increasing_id()), "dedup-docs")
+    keep = near_duplicates(held, F.col(node)).where("kept").select(F.col("node").alias(node))
+    return held.join(keep, node, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
