@@ -113,5 +113,5 @@ def test_pipeline_stages_on_odd_tables(spark, monkeypatch):
 def test_every_operator_is_registered():
     import __spark_entry__ as entry
 
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry.queries())

@@ -271,30 +271,88 @@ def test_co_training(spark):
         assert np.mean([(r[column] >= 0.5) == (r["doc_id"] % 3 != 0) for r in got]) > 0.97
 
 
-def test_pool_helps_the_weaker_view():
-    """Content labels that few documents have come from the metadata of the pool."""
-    import pandas as pd
-
-    def frame(n, seed, noisy):
-        rng = random.Random(seed)
-        good = [rng.random() < 0.5 for _ in range(n)]
-        words = ["alder birch" if g else "quince rowan" for g in good]
-        return pd.DataFrame(
-            {
-                "text": [f"{w} {prose(seed * 1000 + i, 5)}" if not noisy else prose(seed * 1000 + i, 7) for i, w in enumerate(words)],
-                "lang": "en",
-                "source": ["s" if g else "t" for g in good],
-                "n_chars": 40,
-                "good": [int(g) for g in good],
-                "calibrate": [i % 4 == 0 for i in range(n)],
-            }
-        )
-
-    model = cotraining.co_train(frame(60, 1, noisy=True), frame(600, 2, noisy=False))
-    test = frame(200, 3, noisy=False)
-    views = model.views(list(test["text"]), list(test["lang"]), list(test["source"]), list(test["n_chars"]))
-    logits = model.models[0].logits(views[0])
-    assert np.mean((logits > 0) == (test["good"] == 1)) > 0.9
+def pages(n, seed, first=0, noisy=False):
+    """Rows of documents, and whether each is good: the source tells, and the words if not ``noisy``."""
+    rng = random.Random(seed)
+    rows, good = [], []
+    for i in range(n):
+        good.append(rng.random() < 0.5)
+        words = "" if noisy else "alder birch " if good[-1] else "quince rowan "
+        rows.append((first + i, words + prose(seed * 1000 + i, 7), "en", "s" if good[-1] else "t"))
+    return rows, good
+
+
+def content_accuracy(spark, labelled, more, **settings):
+    """How well the content view tells fresh documents, with labels of ``labelled`` alone."""
+    (rows, good), (free, _) = labelled, more
+    views = cotraining.written_views(documents(spark, rows + free))
+    marks = labels(spark, [(r[0], int(g)) for r, g in zip(rows, good, strict=True)], "quality")
+    model = cotraining.fit_quality(views, marks, **settings)
+    test, truth = pages(200, 3)
+    fresh = cotraining.Views.of(*[[r[k] for r in test] for k in (1, 2, 3)], [40] * len(test))
+    content, _ = fresh.sparse(model.edges)
+    return np.mean((model.models[0].logits(content) > 0) == np.array(truth))
+
+
+def test_other_documents_help_the_weaker_view(spark):
+    """Content labels that few documents have come from the metadata of the rest."""
+    assert content_accuracy(spark, pages(60, 1, noisy=True), pages(600, 2, 1000)) > 0.9
+
+
+def test_every_document_can_be_picked(spark):
+    """Of 20,000 documents without a label only the last ones have words that tell; the others say
+    nothing to either view."""
+    dull = [(100_000 + i, f"w{i % 997} x{i % 991}", "en", "u") for i in range(20_000)]
+    told = pages(400, 2, 900_000)
+    assert content_accuracy(spark, pages(60, 1, noisy=True), (dull + told[0], None)) > 0.9
+    assert content_accuracy(spark, pages(60, 1, noisy=True), (dull, None)) < 0.8
+
+
+def test_copies_do_not_fill_the_picks(spark):
+    rows, good = pages(400, 2, 1000)
+    copies = [(10_000 + i, *rows[good.index(True)][1:]) for i in range(3000)]
+    assert content_accuracy(spark, pages(60, 1, noisy=True), (rows + copies, None)) > 0.9
+
+
+def test_rows_for_fitting_are_bounded(spark):
+    """One row per id and so many bytes, whatever the table repeats."""
+    from txnmart.llm.common import bounded_rows
+
+    df = spark.range(100_000).selectExpr("0 as doc_id", "repeat('x', int(id % 3)) as text").unionByName(
+        spark.range(1, 50).selectExpr("id as doc_id", "repeat('y', 100) as text")
+    )
+    held = bounded_rows(df, ["text"], 10_000)
+    assert held["doc_id"] == list(range(50)) and held["text"][0] == ""
+    held = bounded_rows(df, ["text"], 1000)
+    assert len(held["doc_id"]) in (10, 11) and sum(map(len, held["text"])) <= 1000
+    huge = df.selectExpr("doc_id", "if(doc_id = 7, repeat('z', 5000), text) as text")
+    assert 7 not in bounded_rows(huge, ["text"], 4900)["doc_id"]
+    assert bounded_rows(df.limit(0), ["text"], 10) == {"doc_id": [], "text": []}
+
+
+def test_a_labelled_id_repeated_many_times(spark):
+    rows = [(i, prose(i, 20) + (" vile" if i % 2 else ""), "en", "a") for i in range(40)]
+    docs = documents(spark, rows)
+    again = spark.range(100_000).selectExpr("1L as doc_id", f"'{rows[1][1]}' as text", "'en' as lang")
+    many = docs.unionByName(again, allowMissingColumns=True)
+    net = toxicity.fit_toxicity(many, labels(spark, [(i, i % 2) for i in range(40)], "toxic"))
+    assert isinstance(net, toxicity.Network)
+    assert langid.fit_langid(many) is not None
+
+
+def test_null_ids_are_not_held_out(spark):
+    docs = documents(spark, [(None, "some words here", "en", "a"), (1, "some more words", "en", "a")])
+    for report in (toxicity.toxicity_report(docs, labels(spark, [], "toxic")), langid.language_report(docs)):
+        got = {r["doc_id"]: r["held_out"] for r in report.collect()}
+        assert got[None] is False and got[1] is not None
+
+
+def test_letters_are_what_unicode_calls_letters(spark):
+    rows = [(i, speech("en", i, 30), "en", "a") for i in range(30)]
+    rows += [(100, "½ ② ① 12", "en", "a"), (101, "é", "en", "a")]
+    got = {r["doc_id"]: r for r in langid.language_report(documents(spark, rows)).collect()}
+    assert (got[100]["lang_pred"], got[100]["score"]) == ("und", 0.0)
+    assert got[101]["lang_pred"] == "en"
 
 
 def test_co_training_awkward(spark):

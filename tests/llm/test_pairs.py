@@ -9,9 +9,11 @@ import pyarrow as pa
 import pytest
 from helpers_llm import WORDS, awkward_rows, documents, prose
 
-from txnmart.llm import embed_dedup, induced, jaccard_join, suffix_dedup
+from pyspark.sql import functions as F
+
+from txnmart.llm import embed_dedup, induced, jaccard_join, mixing, secrets, suffix_dedup, toxicity
 from txnmart.llm.components import components
-from txnmart.llm.fragments import distinct_entries, times
+from txnmart.llm.fragments import distinct_entries, fragment_of, fragment_rows, packed, times, unpacked
 
 
 class Union:
@@ -53,6 +55,24 @@ def test_times_and_entries():
     assert shared.tolist() == [False, True, True, False, True]
 
 
+def test_what_a_block_sends_follows_its_hashes():
+    """Not the number of fragments."""
+    rng = np.random.default_rng(4)
+    counts = rng.integers(0, 400, 1000)
+    hashes = rng.integers(0, 1 << 63, counts.sum(), dtype=np.uint64) << np.uint64(1)
+    sizes = []
+    for n in (200, 2000, 40_000):
+        rows = [(f, packed(of, len(counts)), held) for f, of, held in fragment_rows(hashes, counts, n, "<u4")]
+        assert sum(len(held) for *_, held in rows) == 4 * len(hashes)
+        assert [f for f, *_ in rows] == sorted({f for f, *_ in rows})
+        for f, owners, held in rows[:: max(1, len(rows) // 20)]:
+            own = np.flatnonzero(fragment_of(hashes, n) == f)
+            assert unpacked(owners, len(held) // 4).tolist() == np.repeat(np.arange(1000), counts)[own].tolist()
+        sizes.append(sum(12 + len(owners) + len(held) for _, owners, held in rows))
+    assert max(sizes) < 1.5 * min(sizes) and sizes[1] < 1.2 * sizes[0]
+    assert list(fragment_rows(hashes[:0], counts[:0], 7, "<u4")) == []
+
+
 # n-gram Jaccard join
 
 
@@ -335,3 +355,34 @@ def test_recall_and_repeated_ids(spark):
         [str((7, 3, 7, True))] * 3 + [str((None, 3, 7, False))]
     )
     assert embed_dedup.near_vectors(same.limit(0)).count() == 0
+
+
+def test_vectors_of_several_lengths(spark):
+    """Also of lengths whose sizes in bytes differ by powers of two."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for size in (1, 2, 2048, 4096):
+        one = rng.standard_normal(size)
+        for k in range(3):
+            rows.append((len(rows), (one * (1 + k) + 1e-6 * k).tolist()))
+    got = embed_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == {
+        i: (2, i - i % 3) for i in range(len(rows))
+    }
+
+
+def test_ids_that_are_no_numbers_are_refused(spark):
+    docs = documents(spark, [(1, "x" * 60, "en", "a")]).withColumn("doc_id", F.col("doc_id").cast("string"))
+    with pytest.raises(TypeError, match="whole number"):
+        suffix_dedup.repeat_report(docs)
+
+
+def test_names_of_our_own_do_not_clash(spark):
+    names = ["_node", "_Node_", "_toxicity", "_mix_row", "_mix_", "_secret_row", "_secret_text"]
+    docs = documents(spark, [(i, prose(i, 40) + " password=abcdefgh12345678", "en", "a") for i in range(6)])
+    for i, name in enumerate(names):
+        docs = docs.withColumn(name, F.lit(i))
+    network = toxicity.without_toxic(docs, spark.createDataFrame([], "doc_id long, toxic int"))
+    for out in (network, jaccard_join.without_near_duplicates(docs), secrets.redact(docs), mixing.mixed_documents(docs)):
+        assert out.columns == docs.columns and out.count() >= 6
+        assert [out.select(n).distinct().first()[0] for n in names] == list(range(len(names)))

@@ -4,7 +4,7 @@ Vectors equal in every component are one class and are compared once. Each table
 to the signs of its dot products with a few random hyperplanes; classes of one bucket are
 compared exactly, in double precision. Bits and tables follow from the number of classes and
 from the share of pairs at the threshold that may be missed (``MISS``), so that buckets stay
-small at any size: bits grow with the logarithm of the classes.
+small up to 2^36 classes: bits grow with their logarithm (beyond, buckets grow, and nothing is lost).
 
 Buckets larger than ``CHUNK`` are cut into chunks that meet in pairs, each pair a group of its
 own; a group gives out one sum per vector and one tree of links, never its pairs. A pair that
@@ -34,12 +34,13 @@ from txnmart.scratch import staged, temporary
 THRESHOLD = 0.9
 MISS = 2e-4
 CHUNK = 1024
+MOST_BITS = 32  # of a table's signature: enough for 2^36 classes
 
 
 def plan_tables(classes: int, threshold: float, miss: float, per_bucket: int = 16) -> tuple[int, int]:
     """Bits per table and tables: about ``per_bucket`` unrelated classes to a bucket, and a pair
     at the threshold parted by all tables with probability ``miss``."""
-    bits = min(24, max(4, math.ceil(math.log2(max(classes, 2) / per_bucket))))
+    bits = min(MOST_BITS, max(4, math.ceil(math.log2(max(classes, 2) / per_bucket))))
     same = (1 - math.acos(threshold) / math.pi) ** bits
     return bits, max(1, math.ceil(math.log(miss) / math.log1p(-same)))
 
@@ -77,7 +78,7 @@ def signatures(v: np.ndarray, bits: int, tables: int, seed: int) -> np.ndarray:
     """The bucket of each unit vector in each table."""
     planes = np.random.default_rng([seed, v.shape[1]]).standard_normal((tables * bits, v.shape[1]))
     signs = (v @ planes.T > 0).reshape(len(v), tables, bits)
-    return (signs << np.arange(bits)).sum(axis=2).astype(np.uint32)
+    return (signs.astype(np.int64) << np.arange(bits)).sum(axis=2).astype(np.uint32)
 
 
 def _trees(near: np.ndarray) -> np.ndarray:
@@ -127,15 +128,17 @@ def link_classes(classes: DataFrame, dtype: str, threshold: float, miss: float,
             for length, part in f.groupby(f["vec"].map(len)):
                 got = signatures(_unit(list(part["vec"]), dtype), bits, tables, seed)
                 keys = (np.arange(tables, dtype=np.int64) << 40) | got.astype(np.int64)
-                # Vectors of another length never share a bucket.
-                keys = keys ^ (int(length) << 26) if length else keys
                 yield part.assign(sig=[g.astype("<u4").tobytes() for g in got], keys=list(keys))
 
     schema = "node long, copies long, vec binary, sig binary, keys array<long>"
     marked = staged(classes.mapInPandas(hashed, schema), "vector-buckets")
-    each = marked.select("node", "copies", "vec", "sig", F.posexplode("keys").alias("t", "key"))
+    # Vectors of another length never share a bucket.
+    each = marked.select(
+        "node", "copies", "vec", "sig", F.octet_length("vec").alias("size"), F.posexplode("keys").alias("t", "key")
+    )
+    bucket = ["size", "key"]
     large = staged(
-        each.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > chunk), "large-buckets"
+        each.groupBy(*bucket).agg(F.count("*").alias("n")).where(F.col("n") > chunk), "large-buckets"
     )
     own = F.pmod(F.xxhash64("node"), F.col("m"))
     pairs = F.transform(
@@ -143,12 +146,12 @@ def link_classes(classes: DataFrame, dtype: str, threshold: float, miss: float,
         lambda o: F.struct(F.least(own, o).alias("a"), F.greatest(own, o).alias("b")),
     )
     dealt = (
-        each.join(large.select("key", F.ceil(F.col("n") / chunk).alias("m")), "key", "left")
+        each.join(large.select(*bucket, F.ceil(F.col("n") / chunk).alias("m")), bucket, "left")
         .withColumn("m", F.coalesce("m", F.lit(1).cast("long")))
-        .select("node", "copies", "vec", "sig", "t", "key", own.alias("own"), F.explode(pairs).alias("p"))
-        .select("node", "copies", "vec", "sig", "t", "key", "own", "p.a", "p.b")
+        .select("node", "copies", "vec", "sig", "t", *bucket, own.alias("own"), F.explode(pairs).alias("p"))
+        .select("node", "copies", "vec", "sig", "t", *bucket, "own", "p.a", "p.b")
     )
-    group = ["key", "a", "b"]
+    group = [*bucket, "a", "b"]
 
     def match(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def rows(run: pd.DataFrame) -> pd.DataFrame | None:

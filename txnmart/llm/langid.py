@@ -8,32 +8,32 @@ Texts shorter than a passage are learned from whole.
 Forward-backward gives each word's label probabilities; a document's language is the one with
 the largest sum over its words.
 
-Training takes a bounded sample of documents with a language (``SAMPLE``) on the driver.
+Training takes a bounded sample of documents with a language (``SAMPLE``, one row per id, and
+``BYTES`` of text) on the driver.
 Labelling is a map over partitions: the texts of a slice are laid end to end in lanes, which
 are walked in parallel, with the chain cut between texts.
 
 NULL texts and texts without a letter are ``und`` with score 0, and so is everything when
-nothing could be learned. Ties go to the first language by name. Repeated rows each give a row;
+nothing could be learned. A letter is what Unicode calls one (``½`` and ``①`` are none). A NULL id is
+neither held out nor learned from. Ties go to the first language by name. Repeated rows each give a row;
 extra columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnmart.llm.common import bounded_sample, fold, slices
+from txnmart.llm.common import bounded_rows, bounded_sample, fold, slices
 from txnmart.llm.wordtables import EDGE, Adam, ngrams, segment_sum, sum_by, word_numbers
 
 SAMPLE = 2000
+BYTES = 64_000_000  # of texts to learn from
 HOLD_OUT, FOLDS = 1, 3
 BUCKETS = 1 << 15
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def _affixes(words: list[bytes]) -> np.ndarray:
@@ -159,7 +159,7 @@ def label_words(model: Field, flat: np.ndarray, lengths: np.ndarray, emit: np.nd
 def letter_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """:func:`word_numbers` of the words that have a letter."""
     flat, lengths, words = word_numbers(texts)
-    has = np.fromiter((bool(_LETTER.search(w.decode())) for w in words), bool, len(words))
+    has = np.fromiter((any(map(str.isalpha, w.decode())) for w in words), bool, len(words))
     keep = has[flat]
     owner = np.repeat(np.arange(len(texts)), lengths)
     number = np.cumsum(has) - 1
@@ -265,15 +265,16 @@ def identify(model: Field | None, texts: list[str]) -> tuple[list[str], np.ndarr
 
 
 def fit_langid(
-    docs: DataFrame, sample: int = SAMPLE, hold_out: int = HOLD_OUT, folds: int = FOLDS
+    docs: DataFrame, sample: int = SAMPLE, hold_out: int = HOLD_OUT, folds: int = FOLDS, most_bytes: int = BYTES
 ) -> Field | None:
-    """Learn from text and language of ``sample`` documents outside the fold ``hold_out``."""
+    """Learn from text and language of about ``sample`` documents at most outside the fold
+    ``hold_out``, one row per id, whose texts have ``most_bytes`` together at most."""
     known = docs.select("doc_id", "text", "lang").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id"), folds) != hold_out)
     )
-    rows = bounded_sample(known, "doc_id", sample).toPandas()
-    rows = rows.sort_values(["doc_id", "lang", "text"], kind="stable")
-    return train(list(rows["text"]), list(rows["lang"]))
+    ids = bounded_sample(known.select("doc_id").distinct(), "doc_id", sample)
+    rows = bounded_rows(known.join(ids, "doc_id"), ["text"], most_bytes)
+    return train(rows["text"], rows["lang"])
 
 
 def language_report(docs: DataFrame) -> DataFrame:
@@ -290,7 +291,10 @@ def language_report(docs: DataFrame) -> DataFrame:
 
     found = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
     return found.select(
-        "doc_id", (fold(F.col("doc_id"), FOLDS) == HOLD_OUT).alias("held_out"), "lang_pred", "score"
+        "doc_id",
+        F.coalesce(fold(F.col("doc_id"), FOLDS) == HOLD_OUT, F.lit(False)).alias("held_out"),
+        "lang_pred",
+        "score",
     )
 
 

@@ -10,7 +10,8 @@ in one join by (source, block).
 
 Prefix sums of sizes are taken inside sorted range partitions, plus one small table of
 partition totals, so a source that holds most rows is spread over all tasks. What the driver
-holds is one number per source and shard; ``most_shards`` bounds the shards.
+holds is one number per source and shard; ``most_shards`` bounds the shards, and more than
+``MOST_SOURCES`` sources are refused (a ValueError): their weights are settings of the mix.
 
 NULL sources are a source of their own. NULL or empty texts have no words and are never taken.
 Rows are numbered, so repeated ids and rows are told apart; extra columns are ignored. The same
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from txnmart.llm.common import mix64, partitions, word_count
+from txnmart.llm.common import apart, mix64, partitions, word_count
 from txnmart.scratch import staged
 
 BLOCK_WORDS = 64
@@ -37,6 +38,7 @@ SHARD_SLOTS = 8192
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MOST = 2.0
+MOST_SOURCES = 100_000
 
 
 def targets(sizes: list[int], weights: list[float], share: float, most: float) -> list[float]:
@@ -151,8 +153,11 @@ class Mix:
             word_count(F.col("text")).alias("size"),
         )
         self.sized = staged(numbered, "mix-sizes")
-        totals = self.sized.groupBy("source").agg(F.sum("size").alias("size")).collect()
+        by_source = staged(self.sized.groupBy("source").agg(F.sum("size").alias("size")), "mix-sources")
+        if (many := by_source.count()) > MOST_SOURCES:
+            raise ValueError(f"{many} sources; a mix takes {MOST_SOURCES} at most")
         # One row per source: a source list is part of the mix's settings.
+        totals = by_source.collect()
         totals.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
         self.names = [r["source"] for r in totals]
         self.sizes = [int(r["size"]) for r in totals]
@@ -261,8 +266,9 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     """The mix as documents: for each pass over its source, a row with the words the mix takes
     of the document in that pass, with the columns of ``docs``. A document taken whole keeps
     its text as it is. ``n_chars`` follows the text where there is one."""
-    held = staged(docs.withColumn("_mix_row", F.monotonically_increasing_id()), "mix-docs")
-    mix = Mix(held, row=F.col("_mix_row"), **settings)
+    own = apart(docs, "_mix")
+    held = staged(docs.withColumn(f"{own}_row", F.monotonically_increasing_id()), "mix-docs")
+    mix = Mix(held, row=F.col(f"{own}_row"), **settings)
     at = F.struct("start", "n_words")
     # A block that is taken twice has two slots: the first makes copy 0, the second copy 1.
     nth = Window.partitionBy("row", "start").orderBy("shard", "slot")
@@ -270,11 +276,11 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
         mix.pieces()
         .withColumn("copy", F.row_number().over(nth))
         .groupBy("row", "copy")
-        .agg(F.array_sort(F.collect_list(at)).alias("_mix_spans"), F.sum("n_words").alias("_mix_words"))
+        .agg(F.array_sort(F.collect_list(at)).alias(f"{own}_spans"), F.sum("n_words").alias(f"{own}_words"))
     )
-    whole = mix.sized.select("row", F.col("size").alias("_mix_size"))
-    joined = taken.join(whole, "row").withColumnsRenamed({"row": "_mix_of", "copy": "_mix_copy"})
-    joined = joined.join(held, F.col("_mix_of") == F.col("_mix_row"))
+    whole = mix.sized.select("row", F.col("size").alias(f"{own}_size"))
+    joined = taken.join(whole, "row").withColumnsRenamed({"row": f"{own}_of", "copy": f"{own}_copy"})
+    joined = joined.join(held, F.col(f"{own}_of") == F.col(f"{own}_row"))
 
     @F.pandas_udf("string")
     def cut(text: pd.Series, spans: pd.Series) -> pd.Series:
@@ -286,8 +292,8 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
             dtype=object,
         )
 
-    in_part = F.when(F.col("_mix_words") < F.col("_mix_size"), F.col("text"))
-    out = joined.withColumn("text", F.coalesce(cut(in_part, "_mix_spans"), "text"))
+    in_part = F.when(F.col(f"{own}_words") < F.col(f"{own}_size"), F.col("text"))
+    out = joined.withColumn("text", F.coalesce(cut(in_part, f"{own}_spans"), "text"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast("long"))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from txnmart.llm.common import apart
 from txnmart.scratch import staged, temporary
 
 
@@ -231,12 +232,13 @@ def secret_report(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
     """``docs`` with every reported span replaced by ``mask``; other columns stay, ``n_chars``
     follows the text where there is one. A text without spans is left as it is, NULL too."""
-    row = "_secret_row"
+    own = apart(docs, "_secret")
+    row, of, found, new = (f"{own}_{n}" for n in ("row", "of", "spans", "text"))
     held = staged(docs.withColumn(row, F.monotonically_increasing_id()), "redact")
     numbered = held.select(F.col(row).alias("doc_id"), "text")
     with temporary(docs.sparkSession) as block:
         marks = scan_secrets(numbered).where(F.size("spans") > 0)
-        marks = marks.select(F.col("doc_id").alias("_secret_of"), F.col("spans").alias("_secret_spans"))
+        marks = marks.select(F.col("doc_id").alias(of), F.col("spans").alias(found))
         marks = block.keep(staged(marks, "redact-spans"))
     # Walk the spans in order; one that begins inside the last masked stretch adds to it.
     text = F.col("text")
@@ -251,15 +253,15 @@ def redact(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
             F.struct(acc["done"].alias("done"), F.greatest(acc["at"], s["end"]).alias("at"))
         )
 
-    walked = F.aggregate("_secret_spans", start, step)
+    walked = F.aggregate(found, start, step)
     rest = F.substring(text, walked["at"].cast("int") + 1, F.length(text))
-    out = held.join(marks, F.col(row) == F.col("_secret_of"), "left").withColumn(
-        "_secret_text",
-        F.when(F.col("_secret_spans").isNotNull(), F.concat(walked["done"], rest)),
+    out = held.join(marks, F.col(row) == F.col(of), "left").withColumn(
+        new,
+        F.when(F.col(found).isNotNull(), F.concat(walked["done"], rest)),
     )
-    changed = {"text": F.coalesce("_secret_text", text)}
+    changed = {"text": F.coalesce(new, text)}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.when(
-            F.col("_secret_text").isNotNull(), F.length("_secret_text").cast("long")
+            F.col(new).isNotNull(), F.length(new).cast("long")
         ).otherwise(F.col("n_chars"))
     return out.withColumns(changed).select(*[F.col(f"`{c}`") for c in docs.columns])
