@@ -2,15 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from txnmart.schemas import ID
 from txnmart.scratch import staged
 
 
-def new_rows(batch: DataFrame, existing: DataFrame, key: str = ID) -> DataFrame:
-    """Rows of ``batch`` whose key is not in ``existing``.
+Existing = DataFrame | Callable[[DataFrame], DataFrame | None]
+
+
+@dataclass(frozen=True)
+class Fresh:
+    """What a batch brings: its new rows, and how many of the others there are."""
+
+    rows: DataFrame
+    known: int
+
+
+def find_new(batch: DataFrame, existing: Existing, key: str = ID) -> Fresh:
+    """Rows of ``batch`` whose key is not in ``existing``, and the number of those whose key is.
+
+    ``existing`` may also be a function of the batch's distinct keys that gives the rows which
+    can have one of them (None for no rows), so that whatever holds none is not even listed.
 
     Repeats inside the batch all survive, and a NULL key never matches, so its row is
     always new. ``existing`` is scanned for its key alone, and only where its files'
@@ -24,26 +41,40 @@ def new_rows(batch: DataFrame, existing: DataFrame, key: str = ID) -> DataFrame:
     seen before or of fresh ones: few new rows in a large redelivery, or few repeats in a
     new batch, are found without shuffling the batch. All lists are written out, so a
     join too large to broadcast is between two plain shuffles, the shape in which adaptive
-    execution splits the batch's hot or NULL keys over several tasks.
+    execution splits the batch's hot or NULL keys over several tasks. What is counted is counted
+    by the writes.
 
     The batch is read twice and should be a table, or a projection of one.
     """
     present = F.col(key).isNotNull()
-    keys = staged(batch.select(key).where(present).distinct(), "batch-keys")
-    low, high, batch_keys = keys.agg(F.min(key), F.max(key), F.count(key)).first()
-    in_range = F.col(key).between(F.lit(low), F.lit(high))
-    known = existing.select(key).where(in_range).distinct()
-    seen = staged(known.join(keys, key, "left_semi"), "seen-keys")
-    seen_keys = seen.count()
+    counted = batch.select(key).where(present).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    seen = Observation()
+    facts = [F.min(key).alias("low"), F.max(key).alias("high"), F.count(key).alias("keys"), F.sum("_rows").alias("rows")]
+    counts = staged(counted.observe(seen, *facts), "batch-keys")
+    in_batch, keys = seen.get, counts.select(key)
+    held = existing(keys) if callable(existing) else existing
+    if held is None:
+        return Fresh(batch, 0)
+    in_range = F.col(key).between(F.lit(in_batch["low"]), F.lit(in_batch["high"]))
+    known = held.select(key).where(in_range).distinct()
+    found = Observation()
+    both = staged(known.join(keys, key, "left_semi").observe(found, F.count(key).alias("keys")), "seen-keys")
+    seen_keys = found.get["keys"]
     if seen_keys == 0:
-        return batch
-    if seen_keys == batch_keys:
-        return batch.where(~present)
-    if 2 * seen_keys <= batch_keys:
-        return batch.join(seen, key, "left_anti").select(batch.columns)
-    fresh = staged(keys.join(seen, key, "left_anti"), "fresh-keys")
+        return Fresh(batch, 0)
+    if seen_keys == in_batch["keys"]:
+        return Fresh(batch.where(~present), in_batch["rows"])
+    rows = counts.join(both, key, "left_semi").agg(F.sum("_rows")).first()[0]
+    if 2 * seen_keys <= in_batch["keys"]:
+        return Fresh(batch.join(both, key, "left_anti").select(batch.columns), rows)
+    fresh = staged(keys.join(both, key, "left_anti"), "fresh-keys")
     new = batch.join(fresh, key, "left_semi").select(batch.columns)
-    return new.unionByName(batch.where(~present))
+    return Fresh(new.unionByName(batch.where(~present)), rows)
+
+
+def new_rows(batch: DataFrame, existing: Existing, key: str = ID) -> DataFrame:
+    """The new rows of :func:`find_new`."""
+    return find_new(batch, existing, key).rows
 
 
 def union_by_name(existing: DataFrame, new: DataFrame) -> DataFrame:

@@ -59,6 +59,15 @@ def scd2_merge(
     explains (the key ended then) stays: it closes whatever version is in force on that day,
     and a later change opens the key again, with the same value or another.
     """
+    changed, others = scd2_changes(dim, changes, key, tracked, effective, seq)
+    return others.select(changed.columns).unionByName(changed)
+
+
+def scd2_changes(
+    dim: DataFrame, changes: DataFrame, key: str, tracked: str, effective: str, seq: str
+) -> tuple[DataFrame, DataFrame]:
+    """The parts of :func:`scd2_merge`: all versions, closed ones too, of the keys that changes
+    hold, and the other rows of ``dim``."""
     latest = staged(
         _last(changes, [F.col(key), F.col(effective).cast("date")], [seq], [tracked]).select(
             F.col("_k0").alias(key),
@@ -100,7 +109,7 @@ def scd2_merge(
         .where("_kind > 0")
         .withColumn("is_current", F.col("valid_to").isNull())
     )
-    return others.select(merged.drop("_kind").columns).unionByName(merged.drop("_kind"))
+    return merged.drop("_kind"), others
 
 
 def _operation(op: str) -> Column:
