@@ -1,10 +1,13 @@
 """Streaming paths against their batch results."""
 
+import contextlib
 import datetime as dt
+from pathlib import Path
 
 from helpers import frame, txn, values
 from pyspark.sql import functions as F
 
+from txnmart.plans import mart
 from txnmart.sources.files import write_csv
 from txnmart.streaming.ingest import csv_stream, ingest_available, merge_batch
 from txnmart.streaming.totals import daily_totals_stream, utc_instant, write_available
@@ -56,6 +59,71 @@ def test_batches_are_named_by_stream_and_number(spark, store, tmp_path):
     assert len({n.split("/")[0] for n in names}) == 1 and "None" not in names[0]
 
 
+def land(spark, folder, number, *rows):
+    write_csv(frame(spark, *rows).coalesce(1), f"{folder}/part-{number}")
+
+
+def test_ids_of_other_jobs_are_known_to_the_stream(spark, store, tmp_path):
+    folder, state = f"{tmp_path}/in", str(tmp_path / "state")
+    mart.append_new(store, "t", frame(spark, txn(1), txn(2)))
+    for n, (part, others) in enumerate([([1, 3], [4]), ([3, 4, 5], [6, 5]), ([6, 7, 1], [])]):
+        land(spark, folder, n, *map(txn, part))
+        ingest_available(store, "t", csv_stream(spark, f"{folder}/*"), state)
+        mart.append_new(store, "t", frame(spark, *map(txn, others)))
+    assert ids(store.read("t")) == [1, 2, 3, 4, 5, 6, 7]
+
+
+def test_a_micro_batch_reads_nothing_of_the_table(spark, store, tmp_path):
+    folder, state = f"{tmp_path}/in", str(tmp_path / "state")
+    for n, part in enumerate(([1, 2], [2, 3], [3, 3, 4])):
+        land(spark, folder, n, *map(txn, part))
+        if n == 2:  # whatever would open the table's rows fails now
+            for path in store.at().paths():
+                for file in Path(path).glob("*.parquet"):
+                    file.write_bytes(b"no parquet")
+        ingest_available(store, "t", csv_stream(spark, f"{folder}/*"), state)
+    assert ids(store.at().read("t", since=store.at().version - 1)) == [4]
+
+
+def test_a_stream_that_dies_at_any_point_goes_on(spark, store, tmp_path, monkeypatch):
+    """Before and after the landing, the write and the commit: in the end every row is there once."""
+    from txnmart.streaming import ingest
+
+    folder, state = f"{tmp_path}/in", str(tmp_path / "state")
+    n = 0
+    for name, late in [("dedup_batch", 0), ("write_rejected", 0), ("create_file", 0), ("delete_folder", 0),
+                       ("_append_landed", 1), ("_seed", 1)]:
+        land(spark, folder, n, txn(n), txn(n // 2), txn(None, f"N{n}"))
+        real = getattr(ingest, name)
+
+        def dies(*args, real=real, late=late, **more):
+            if late:
+                real(*args, **more)
+            raise OSError("killed")
+
+        with monkeypatch.context() as broken:
+            broken.setattr(ingest, name, dies)
+            with contextlib.suppress(Exception):
+                ingest_available(store, "t", csv_stream(spark, f"{folder}/*"), state)
+        if n % 2:
+            mart.append_new(store, "t", frame(spark, txn(100 + n)))
+        n += 1
+    land(spark, folder, n, txn(101), txn(0), txn(103))
+    ingest_available(store, "t", csv_stream(spark, f"{folder}/*"), state)
+    assert ids(store.read("t")) == [0, 1, 2, 3, 4, 5, 101, 103, 105]
+    assert sorted(r.customer_name for r in store.read("t_quarantine").collect()) == [f"N{i}" for i in range(n)]
+
+
+def test_a_replaced_table_begins_a_new_state(spark, store, tmp_path):
+    folder, state = f"{tmp_path}/in", str(tmp_path / "state")
+    land(spark, folder, 0, txn(1), txn(2))
+    ingest_available(store, "t", csv_stream(spark, f"{folder}/*"), state)
+    store.publish({"t": frame(spark, txn(2), txn(9))})
+    land(spark, folder, 1, txn(1), txn(2), txn(9), txn(3))
+    ingest_available(store, "t", csv_stream(spark, f"{folder}/*"), state)
+    assert ids(store.read("t")) == [1, 2, 3, 9]
+
+
 def events(spark, path, *rows):
     spark.createDataFrame(rows, "ts timestamp_ntz, value double").coalesce(1).write.mode("append").parquet(path)
 

@@ -11,6 +11,10 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Parquet grows when it is read: judge a table's size for a broadcast by that.
     "spark.sql.sources.fileCompressionFactor": "4.0",
+    # Streams may remember more ids than an executor's heap holds.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     "spark.ui.enabled": "false",
 }
 
