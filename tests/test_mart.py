@@ -1,9 +1,14 @@
 """The daily jobs, including what earlier runs are known to get wrong."""
 
+from pathlib import Path
+
 import pytest
 from helpers import frame, txn, values
+from pyspark.sql import functions as F
 
+from txnmart.operators.dims import DIMENSIONS
 from txnmart.plans import mart
+from txnmart.sinks.store import MartStore, Transaction
 from txnmart.sources.files import write_csv
 
 LOAD_TS = "2026-03-12 08:00:00"
@@ -263,3 +268,111 @@ def test_customer_history(spark, store):
         ("A", "2024-01-01", False),
         ("B", "2024-01-05", True),
     ]
+
+
+def test_a_load_that_loses_a_row_publishes_nothing(spark, store, monkeypatch):
+    mart.ingest_frame(store, frame(spark, txn(1), txn(2), txn(2), txn(None)))
+    real = mart.split_by_rules
+
+    def loses(tagged):
+        good, bad = real(tagged)
+        return good.where("transaction_id <> 2"), bad
+
+    days = ("2024-01-01", "2024-12-31")
+    with monkeypatch.context() as broken:
+        broken.setattr(mart, "split_by_rules", loses)
+        with pytest.raises(mart.RowsLost, match="silver"):
+            mart.transform(store, mart.Checks(dedup=True, days=days))
+    assert store.at().version == 1 and store.read(mart.SILVER) is None
+    assert mart.transform(store, mart.Checks(dedup=True, days=days)).rows == 2
+    mart.ingest_frame(store, frame(spark, txn(2), txn(3), txn(3), txn(None, "X")))
+    assert mart.transform(store).rows == 2
+    assert values(store.load_balance()) == [(2, "silver", 4, 2, 0, 1, 1), (4, "silver", 4, 2, 1, 1, 0)]
+
+
+@pytest.mark.parametrize("step", ["ingest_frame", "transform", "load", "_commit_new", "publish_all"])
+def test_a_run_that_dies_leaves_the_old_version_whole(spark, store, tmp_path, monkeypatch, step):
+    """After each step, its work done."""
+    for day in (1, 2):
+        write_csv(frame(spark, *[txn(i, f"N{i}") for i in range(day * 3)], txn(None, f"X{day}")), f"{tmp_path}/{day}")
+    mart.run(store, f"{tmp_path}/1", LOAD_TS)
+    tables = [mart.RAW, mart.SILVER, mart.QUARANTINE, mart.FACT, *[d.table for d in DIMENSIONS]]
+    before = {t: values(store.read(t)) for t in tables}
+    assert store.at().version == 1 and len(before[mart.FACT]) == 3
+    owner = Transaction if step == "publish_all" else mart
+    real = getattr(owner, step)
+
+    def dies(*args, **more):
+        if step != "publish_all":
+            real(*args, **more)
+        raise OSError("killed")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(owner, step, dies)
+        with pytest.raises(OSError, match="killed"):
+            mart.run(store, f"{tmp_path}/2", LOAD_TS)
+    assert store.at().version == 1 and {t: values(store.read(t)) for t in tables} == before
+    assert mart.run(store, f"{tmp_path}/2", LOAD_TS).rows == 6
+    assert store.at().version == 2 and store.read(mart.QUARANTINE).count() == 2
+    mart.append_new(store, mart.SILVER, frame(spark, txn(50)))
+    assert mart.load_incremental(store, LOAD_TS).rows == 1
+
+
+def test_a_delivery_reads_no_rejected_rows(spark, store):
+    """Whether they are known is told by their hashes."""
+    rows = [txn(None, "A"), txn(None, "A"), txn(None, None), txn(None, "B", email=None)]
+    mart.ingest_frame(store, frame(spark, txn(1), *rows))
+    mart.transform(store)
+    assert store.read(mart.QUARANTINE).count() == 4
+    for path in [p.path for p in store.at()._parts(mart.QUARANTINE)]:
+        for file in Path(path).glob("*.parquet"):
+            file.write_bytes(b"no parquet")
+    mart.ingest_frame(store, frame(spark, txn(1), *rows, txn(None, "A"), txn(None, "", email="B")))
+    mart.transform(store)
+    added = store.at().read(mart.QUARANTINE, since=2)
+    assert sorted((r.customer_name, r.customer_email) for r in added.collect()) == [("", "B"), ("A", "a@x.org")]
+
+
+def test_a_quarantine_without_hashes_is_hashed_once(spark, store):
+    mart.ingest_frame(store, frame(spark, txn(1), txn(None, "A"), txn(None, "B")))
+    old = frame(spark, txn(None, "A")).withColumn("violations", F.lit("id_present"))
+    store.append(mart.QUARANTINE, old)
+    for _ in range(2):
+        mart.transform(store)
+        assert sorted(r.customer_name for r in store.read(mart.QUARANTINE).collect()) == ["A", "B"]
+
+
+def test_history_writes_follow_the_changes(spark, store):
+    """Only the versions of changed emails are written, also by a late change to closed ones."""
+    first = [txn(i, f"N{i}", f"e{i % 50}", day=f"2024-01-{1 + i // 50:02d}") for i in range(500)]
+    mart.append_new(store, mart.SILVER, frame(spark, *first))
+    mart.refresh_history(store)
+    whole = store.at().rows(mart.CUSTOMER_HISTORY)
+    assert whole == 500
+    late = [txn(900, "LATE", "e7", day="2024-01-03"), txn(901, "NEW", None, day="2024-02-01")]
+    mart.append_new(store, mart.SILVER, frame(spark, *late))
+    assert mart.refresh_history(store).rows == 11
+    mart.append_new(store, mart.SILVER, frame(spark, txn(902, "MID", "e7", day="2023-12-31")))
+    assert mart.refresh_history(store).rows == 11
+    history = store.read(mart.CUSTOMER_HISTORY)
+    assert store.at().rows(mart.CUSTOMER_HISTORY) == history.count() == 502
+    assert store.at().upserts(mart.CUSTOMER_HISTORY) == (2, 22)
+    own = history.where("customer_email = 'e7'").orderBy("valid_from").collect()
+    assert [r.customer_name for r in own[:4]] == ["MID", "N7", "N57", "LATE"]
+    assert [r.is_current for r in own] == [False] * 10 + [True]
+    assert all(a.valid_to == b.valid_from for a, b in zip(own[:-1], own[1:], strict=True))
+    everything = [*first, *late, txn(902, "MID", "e7", day="2023-12-31")]
+    again = MartStore(spark, store.root + "-again")
+    mart.append_new(again, mart.SILVER, frame(spark, *everything))
+    mart.refresh_history(again)
+    assert values(history) == values(again.read(mart.CUSTOMER_HISTORY))
+
+
+def test_history_is_written_whole_again_in_time(spark, store, monkeypatch):
+    monkeypatch.setattr(mart, "MOST_UPSERTS", 2)
+    for n in range(5):
+        rows = [txn(100 * n + i, f"N{n}", f"e{i if n == 0 else n}", day=f"2024-01-0{n + 1}") for i in range(20 if n == 0 else 1)]
+        mart.append_new(store, mart.SILVER, frame(spark, *rows))
+        mart.refresh_history(store)
+    assert store.at().upserts(mart.CUSTOMER_HISTORY) == (1, 2)
+    assert store.read(mart.CUSTOMER_HISTORY).count() == store.at().rows(mart.CUSTOMER_HISTORY) == 24

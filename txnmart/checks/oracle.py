@@ -514,6 +514,17 @@ union all select 2, 'dim_customer', 'replace', count(*) from dim_customer
 union all select 2, 'dim_merchant', 'replace', count(*) from dim_merchant
 union all select 2, 'dim_date', 'replace', count(*) from dim_date
 union all select 2, 'fact_transactions', 'replace', count(*) from silver""",
+    "load_balance": f"""with {HISTORY_SILVER},
+loads as (select 2::bigint as version, transaction_id, false as known from history
+          union all select 4, transaction_id,
+                           transaction_id in (select transaction_id from history where transaction_id is not null)
+                    from silver)
+select version, 'silver' as table_name, count(*) as rows_in,
+       count(distinct transaction_id) filter (not known) as rows_new,
+       count(distinct transaction_id) filter (known) as rows_known,
+       count(*) filter (transaction_id is null) as rows_rejected,
+       count(transaction_id) - count(distinct transaction_id) as rows_repeated
+from loads group by version""",
     "read_snapshot": f"with {HISTORY_SILVER} select * from history",
     "account_dim": f"""
 select 'AC' || lpad(cast(c_custkey as varchar), 9, '0') as account_no,

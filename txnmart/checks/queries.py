@@ -645,6 +645,16 @@ def load_audit(spark, sf_dir):
     return store.load_audit()
 
 
+@query
+def load_balance(spark, sf_dir):
+    """Two loads of raw rows into silver, the second one the whole feed: what became of them."""
+    feed, store = staged(transactions(spark, sf_dir), "feed"), new_store(spark)
+    for part in (before(feed, HISTORY_END), feed):
+        mart.ingest_frame(store, part)
+        mart.transform(store, mart.Checks(dedup=True))
+    return store.load_balance()
+
+
 @query
 def read_snapshot(spark, sf_dir):
     """The first version of a table that was appended to and replaced since."""

@@ -12,20 +12,21 @@ from pyspark.sql import functions as F
 
 from txnmart.functions.cleaning import clean, null_handling
 from txnmart.operators import reports
-from txnmart.operators.delta import dedup_batch, new_rows
+from txnmart.operators.delta import Fresh, dedup_batch, find_new, new_rows
 from txnmart.operators.dims import DIMENSIONS, Dimension
 from txnmart.operators.facts import fact_transactions
-from txnmart.operators.history import scd2_merge
+from txnmart.operators.history import scd2_changes, scd2_merge
 from txnmart.operators.quality import split_by_rules, tag_violations, transaction_rules
 from txnmart.schemas import COLUMNS, ID
 from txnmart.scratch import staged
 from txnmart.sinks.jdbc import JdbcTarget, append, check_rows, is_empty, reload_all
-from txnmart.sinks.store import APPEND, MartStore, Snapshot, Written
+from txnmart.sinks.store import APPEND, UPSERT, MartStore, Snapshot, Written
 from txnmart.sources.files import csv_scan, path_exists
 
 RAW, SILVER, QUARANTINE, FACT = "raw", "silver", "silver_quarantine", "fact_transactions"
 DAY_PARTS, CUSTOMER_HISTORY = "day_parts", "customer_history"
 DATABASE_LOADS = "database_loads"
+MOST_UPSERTS = 16
 # How commits are named: silver rows that were compared with silver, and how a fact's
 # customers were found.
 CHECKED_NEW, BY_EMAIL, BY_NAME = "new:", "load-by-email:", "load-by-name:"
@@ -36,6 +37,11 @@ SKIPPED_NO_SOURCE = "SKIPPED_NO_SOURCE"
 SKIPPED_EMPTY = "SKIPPED_EMPTY"
 
 
+class RowsLost(RuntimeError):
+    """Rows that a job took in and that are neither in what it wrote nor counted as known, rejected
+    or repeated. Nothing is published then."""
+
+
 class StepSkipped(RuntimeError):
     """Raised by :meth:`StepResult.require` for a step that had nothing to work on."""
 
@@ -106,25 +112,30 @@ def transform(store: MartStore, checks: Checks = Checks()) -> StepResult:
     if raw is None:
         return StepResult(SKIPPED_NO_SOURCE)
     cleaned = clean(raw.select(COLUMNS))
+    rows = left = mart.rows(RAW)
     if checks.defaults:
         cleaned = null_handling(cleaned)
     if checks.dedup:
-        cleaned = staged(dedup_batch(cleaned), "deduplicated")
+        cleaned, left = _counted(dedup_batch(cleaned), "deduplicated")
     if checks.days:
         rules = transaction_rules(*checks.days)
         tagged = staged(tag_violations(staged(cleaned, "to-check"), rules), "checked")
         good, bad = split_by_rules(tagged)
-        delta = _write_new(store, mart, SILVER, good)
-        bad = bad.withColumn("violations", F.concat_ws(",", "violations"))
-        return _commit_new(store, mart, delta, write_rejected(store, mart, bad))
+        bad, rejected = _counted(bad.withColumn("violations", F.concat_ws(",", "violations")), "rejected")
+    else:
+        good, bad = cleaned.where(F.col(ID).isNotNull()), without_ids(cleaned)
+        rejected = raw.where(F.col(ID).isNull()).count()
+    delta, known = _write_new(store, mart, SILVER, good)
+    lost = write_rejected(store, mart, bad) if rejected else []
+    balance = {"rows": rows, "repeated": rows - left, "rejected": rejected, "known": known, "new": delta.rows}
+    return _commit_new(store, mart, delta, lost, balance)
+
+
+def _counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """A staged frame and its rows, counted by the write."""
     seen = Observation()
-    without_id = F.count_if(F.col(ID).isNull())
-    observed = cleaned.observe(seen, without_id.alias("without_id"))
-    delta = _write_new(store, mart, SILVER, observed.where(F.col(ID).isNotNull()))
-    lost = None
-    if seen.get["without_id"]:
-        lost = write_rejected(store, mart, without_ids(cleaned))
-    return _commit_new(store, mart, delta, lost)
+    out = staged(df.observe(seen, F.count(F.lit(1)).alias("rows")), label)
+    return out, seen.get["rows"]
 
 
 def without_ids(rows: DataFrame) -> DataFrame:
@@ -134,12 +145,45 @@ def without_ids(rows: DataFrame) -> DataFrame:
 
 def write_rejected(
     store: MartStore, mart: Snapshot, rows: DataFrame, table: str = QUARANTINE
-) -> Written:
-    """Write what the quarantine does not hold yet: as many copies of a row as are missing."""
-    known = mart.read(table)
+) -> list[Written]:
+    """Write what the quarantine does not hold yet: as many copies of a row as are missing.
+
+    What it holds is told by a table beside it with two hashes of each content and its copies, in the
+    order of the first: a delivery reads the files of it that can hold the hashes it brings, and no
+    rejected rows. A quarantine from before that table is hashed once."""
+    hashes = f"{table}_contents"
+    columns = rows.columns
+    counted = staged(_contents(rows, columns), "rejected-contents")
+    known = mart.near(hashes, counted.select("content"), "content") if mart.read(hashes) is not None else None
+    added = counted
+    older = mart.read(table) if known is None and mart.read(hashes) is None else None
+    if older is not None:
+        known = staged(_contents(older, columns), "quarantine-contents")
     if known is not None:
-        rows = rows.select(known.columns).exceptAll(known)
-    return store.write(table, rows, APPEND)
+        held = known.groupBy("content", "check").agg(F.sum("copies").alias("held"))
+        left = F.col("copies") - F.coalesce("held", F.lit(0))
+        added = counted.join(held, ["content", "check"], "left").withColumn("copies", left).where("copies > 0")
+    added = staged(added.select("content", "check", "copies"), "new-contents")
+    # One row of each content, as often as copies are missing: equal rows need not be moved.
+    one = _hashed(rows, columns).dropDuplicates(["content", "check"]).join(added, ["content", "check"])
+    again = one.withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    written = store.write(table, again.select(columns), APPEND)
+    if not written.rows:
+        return []
+    if older is not None:
+        added = added.unionByName(known)
+    return [written, store.write(hashes, added, APPEND, order="content")]
+
+
+def _hashed(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows with two hashes of all they hold, NULLs and their places included."""
+    whole = F.to_json(F.struct(*columns))
+    return rows.withColumn("content", F.xxhash64(whole)).withColumn("check", F.xxhash64(F.lit(1), whole))
+
+
+def _contents(rows: DataFrame, columns: list[str]) -> DataFrame:
+    copies = F.count(F.lit(1)).alias("copies")
+    return _hashed(rows.select(columns), columns).groupBy("content", "check").agg(copies)
 
 
 def append_new(store: MartStore, table: str, batch: DataFrame | None) -> StepResult:
@@ -148,21 +192,30 @@ def append_new(store: MartStore, table: str, batch: DataFrame | None) -> StepRes
     if batch is None:
         return StepResult(SKIPPED_NO_SOURCE)
     mart = store.at()
-    return _commit_new(store, mart, _write_new(store, mart, table, batch))
+    delta, _ = _write_new(store, mart, table, batch)
+    return _commit_new(store, mart, delta)
 
 
-def _write_new(store: MartStore, mart: Snapshot, table: str, batch: DataFrame) -> Written:
+def _write_new(store: MartStore, mart: Snapshot, table: str, batch: DataFrame) -> tuple[Written, int]:
+    """The new rows, in the order of their ids, and how many of the batch the table has."""
+    fresh = Fresh(batch, 0)
     if mart.rows(table) > 0:
-        batch = new_rows(batch, mart.read(table))
-    return store.write(table, batch, APPEND)
+        fresh = find_new(batch, lambda keys: mart.near(table, keys, ID))
+    return store.write(table, fresh.rows, APPEND, order=ID), fresh.known
 
 
 def _commit_new(
-    store: MartStore, mart: Snapshot, delta: Written, aside: Written | None = None
+    store: MartStore,
+    mart: Snapshot,
+    delta: Written,
+    aside: list[Written] = [],  # noqa: B006
+    balance: dict[str, int] | None = None,
 ) -> StepResult:
-    tables = [w for w in (delta, aside) if w and w.rows]
+    if balance and balance["rows"] != sum(n for k, n in balance.items() if k != "rows"):
+        raise RowsLost(f"{delta.table}: {balance}")
+    tables = [w for w in (delta, *aside) if w.rows]
     name = f"{CHECKED_NEW}{uuid.uuid4().hex}"
-    version = store.commit(*tables, base=mart.version, name=name) if tables else None
+    version = store.commit(*tables, base=mart.version, name=name, balance=balance) if tables else None
     if delta.rows:
         return StepResult(LOADED, delta.rows, version)
     return StepResult(SKIPPED_EMPTY if mart.read(delta.table) is None else UNCHANGED)
@@ -253,17 +306,24 @@ def run(
     checks: Checks = Checks(),
     by_email: bool = False,
 ) -> StepResult:
-    """Ingest, transform and load in turn; stops at a step that is skipped."""
-    ingested = ingest(store, csv_path)
-    if ingested.status != LOADED:
-        return ingested
-    transform(store, checks)
-    return load(store, load_ts, by_email)
+    """Ingest, transform and load in turn, as one version: what one of them raises leaves the mart
+    as it was. Stops at a step that is skipped, and publishes what came before."""
+    together = store.transaction()
+    done = ingest(together, csv_path)
+    if done.status == LOADED:
+        transform(together, checks)
+        done = load(together, load_ts, by_email)
+    together.publish_all()
+    return done
 
 
 def refresh_history(store: MartStore) -> StepResult:
     """Keep the type-2 table of customers up to date: the name each email goes by, and since
-    when, from the silver rows added since. Of one day's names the last by id counts."""
+    when, from the silver rows added since. Of one day's names the last by id counts.
+
+    All versions of the emails that the rows hold are written, in place of the ones before, and
+    nothing of the others; the table is written whole again when there are ``MOST_UPSERTS`` such
+    parts, or they have half its rows."""
     mart = store.at()
     if mart.read(SILVER) is None:
         return StepResult(SKIPPED_NO_SOURCE)
@@ -280,10 +340,16 @@ def refresh_history(store: MartStore) -> StepResult:
             "is_current boolean",
         )
     changes = added.where("transaction_date is not null")
-    versions = scd2_merge(
-        known, changes, "customer_email", "customer_name", "transaction_date", ID
-    )
-    written = store.write(CUSTOMER_HISTORY, versions)
+    by = ("customer_email", "customer_name", "transaction_date", ID)
+    many, rows = mart.upserts(CUSTOMER_HISTORY)
+    if not since or many >= MOST_UPSERTS or 2 * rows > mart.rows(CUSTOMER_HISTORY):
+        written = store.write(CUSTOMER_HISTORY, scd2_merge(known, changes, *by))
+    else:
+        changed, _ = scd2_changes(known, changes, *by)
+        changed = staged(changed, "changed-history")
+        emails = changed.select("customer_email").distinct().withColumnRenamed("customer_email", "_email")
+        gone = known.join(emails, F.col("customer_email").eqNullSafe(F.col("_email")), "left_semi").count()
+        written = store.write(CUSTOMER_HISTORY, changed, UPSERT, key="customer_email", gone=gone)
     return StepResult(LOADED, written.rows, store.commit(written, base=mart.version))
 
 
