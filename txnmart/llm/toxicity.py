@@ -12,7 +12,7 @@ Training takes a bounded sample of labelled documents (``SAMPLE``: about so many
 label 1 at most, one row per id, and ``BYTES`` of text) on the driver, both labels in equal parts, and the share of label 1 among all labels
 then corrects the score; scoring is a map over partitions with the fitted weights, and nothing is shuffled.
 
-NULL and empty texts are one window of padding. With no label, or one class only, the score is
+NULL and empty texts tell nothing: their score is the share of label 1 among the labels. With no label, or one class only, the score is
 that class's share for every document (0 without labels). A NULL id is neither held out nor learned
 from. Repeated rows each give a row; extra columns, clashing names included, stay as they are.
 """
@@ -253,7 +253,8 @@ def score_texts(net: Network, texts: list[str], block: int = 1024) -> np.ndarray
     table = np.concatenate([*parts, net.table(net.inputs([])[0])])
     idx, counts = windows(flat, lengths, len(words))
     logits = np.concatenate([net.forward(table, idx[i : i + block])[0] for i in range(0, len(idx), block)])
-    return _sigmoid(pool(logits.astype(float), counts)[0] + net.prior)
+    # A text without words tells nothing: the share of label 1.
+    return _sigmoid(np.where(lengths > 0, pool(logits.astype(float), counts)[0], 0.0) + net.prior)
 
 
 def fit_toxicity(
