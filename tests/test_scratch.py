@@ -1,5 +1,7 @@
 """Intermediate tables and their end."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from helpers import values
 
@@ -35,3 +37,11 @@ def test_settings_are_left_as_they_were(spark):
     before = spark.conf.get(CLEANUP, None)
     staged(spark.range(1), "a")
     assert spark.conf.get(CLEANUP, None) == before
+
+
+def test_settings_are_left_as_they_were_by_threads(spark):
+    before = spark.conf.get(CLEANUP, None)
+    for _ in range(3):
+        with ThreadPoolExecutor(4) as pool:
+            list(pool.map(lambda n: staged(spark.range(n), "a").count(), range(4)))
+        assert spark.conf.get(CLEANUP, None) == before

@@ -19,7 +19,7 @@ from txnmart.operators.history import scd2_changes, scd2_merge
 from txnmart.operators.quality import split_by_rules, tag_violations, transaction_rules
 from txnmart.schemas import COLUMNS, ID
 from txnmart.scratch import staged
-from txnmart.sinks.jdbc import JdbcTarget, append, check_rows, is_empty, reload_all
+from txnmart.sinks.jdbc import JdbcTarget, append, check_rows, is_empty, reload_all, without_secrets
 from txnmart.sinks.store import APPEND, UPSERT, MartStore, Snapshot, Written
 from txnmart.sources.files import csv_scan, path_exists
 
@@ -402,7 +402,7 @@ def load_database(
             sent[table] = append(added, target, names[table], key=key) if added is not None else 0
         for table, name in names.items():
             check_rows(store.spark, target, name, mart.rows(table))
-    loaded = [(target.url, schema, mart.version)]
+    loaded = [(without_secrets(target.url), schema, mart.version)]
     log = store.spark.createDataFrame(loaded, "url string, schema string, version long")
     store.append(DATABASE_LOADS, log.coalesce(1))
     return sent
@@ -413,5 +413,5 @@ def last_load(mart: Snapshot, target: JdbcTarget, schema: str) -> int:
     loads = mart.read(DATABASE_LOADS)
     if loads is None:
         return 0
-    same = (F.col("url") == target.url) & (F.col("schema") == schema)
+    same = (F.col("url") == without_secrets(target.url)) & (F.col("schema") == schema)
     return loads.where(same).agg(F.max("version")).first()[0] or 0

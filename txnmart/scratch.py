@@ -8,6 +8,7 @@ broadcast from the real size), and fixes values that a recomputation could chang
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -56,17 +57,32 @@ def delete_folder(spark: SparkSession, path: str) -> None:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+_cleaning: list[str | None] = []  # the setting as it was, once per write that runs
+_lock = threading.Lock()
+
+
+@contextmanager
+def _cleaning_up(spark: SparkSession) -> Iterator[None]:
+    """The setting on while any thread is in the block, and then as it was before the first."""
+    with _lock:
+        _cleaning.append(_cleaning[0] if _cleaning else spark.conf.get(CLEANUP, None))
+        spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        with _lock:
+            before = _cleaning.pop()
+            if not _cleaning:
+                spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the scratch folder and return a scan of what was written. What was
     shuffled on the way is not needed any more and is deleted at once, where Spark can."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
-    try:
+    with _cleaning_up(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     if _open:
         _open[-1].frames.append((out, path))
