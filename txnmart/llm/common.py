@@ -19,7 +19,19 @@ WORD = r"[^\x20\x09-\x0D]+"
 MASK = (1 << 64) - 1
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let documents go to Python a thousand at a time, a few megabytes, unless the session says how
+    many: a batch is held several times over, in the executor and beside it."""
+    if spark.conf.get(BATCH) == "10000" and not spark.sparkContext.getConf().contains(BATCH):
+        spark.conf.set(BATCH, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

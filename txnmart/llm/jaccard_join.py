@@ -296,16 +296,14 @@ def _linked(sets: DataFrame) -> DataFrame:
         .select(F.col("hub").alias("a"), F.col("node").alias("b"))
         .distinct()
     )
-    links = links.unionAll(staged(_verified(others, sets), "jaccard-links"))
-    of = components(links)
+    of = _extended(of, staged(_verified(others, sets), "jaccard-links"))
     # Components that share shingles but not yet a link meet through one member each, another
     # one for every shingle, until that finds nothing more. It only spares the last step work.
     for _ in range(BRIDGE_ROUNDS):
         found = staged(_verified(_bridges(labelled(of)), sets), "jaccard-links")
         if not found.take(1):
             break
-        links = links.unionAll(found)
-        of = components(links)
+        of = _extended(of, found)
     # What is left: shingles of several components. A pair is taken at its first shared one.
     lab = labelled(of)
     ends = lab.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
@@ -329,8 +327,28 @@ def _linked(sets: DataFrame) -> DataFrame:
         & _enough(bound, F.col("x.n"), F.col("y.n"))
         & ~F.arrays_overlap("x.ahead", "y.ahead"),
     ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    more = staged(_verified(rest, sets), "jaccard-links")
-    return components(links.unionAll(more)) if more.take(1) else of
+    return _extended(of, staged(_verified(rest, sets), "jaccard-links"))
+
+
+def _extended(of: DataFrame, links: DataFrame) -> DataFrame:
+    """``of`` (node, component) after more links. Only what they join is worked on again: the
+    components of the components they meet."""
+    ends = links.select("u", "v")
+    for side in ("u", "v"):
+        label = of.select(F.col("node").alias("of_node"), F.col("component").alias("label"))
+        ends = ends.join(label, F.col(side) == F.col("of_node"), "left").withColumn(
+            f"of_{side}", F.coalesce("label", side)
+        )
+        ends = ends.drop("of_node", "label")
+    ends = staged(ends, "component-links")
+    joined = components(ends.select(F.col("of_u").alias("u"), F.col("of_v").alias("v")))
+    joined = joined.select(F.col("node").alias("of_node"), F.col("component").alias("to"))
+    # Documents without a link so far are their own component.
+    alone = ends.where("u = of_u").select(F.col("u").alias("node"))
+    alone = alone.unionAll(ends.where("v = of_v").select(F.col("v").alias("node"))).distinct()
+    known = of.unionAll(alone.join(of, "node", "left_anti").select("node", F.col("node").alias("component")))
+    moved = known.join(joined, F.col("component") == F.col("of_node"), "left")
+    return staged(moved.select("node", F.coalesce("to", "component").alias("component")), "components")
 
 
 def _bridges(entries: DataFrame) -> DataFrame:
