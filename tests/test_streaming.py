@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 from txnmart.plans import mart
 from txnmart.sources.files import write_csv
 from txnmart.streaming.ingest import csv_stream, ingest_available, merge_batch
-from txnmart.streaming.totals import daily_totals_stream, utc_instant, write_available
+from txnmart.streaming.totals import (
+    STREAM_DAYS,
+    daily_totals_stream,
+    total_available,
+    utc_instant,
+    write_available,
+)
 
 
 def ids(df):
@@ -155,3 +161,40 @@ def test_days_are_utc_in_any_session_zone(spark, tmp_path):
         out = str(tmp_path / f"out-{zone.replace('/', '-')}")
         write_available(totals, out, f"{out}-state")
         assert values(spark.read.parquet(out)) == [(dt.date(2024, 1, 1), 1, 1.0)]
+
+
+def test_every_event_is_counted_or_late(spark, store, tmp_path):
+    """Files out of order: what is published is as with the watermark, and the rest is told."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    at = dt.datetime
+    parts = [
+        [(at(2024, 1, 1, 23), 1.0), (at(2024, 1, 2, 0, 30), 2.0), (None, 64.0)],
+        [(at(2024, 1, 1, 23, 50), 4.0), (at(2024, 1, 2, 2), 8.0)],
+        [(at(2024, 1, 1, 12), 16.0), (at(2024, 1, 3, 2), 32.0), (at(2023, 12, 31), 5.0)],
+        [(at(2024, 1, 2, 9), 7.0), (at(2024, 1, 3, 3), 0.5), (at(2023, 12, 31, 1), 5.0), (None, 1.0)],
+    ]
+    seen = 0
+    for part in parts:
+        events(spark, source, *part)
+        seen += len(part)
+        for _ in range(2):  # the second time nothing has arrived
+            stream = spark.readStream.schema("ts timestamp_ntz, value double").parquet(source)
+            stream = stream.withColumn("ts", utc_instant(F.col("ts")))
+            total_available(store, stream, "1 hour", str(tmp_path / "days-state"))
+            write_available(daily_totals_stream(stream, "1 hour"), out, str(tmp_path / "state"))
+        days = store.read(STREAM_DAYS)
+        assert days.selectExpr("sum(transactions) + sum(late_transactions)").first()[0] == seen
+        published = values(spark.read.schema("day date, transactions long, total_amount double").parquet(out))
+        assert values(days.where("final").select("day", "transactions", "total_amount")) == published
+    day = dt.date
+    assert values(days.drop("newest")) == sorted(
+        [
+            (None, 2, 65.0, 0, False),
+            (day(2023, 12, 31), 0, 0.0, 2, False),
+            (day(2024, 1, 1), 2, 5.0, 1, True),
+            (day(2024, 1, 2), 2, 10.0, 1, True),
+            (day(2024, 1, 3), 2, 32.5, 0, False),
+        ],
+        key=str,
+    )
+    assert store.at().version == len(parts)

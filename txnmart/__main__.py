@@ -23,7 +23,7 @@ from txnmart.sinks.store import MartStore
 from txnmart.sources.files import path_exists, write_csv
 from txnmart.sources.synthetic import sequential_ids, synthetic_transactions
 from txnmart.streaming.ingest import csv_stream, ingest_available
-from txnmart.streaming.totals import daily_totals_stream, utc_instant, write_available
+from txnmart.streaming.totals import daily_totals_stream, total_available, utc_instant, write_available
 
 
 def parser() -> argparse.ArgumentParser:
@@ -70,7 +70,9 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--files-per-batch", type=int, help="most files of a micro-batch")
     totals = job("stream-totals", "daily totals of an event stream, each day once it is final")
     totals.add_argument("--source", required=True, help="folder or pattern of parquet files")
-    totals.add_argument("--output", required=True, help="folder of the totals")
+    into = totals.add_mutually_exclusive_group(required=True)
+    into.add_argument("--output", help="folder of the totals")
+    into.add_argument("--mart", help="mart whose table stream_days has them, late events counted too")
     totals.add_argument("--state", required=True, help="checkpoint folder of the stream")
     totals.add_argument("--lateness", default="1 hour")
     job("history", "bring the type-2 table of customers up to date with silver", "mart")
@@ -132,6 +134,9 @@ def stream_totals(spark: SparkSession, args: argparse.Namespace) -> None:
     schema = spark.read.parquet(args.source).schema
     events = spark.readStream.schema(schema).parquet(args.source)
     events = events.withColumn("ts", utc_instant(F.col("ts")))
+    if args.mart:
+        total_available(MartStore(spark, args.mart), events, args.lateness, args.state)
+        return
     write_available(daily_totals_stream(events, args.lateness), args.output, args.state)
 
 
@@ -140,7 +145,7 @@ def checks_of(args: argparse.Namespace) -> mart.Checks:
 
 
 def run_job(spark: SparkSession, args: argparse.Namespace) -> int:
-    store = MartStore(spark, args.mart) if "mart" in args else None
+    store = MartStore(spark, args.mart) if getattr(args, "mart", None) else None
     result = None
     if args.job == "ingest":
         step = mart.ingest_incremental if args.incremental else mart.ingest

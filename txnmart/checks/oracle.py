@@ -551,6 +551,16 @@ left join days on cast(o_orderdate as date) = full_date""",
 one as ({DEDUP}),
 early as ({DEDUP.replace("from silver", "from history")})
 select * from early union all ({new_rows('one', 'early')})""",
+    "stream_totals_late": """
+with newest as (select max(ts) as now, max(ts) filter (minute(ts) % 2 = 0) as first from events),
+marked as (select cast(ts as date) as day, cast(value as decimal(18,2)) as value, now,
+                  minute(ts) % 2 = 1 and cast(ts as date) + interval 1 day <= first - interval 1 hour as late
+           from events, newest)
+select day, count(*) filter (not late) as transactions,
+       coalesce(cast(sum(value) filter (not late) as double), 0.0) as total_amount,
+       count(*) filter (late) as late_transactions,
+       day + interval 1 day <= now - interval 1 hour and count(*) filter (not late) > 0 as final
+from marked group by day, now""",
     "stream_daily_totals": """
 select cast(ts as date) as day, count(*) as transactions,
        cast(sum(cast(value as decimal(18,2))) as double) as total_amount

@@ -736,6 +736,19 @@ def stream_ingest_lines(spark, sf_dir):
     return store.read(mart.SILVER)
 
 
+@query
+def stream_totals_late(spark, sf_dir):
+    """Events of even minutes, then those of odd ones: most come after their day was final."""
+    events, folder = table(spark, sf_dir, "events"), scratch_path(spark, "stream-events")
+    store, checkpoint = new_store(spark), scratch_path(spark, "stream-state")
+    for part in (0, 1):
+        events.where(F.minute("ts") % 2 == part).write.parquet(f"{folder}/delivery-{part}")
+        stream = spark.readStream.schema(events.schema).parquet(f"{folder}/*")
+        stream = stream.withColumn("ts", stream_totals.utc_instant(F.col("ts")))
+        stream_totals.total_available(store, stream, "1 hour", checkpoint)
+    return store.read(stream_totals.STREAM_DAYS).drop("newest")
+
+
 @query
 def stream_daily_totals(spark, sf_dir):
     # A pattern, since a stream reads folders or patterns, not a single file.
