@@ -386,3 +386,35 @@ def test_names_of_our_own_do_not_clash(spark):
     for out in (network, jaccard_join.without_near_duplicates(docs), secrets.redact(docs), mixing.mixed_documents(docs)):
         assert out.columns == docs.columns and out.count() >= 6
         assert [out.select(n).distinct().first()[0] for n in names] == list(range(len(names)))
+
+
+def test_sketches_bound_what_sets_share():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        pool = np.unique(rng.integers(0, 1 << 62, 400, dtype=np.uint64) << np.uint64(2))
+        a, b = (np.sort(rng.choice(pool, rng.integers(1, 300), replace=False)) for _ in range(2))
+        apart = sum(int(x).bit_count() for x in (jaccard_join.sketch(a) ^ jaccard_join.sketch(b)).view(np.uint64))
+        assert len(np.intersect1d(a, b)) <= (len(a) + len(b) - apart) // 2
+
+
+def test_common_passages_give_few_pairs(spark, monkeypatch):
+    """Documents made of some of the same passages, none near copies: what the last join compares grows
+    with the documents, not with their pairs."""
+    seen = []
+    real = jaccard_join._verified
+
+    def counted(pairs, sets):
+        seen.append(pairs.count())
+        return real(pairs, sets)
+
+    monkeypatch.setattr(jaccard_join, "_verified", counted)
+    last = []
+    for n in (100, 200, 400):
+        rng = random.Random(n)
+        passages = [prose(10_000 + k, 30) for k in range(30)]
+        rows = [(i, " ".join(rng.sample(passages, 10)), "en", "a") for i in range(n)]
+        seen.clear()
+        got = jaccard_join.jaccard_report(documents(spark, rows)).collect()
+        assert len({r["component_id"] for r in got}) == n
+        last.append(seen[-1])
+    assert max(last) <= 40

@@ -14,7 +14,7 @@ and the counts of all fragments are added up per document or per pair.
 4. Documents that share such a shingle are candidates. Candidates are first taken as stars
    around the smallest document of a shingle, then between members of components that share
    one; then all pairs whose documents are not yet in one
-   component, and whose lengths and positions allow a link, are taken. Each pair's overlap is
+   component, and whose lengths, positions and sketches allow a link, are taken. Each pair's overlap is
    counted per fragment and summed. Links inside a component change nothing, so large groups of
    near copies are never expanded into pairs, and no link between components is lost.
 
@@ -54,6 +54,7 @@ SHINGLE = 5
 PERCENT = 80
 BRIDGE_ROUNDS = 4
 SEGMENTS = 8  # by the first three bits
+SKETCH = 16  # longs of a set's sketch: its shingles' parities in 1024 buckets
 
 
 def shingle_sets(texts: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -169,7 +170,7 @@ def _shared_counts(docs: DataFrame, fragments: int) -> DataFrame:
 
 def _ordered_sets(texts: DataFrame, fragments: int) -> DataFrame:
     """``node``, ``n``, ``prefix`` (shingle and position in the global order, without shingles
-    that no other document has) and ``segments`` (the set, cut by hash range)."""
+    that no other document has), ``segments`` (the set, cut by hash range) and ``sketch``."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
@@ -235,23 +236,39 @@ def _ordered_sets(texts: DataFrame, fragments: int) -> DataFrame:
             whole = value[end - size : end]  # ascending
             cuts = np.searchsorted(whole >> np.uint64(61), np.arange(SEGMENTS + 1))
             parts = [whole[a:b].view(np.int64) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-            rows.append((node, size, prefix, parts))
-        return pd.DataFrame(rows, columns=["node", "n", "prefix", "segments"])
+            rows.append((node, size, prefix, parts, sketch(whole)))
+        return pd.DataFrame(rows, columns=["node", "n", "prefix", "segments", "sketch"])
 
     return (
         weighed.unionByName(sent.where("fragment < 0"))
         .groupBy("block")
         .applyInPandas(
             collect,
-            "node long, n long, prefix array<struct<token: long, pos: int>>, segments array<array<long>>",
+            "node long, n long, prefix array<struct<token: long, pos: int>>, segments array<array<long>>, "
+            "sketch array<long>",
         )
     )
 
 
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """Whether each of 1024 buckets holds an odd number of the hashes, as bits. Where two sets'
+    sketches differ they differ in one shingle at least."""
+    odd = np.bincount((hashes >> np.uint64(20)).astype(np.int64) & 64 * SKETCH - 1, minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def _enough(overlap: Column, a: Column, b: Column) -> Column:
     return 100 * overlap >= PERCENT * (a + b - overlap)
 
 
+def _common_at_most(x: str, y: str) -> Column:
+    """No more shingles than this are in both sets, by their sizes and sketches."""
+    apart = sum(
+        F.bit_count(F.col(f"{x}.sketch")[i].bitwiseXOR(F.col(f"{y}.sketch")[i])) for i in range(SKETCH)
+    )
+    return F.floor((F.col(f"{x}.n") + F.col(f"{y}.n") - apart) / 2)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that link: overlaps are counted per segment and summed."""
     parts = sets.select("node", "n", F.posexplode("segments").alias("part", "held"))
@@ -310,11 +327,11 @@ def _linked(sets: DataFrame) -> DataFrame:
     # Written, so that the join is between two plain shuffles and a hot shingle can be split.
     open_ = staged(ends.where("low != high").select("token"), "open-shingles")
     left = lab.join(open_, "token")
-    order = sets.select(F.col("node").alias("of_node"), "prefix")
+    order = sets.select(F.col("node").alias("of_node"), "prefix", "sketch")
     ahead = F.transform(F.filter("prefix", lambda p: p["pos"] < F.col("pos")), lambda p: p["token"])
     one = staged(
         left.join(order, F.col("node") == F.col("of_node")).select(
-            "token", "node", "n", "pos", "component", ahead.alias("ahead")
+            "token", "node", "n", "pos", "component", "sketch", ahead.alias("ahead")
         ),
         "labelled-prefixes",
     )
@@ -324,7 +341,7 @@ def _linked(sets: DataFrame) -> DataFrame:
         y,
         (F.col("x.token") == F.col("y.token"))
         & (F.col("x.component") < F.col("y.component"))
-        & _enough(bound, F.col("x.n"), F.col("y.n"))
+        & _enough(F.least(bound, _common_at_most("x", "y")), F.col("x.n"), F.col("y.n"))
         & ~F.arrays_overlap("x.ahead", "y.ahead"),
     ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     return _extended(of, staged(_verified(rest, sets), "jaccard-links"))
