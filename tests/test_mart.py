@@ -376,3 +376,18 @@ def test_history_is_written_whole_again_in_time(spark, store, monkeypatch):
         mart.refresh_history(store)
     assert store.at().upserts(mart.CUSTOMER_HISTORY) == (1, 2)
     assert store.read(mart.CUSTOMER_HISTORY).count() == store.at().rows(mart.CUSTOMER_HISTORY) == 24
+
+
+def test_account_star(spark, store, tmp_path):
+    (tmp_path / "accounts.csv").write_text("account_no,balance,account_type\nA2,-5.5,X\nA1,3,Y\nA1,3,Y\n,1,Z\n")
+    (tmp_path / "rows.csv").write_text(
+        "transaction_id,account_no,full_date,amount,transaction_type\n"
+        "1,A1,2024-05-06,1.25,P\n1,A1,2024-05-06,1.25,P\n2,A9,2024-05-06,2,Q\n3,A2,,3,Q\n"
+    )
+    files = [str(tmp_path / n) for n in ("accounts.csv", "rows.csv")]
+    assert mart.load_accounts(store, files[0], str(tmp_path / "none")).status == mart.SKIPPED_NO_SOURCE
+    assert mart.load_accounts(store, *files).rows == 3 and store.at().version == 1
+    fact = [(r.transaction_id, r.account_id, r.date_id, float(r.amount)) for r in store.read(mart.ACCOUNT_FACT).collect()]
+    assert sorted(fact) == [(1, 1, 1, 1.25), (2, None, 1, 2.0), (3, 2, None, 3.0)]
+    dim = {r.account_no: (r.account_id, r.status) for r in store.read(mart.ACCOUNT_DIM).collect()}
+    assert dim == {"A1": (1, "ACTIVE"), "A2": (2, "OVERDRAWN")}

@@ -65,6 +65,8 @@ def parser() -> argparse.ArgumentParser:
             "--by-email", action="store_true", help="find customers by email alone; kept by "
             "incremental loads",
         )
+    star = job("load-accounts", "publish the account star from two CSV feeds", "mart", "source")
+    star.add_argument("--accounts", required=True, help="CSV file, folder or pattern of the accounts")
     stream = job("stream", "merge CSV files that have arrived into silver", "mart", "source")
     stream.add_argument("--state", required=True, help="checkpoint folder of the stream")
     stream.add_argument("--files-per-batch", type=int, help="most files of a micro-batch")
@@ -155,6 +157,8 @@ def run_job(spark: SparkSession, args: argparse.Namespace) -> int:
     elif args.job == "load":
         step = mart.load_incremental if args.incremental else mart.load
         result = step(store, args.load_time, by_email=args.by_email)
+    elif args.job == "load-accounts":
+        result = mart.load_accounts(store, args.accounts, args.source)
     elif args.job == "history":
         result = mart.refresh_history(store)
     elif args.job == "stream-totals":

@@ -568,3 +568,4 @@ from events
 group by 1
 having cast(ts as date) + interval 1 day <= (select max(ts) from events) - interval 1 hour""",
 }
+ORACLE["account_star"] = ORACLE["account_fact"]

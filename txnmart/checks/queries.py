@@ -707,6 +707,18 @@ def account_fact(spark, sf_dir):
     return fact.withColumn("amount", F.col("amount").cast("double"))
 
 
+@query
+def account_star(spark, sf_dir):
+    """The account star from CSV, its accounts and transactions delivered twice in one feed."""
+    folder, store = scratch_path(spark, "account-csv"), new_store(spark)
+    rows = account_transactions(spark, sf_dir)
+    for part in (1, 2):
+        files.write_csv(account_rows(spark, sf_dir), f"{folder}/accounts/{part}")
+        files.write_csv(rows.select(*reversed(rows.columns)) if part == 2 else rows, f"{folder}/rows/{part}")
+    mart.load_accounts(store, f"{folder}/accounts/*", f"{folder}/rows/*").require()
+    return store.read(mart.ACCOUNT_FACT).withColumn("amount", F.col("amount").cast("double"))
+
+
 # --- streaming
 
 

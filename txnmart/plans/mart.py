@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from txnmart.functions.cleaning import clean, null_handling
-from txnmart.operators import reports
+from txnmart.operators import accounts, reports
 from txnmart.operators.delta import Fresh, dedup_batch, find_new, new_rows
 from txnmart.operators.dims import DIMENSIONS, Dimension
 from txnmart.operators.facts import fact_transactions
 from txnmart.operators.history import scd2_changes, scd2_merge
 from txnmart.operators.quality import split_by_rules, tag_violations, transaction_rules
-from txnmart.schemas import COLUMNS, ID
+from txnmart.schemas import ACCOUNT, ACCOUNT_TRANSACTION, COLUMNS, ID
 from txnmart.scratch import staged
 from txnmart.sinks.jdbc import JdbcTarget, append, check_rows, is_empty, reload_all, without_secrets
 from txnmart.sinks.store import APPEND, UPSERT, MartStore, Snapshot, Written
@@ -26,6 +26,7 @@ from txnmart.sources.files import csv_scan, path_exists
 RAW, SILVER, QUARANTINE, FACT = "raw", "silver", "silver_quarantine", "fact_transactions"
 DAY_PARTS, CUSTOMER_HISTORY = "day_parts", "customer_history"
 DATABASE_LOADS = "database_loads"
+ACCOUNT_DIM, CALENDAR_DIM, ACCOUNT_FACT = "account_dim", "calendar_dim", "account_fact"
 MOST_UPSERTS = 16
 # How commits are named: silver rows that were compared with silver, and how a fact's
 # customers were found.
@@ -317,6 +318,24 @@ def run(
     return done
 
 
+def load_accounts(store: MartStore, accounts_csv: str, transactions_csv: str) -> StepResult:
+    """Publish the account star from two CSV feeds as one version. Of rows with one account number, or
+    one transaction id, the least counts; an account without a number is in no dimension, a
+    transaction of an unknown account or without a day has no id of it."""
+    spark = store.spark
+    if not (path_exists(spark, accounts_csv) and path_exists(spark, transactions_csv)):
+        return StepResult(SKIPPED_NO_SOURCE)
+    named = csv_scan(spark, accounts_csv, ACCOUNT).where(F.col("account_no").isNotNull())
+    held = staged(dedup_batch(named, "account_no"), "accounts")
+    rows, many = _counted(dedup_batch(csv_scan(spark, transactions_csv, ACCOUNT_TRANSACTION)), "account-rows")
+    if not many:
+        return StepResult(SKIPPED_EMPTY)
+    dim = store.write(ACCOUNT_DIM, accounts.account_dim(held))
+    days = store.write(CALENDAR_DIM, accounts.calendar_dim(rows.where(F.col("full_date").isNotNull())))
+    fact = store.write(ACCOUNT_FACT, accounts.account_fact(rows, store.written(dim), store.written(days)))
+    return StepResult(LOADED, fact.rows, store.commit(dim, days, fact))
+
+
 def refresh_history(store: MartStore) -> StepResult:
     """Keep the type-2 table of customers up to date: the name each email goes by, and since
     when, from the silver rows added since. Of one day's names the last by id counts.

@@ -19,6 +19,22 @@ TRANSACTION = T.StructType(
         T.StructField("transaction_date", T.DateType()),
     ]
 )
+ACCOUNT = T.StructType(
+    [
+        T.StructField("account_no", T.StringType()),
+        T.StructField("account_type", T.StringType()),
+        T.StructField("balance", T.DoubleType()),
+    ]
+)
+ACCOUNT_TRANSACTION = T.StructType(
+    [
+        T.StructField("transaction_id", T.LongType()),
+        T.StructField("account_no", T.StringType()),
+        T.StructField("full_date", T.DateType()),
+        T.StructField("amount", T.DoubleType()),
+        T.StructField("transaction_type", T.StringType()),
+    ]
+)
 RAW_CSV = T.StructType([*TRANSACTION.fields, T.StructField(CORRUPT, T.StringType())])
 DIM_CUSTOMER = T.StructType(
     [
