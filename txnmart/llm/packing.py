@@ -30,7 +30,7 @@ from txnmart.llm.common import slices
 
 LENGTH = 4096
 END_ID = 2
-CACHED_WORDS = 600_000
+CACHED_WORDS = 350_000
 
 
 # A word of these Latin letters, with or without punctuation at its end, is lower-cased letter
@@ -136,7 +136,7 @@ class WordEncoder:
                 plain.append(word)
                 ends.append(len(ids))
             self._add(plain, np.array(ids, np.uint32), np.array(ends, np.int64))
-            if len(self._pieces) > CACHED_WORDS // 2:
+            if len(self._pieces) > CACHED_WORDS // 4:
                 self._pieces = {}
             words = rest
         odd = [w for w in words if self._part < 0 or self._parter.encode() in w]
