@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -96,6 +98,14 @@ def bounded_rows(rows: DataFrame, sized: list[str], most_bytes: int) -> dict[str
     return {c: held.column(c).to_pylist() for c in rows.columns}
 
 
+def give_back() -> None:
+    """Return to the system what a Python worker has freed: it is used again by later tasks, and
+    would keep the most that any of them held."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # not every C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4_000_000, raw: bool = False):
     """Cut Arrow batches so that the texts of a slice hold about ``most`` bytes, or are one
     text. Yields (slice, list of texts, NULL as ''); with ``raw`` the texts as UTF-8 bytes."""
@@ -105,6 +115,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4_000_000
         return [t or b"" for t in values.cast(pa.binary()).to_pylist()] if raw else [
             t or "" for t in values.to_pylist()
         ]
+    give_back()
     for batch in batches:
         sizes = np.asarray(
             pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(
@@ -122,6 +133,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4_000_000
         if start < batch.num_rows:
             part = batch.slice(start)
             yield part, texts(part)
+    give_back()
 
 
 PIECE = 1 << 20  # bytes of a text that are cut into words at once
