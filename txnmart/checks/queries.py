@@ -37,6 +37,7 @@ RULE_DAYS = ("1995-01-01", "2000-12-31")
 SYNTH_DAYS = (dt.date(2024, 3, 12), dt.date(2026, 3, 12))
 OLD_PRIORITY, OLD_START, OLD_ENDS = "0-OLD", "1990-01-01", ("1991-01-01", "1998-06-01")
 TOP = 20
+DELIVERED, STREAMED = "lz4", "gzip"  # how CSV deliveries are compressed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -335,7 +336,7 @@ def fact_transactions_by_email(spark, sf_dir):
 def mart_end_to_end(spark, sf_dir):
     """CSV to published fact through the three daily jobs."""
     path = scratch_path(spark, "csv")
-    files.write_csv(transactions(spark, sf_dir), path)
+    files.write_csv(transactions(spark, sf_dir), path, compression=DELIVERED)
     store = new_store(spark)
     mart.run(store, path, LOAD_TS).require()
     return store.read(mart.FACT)
@@ -346,7 +347,7 @@ def mart_validated_run(spark, sf_dir):
     """The untidy feed through ingest and a transform with defaults, de-duplication and rules,
     delivered twice: silver, and the quarantine with its reasons."""
     path = scratch_path(spark, "csv")
-    files.write_csv(text_transactions(spark, sf_dir), path)
+    files.write_csv(text_transactions(spark, sf_dir), path, compression=DELIVERED)
     store = new_store(spark)
     for _ in range(2):
         mart.ingest(store, path).require()

@@ -120,7 +120,9 @@ def transform(store: MartStore, checks: Checks = Checks()) -> StepResult:
         cleaned, left = _counted(dedup_batch(cleaned), "deduplicated")
     if checks.days:
         rules = transaction_rules(*checks.days)
-        tagged = staged(tag_violations(staged(cleaned, "to-check"), rules), "checked")
+        # What was de-duplicated has been written already.
+        to_check = cleaned if checks.dedup else staged(cleaned, "to-check")
+        tagged = staged(tag_violations(to_check, rules), "checked")
         good, bad = split_by_rules(tagged)
         bad, rejected = _counted(bad.withColumn("violations", F.concat_ws(",", "violations")), "rejected")
     else:
