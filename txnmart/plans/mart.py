@@ -355,11 +355,11 @@ def refresh_history(store: MartStore) -> StepResult:
     if added is None:
         return StepResult(UNCHANGED)
     if known is None:
-        known = store.spark.createDataFrame(
-            [],
-            "customer_email string, customer_name string, valid_from date, valid_to date, "
-            "is_current boolean",
-        )
+        known = store.spark.range(0).selectExpr(
+            "cast(null as string) as customer_email", "cast(null as string) as customer_name",
+            "cast(null as date) as valid_from", "cast(null as date) as valid_to",
+            "cast(null as boolean) as is_current",
+        )
     changes = added.where("transaction_date is not null")
     by = ("customer_email", "customer_name", "transaction_date", ID)
     many, rows = mart.upserts(CUSTOMER_HISTORY)
