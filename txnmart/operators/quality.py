@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from txnmart.operators.members import apart
 from txnmart.schemas import CORRUPT, ID, VALID
 from txnmart.scratch import staged
 
@@ -96,8 +97,9 @@ def tag_violations(df: DataFrame, rules: Rules) -> DataFrame:
     ``id_unique`` last. A rule that comes out NULL is broken.
 
     Ids are counted with a combine before the shuffle, the repeated ones are written out,
-    and the rows look them up: a hot id is one row on the lookup side, and its rows are
-    split over tasks by adaptive execution.
+    and the rows that may have one (:func:`apart`) look them up: a hot id is one row on the
+    lookup side, and its rows are split over tasks by adaptive execution. ``df`` is read up to
+    three times and should be a table.
     """
     repeated = (
         df.where(F.col(ID).isNotNull())
@@ -111,11 +113,14 @@ def tag_violations(df: DataFrame, rules: Rules) -> DataFrame:
     broken = F.array_compact(
         F.array(*[F.when(~ok, F.lit(name)) for name, ok in passed.items()])
     )
-    return (
-        df.join(staged(repeated, "repeated-ids"), ID, "left")
-        .withColumn("violations", broken)
-        .select(*df.columns, "violations")
-    )
+    seen = Observation()
+    ids = staged(repeated.observe(seen, F.count(ID).alias("ids")), "repeated-ids")
+    may_repeat, others = apart(df, ids, ID, seen.get["ids"])
+    looked_up = may_repeat.join(ids, ID, "left")
+    if others is not None:
+        unrepeated = others.withColumn("_repeated", F.lit(None).cast("boolean"))
+        looked_up = looked_up.unionByName(unrepeated)
+    return looked_up.withColumn("violations", broken).select(*df.columns, "violations")
 
 
 def split_by_rules(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
