@@ -3,7 +3,7 @@
 from helpers import frame, plan, settings, txn, values
 from pyspark.sql import functions as F
 
-from txnmart.operators import members, quality
+from txnmart.operators import delta, members, quality
 from txnmart.operators.members import apart, bits_for, bitmap
 from txnmart.schemas import ID
 from txnmart.scratch import staged
@@ -81,3 +81,20 @@ def test_rules_look_up_only_rows_left_by_the_bitmap(spark, monkeypatch):
     assert [violations(b) for b in batches] == plain
     with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
         assert_bitmap_below_the_shuffle(quality.tag_violations(batches[0], rules), "LeftOuter")
+
+
+def test_a_merge_joins_only_rows_left_by_the_bitmap(spark, monkeypatch):
+    known = staged(frame(spark, *[txn(i) for i in range(40)]), "known")
+    batches = {"LeftSemi": many(spark), "LeftAnti": few(spark)}
+
+    def results():
+        fresh = [delta.find_new(b, known) for b in batches.values()]
+        return [(values(f.rows), f.known) for f in fresh]
+
+    plain = results()
+    assert [known for _, known in plain] == [40, 19]
+    monkeypatch.setattr(members, "FEWEST", 0)
+    assert results() == plain
+    with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        for kind, batch in batches.items():
+            assert_bitmap_below_the_shuffle(delta.new_rows(batch, known), kind)

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from txnmart.operators.members import apart
 from txnmart.schemas import ID
 from txnmart.scratch import staged
 
@@ -39,12 +40,13 @@ def find_new(batch: DataFrame, existing: Existing, key: str = ID) -> Fresh:
     are small enough to broadcast, Spark moves that semi join below the distinct and the
     existing table is not shuffled at all. Whole rows then meet the shorter list, of keys
     seen before or of fresh ones: few new rows in a large redelivery, or few repeats in a
-    new batch, are found without shuffling the batch. All lists are written out, so a
-    join too large to broadcast is between two plain shuffles, the shape in which adaptive
+    new batch, are found without shuffling the batch. A list too large to broadcast meets only
+    the rows that :func:`apart` leaves for it. All lists are written out, so such a
+    join is between two plain shuffles, the shape in which adaptive
     execution splits the batch's hot or NULL keys over several tasks. What is counted is counted
     by the writes.
 
-    The batch is read twice and should be a table, or a projection of one.
+    The batch is read up to three times and should be a table, or a projection of one.
     """
     present = F.col(key).isNotNull()
     counted = batch.select(key).where(present).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
@@ -64,12 +66,17 @@ def find_new(batch: DataFrame, existing: Existing, key: str = ID) -> Fresh:
         return Fresh(batch, 0)
     if seen_keys == in_batch["keys"]:
         return Fresh(batch.where(~present), in_batch["rows"])
-    rows = counts.join(both, key, "left_semi").agg(F.sum("_rows")).first()[0]
     if 2 * seen_keys <= in_batch["keys"]:
-        return Fresh(batch.join(both, key, "left_anti").select(batch.columns), rows)
-    fresh = staged(keys.join(both, key, "left_anti"), "fresh-keys")
-    new = batch.join(fresh, key, "left_semi").select(batch.columns)
-    return Fresh(new.unionByName(batch.where(~present)), rows)
+        rows = counts.join(both, key, "left_semi").agg(F.sum("_rows")).first()[0]
+        may_be_seen, others = apart(batch, both, key, seen_keys)
+        new = may_be_seen.join(both, key, "left_anti").select(batch.columns)
+        return Fresh(new if others is None else new.unionByName(others), rows)
+    left = Observation()
+    unseen = counts.join(both, key, "left_anti").observe(left, F.sum("_rows").alias("rows"))
+    fresh = staged(unseen.select(key), "fresh-keys")
+    may_be_fresh, _ = apart(batch, fresh, key, in_batch["keys"] - seen_keys)
+    new = may_be_fresh.join(fresh, key, "left_semi").select(batch.columns)
+    return Fresh(new.unionByName(batch.where(~present)), in_batch["rows"] - left.get["rows"])
 
 
 def new_rows(batch: DataFrame, existing: Existing, key: str = ID) -> DataFrame:
