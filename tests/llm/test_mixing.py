@@ -1,7 +1,9 @@
 import random
+import re
 
 import numpy as np
 import pytest
+from helpers import settings
 from helpers_llm import awkward_rows, documents, prose
 
 import corpus_pipeline
@@ -55,6 +57,21 @@ def test_report(spark):
     assert all(abs(t - w) <= max(64, 0.01 * w) for t, w in zip(taken, wanted, strict=True))
 
 
+def test_slots_and_sizes_are_not_broadcast(spark):
+    """Slots are made from a few rows of counts, and sizes of documents are small on disk: by these
+    Spark would hold a row per block or document in the driver."""
+    docs = documents(spark, corpus(3, 400))
+    keys = []
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="10MB"):
+        for df in (mixing.Mix(docs, block_words=4).report(), mixing.mixed_documents(docs, block_words=4)):
+            assert len(df.collect()) >= 400
+            plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+            keys.append(re.findall(r"BroadcastHashJoin \[(.*?)\]", plan))
+            assert len(re.findall(r"SortMergeJoin.* \[sid#\d+, block#\d+L\]", plan)) == 1
+    assert not [k for k in sum(keys, []) if "block#" in k]
+    assert not [k for k in keys[1] if k.startswith("row#")]
+
+
 def test_pieces_are_whole_blocks(spark):
     rows = corpus(1, 200)
     mix = mixing.Mix(documents(spark, rows))

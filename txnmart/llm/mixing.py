@@ -6,7 +6,8 @@ to each source is drawn from a multinomial over what is still to be placed, so t
 of all shards add up to the targets. The j-th slot of a source takes the block at a
 pseudorandom permutation of its indices; each pass over the source has a permutation of its
 own, so no block is taken more than ``ceil(slots / blocks)`` times. Slots and blocks then meet
-in one join by (source, block).
+in one join by (source, block), a sort-merge join: slots are made from one row per source and
+shard, by whose few bytes Spark would take them for small enough to broadcast.
 
 Prefix sums of sizes are taken inside sorted range partitions, plus one small table of
 partition totals, so a source that holds most rows is spread over all tasks. What the driver
@@ -178,7 +179,7 @@ class Mix:
         )
 
     def _numbered(self) -> DataFrame:
-        s = self.sources().select("sid", F.col("source").alias("named"))
+        s = F.broadcast(self.sources().select("sid", F.col("source").alias("named")))
         return self.sized.join(s, F.col("source").eqNullSafe(F.col("named"))).where("size > 0")
 
     def document_blocks(self) -> DataFrame:
@@ -235,6 +236,7 @@ class Mix:
         """What the slots hold: ``shard``, ``slot``, ``row``, ``start``, ``n_words``."""
         return (
             self.shard_slots_table()
+            .hint("merge")
             .join(self.document_blocks(), ["sid", "block"])
             .select("shard", "slot", "row", "start", "n_words")
         )
@@ -242,7 +244,7 @@ class Mix:
     def report(self) -> DataFrame:
         """``doc_id``, ``size``, its source's ``source_size`` and ``target``, and ``taken``."""
         taken = self.pieces().groupBy("row").agg(F.sum("n_words").alias("taken"))
-        s = self.sources().withColumnRenamed("source", "named")
+        s = F.broadcast(self.sources().withColumnRenamed("source", "named"))
         return (
             self.sized.join(s, F.col("source").eqNullSafe(F.col("named")))
             .join(taken, "row", "left")
@@ -279,7 +281,8 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
         .agg(F.array_sort(F.collect_list(at)).alias(f"{own}_spans"), F.sum("n_words").alias(f"{own}_words"))
     )
     whole = mix.sized.select("row", F.col("size").alias(f"{own}_size"))
-    joined = taken.join(whole, "row").withColumnsRenamed({"row": f"{own}_of", "copy": f"{own}_copy"})
+    # Both joins are by row; a row per document is no table to broadcast, however few bytes it takes on disk.
+    joined = taken.join(whole.hint("merge"), "row").withColumnsRenamed({"row": f"{own}_of", "copy": f"{own}_copy"})
     joined = joined.join(held, F.col(f"{own}_of") == F.col(f"{own}_row"))
 
     @F.pandas_udf("string")
