@@ -7,6 +7,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pytest
+from helpers import settings
 from helpers_llm import WORDS, awkward_rows, documents, prose
 
 from pyspark.sql import functions as F
@@ -206,6 +207,52 @@ def test_repeats(spark, seed):
     assert sorted((tuple(r) for r in got), key=str) == expected_repeats(rows)
 
 
+def test_segments_are_dealt_evenly(spark, monkeypatch):
+    """By their keys, not by numbers of shards, of which several would come to one task and none to others."""
+    dealt = []
+    real = suffix_dedup.staged
+
+    def look(df, label):
+        if label == "segment-strings":
+            dealt.extend(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+        return real(df, label)
+
+    monkeypatch.setattr(suffix_dedup, "staged", look)
+    rows = [(i, prose(i % 40, 400) + prose(i, 5), "en", "a") for i in range(80)]
+    conf = {"spark__sql__shuffle__partitions": "16", "spark__sql__adaptive__coalescePartitions__enabled": "false"}
+    with settings(spark, **conf):
+        suffix_dedup.repeated_spans(documents(spark, rows).repartition(3))
+    assert len(dealt) == 16 and sum(dealt) > 1600 and max(dealt) < 2 * sum(dealt) / 16
+
+
+def test_only_known_keys_of_the_text_are_kept():
+    values = np.array([5, 1, 1 << 63, 7, 5], np.uint64)
+    assert suffix_dedup._among(values, np.array([7, 5, 9], np.uint64)).tolist() == [True, False, False, True, True]
+    assert not suffix_dedup._among(values, values[:0]).any()
+    assert not len(suffix_dedup._among(values[:0], values))
+
+
+@pytest.mark.parametrize("mer", [24, 40, 50])
+def test_runs_have_equal_keys_for_equal_strings(mer):
+    rng = random.Random(mer)
+    part = rng.randbytes(130)
+    texts = [b"", part[:49], part[:50], rng.randbytes(70) + part, part + rng.randbytes(200), b"ab" * 90]
+    key_of, covered = {}, set()
+    for text, first, n, key in zip(*(c.tolist() for c in suffix_dedup._all_runs(texts, mer)), strict=True):
+        for i in range(first, first + n):
+            assert key_of.setdefault(texts[text][i : i + 50], key) == key
+            covered.add((text, i))
+    assert covered == {(k, i) for k, t in enumerate(texts) for i in range(len(t) - 49)}
+
+
+@pytest.mark.parametrize("letters", [1, 2, 30])
+def test_short_strings_are_sorted(letters):
+    rng = random.Random(letters)
+    for n in (1, 2, 3, 200):
+        names = [rng.randrange(letters) for _ in range(n)]
+        assert induced._in_memory(np.array(names)).tolist() == sorted(range(n), key=lambda i: names[i:])
+
+
 def test_repeats_awkward(spark):
     rows = awkward_rows()
     got = suffix_dedup.repeat_report(documents(spark, rows, extra=True)).collect()
