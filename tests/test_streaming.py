@@ -7,8 +7,10 @@ from pathlib import Path
 from helpers import frame, txn, values
 from pyspark.sql import functions as F
 
+from txnmart.operators import members
 from txnmart.plans import mart
 from txnmart.sources.files import write_csv
+from txnmart.streaming import ingest
 from txnmart.streaming.ingest import csv_stream, ingest_available, merge_batch
 from txnmart.streaming.totals import (
     STREAM_DAYS,
@@ -36,6 +38,26 @@ def test_files_arriving_in_parts_are_merged_once(spark, store, tmp_path):
     assert store.at().version == version
 
 
+def test_rows_that_are_known_meet_no_new_ids(spark, store, tmp_path, monkeypatch):
+    """Of a delivery that mostly repeats what has come, few rows are moved to find the new ones."""
+    folder, state, moved = tmp_path / "in", str(tmp_path / "state"), []
+    real = ingest.apart
+
+    def look(rows, keys, key, count):
+        may_be_new, others = real(rows, keys, key, count)
+        moved.append((count, may_be_new.count()))
+        return may_be_new, others
+
+    monkeypatch.setattr(ingest, "apart", look)
+    monkeypatch.setattr(members, "FEWEST", 1)
+    for n, last in enumerate((900, 1000)):
+        write_csv(frame(spark, *[txn(i) for i in range(last)], txn(None)), f"{folder}/part-{n}", compression="gzip")
+        ingest_available(store, "t", csv_stream(spark, f"{folder}/*"), state)
+    assert ids(store.read("t")) == list(range(1000))
+    (count, rows), = moved
+    assert count == 100 and 100 <= rows < 400
+
+
 def test_a_batch_run_again_adds_nothing(spark, store):
     batch = frame(spark, txn(1, " ann "), txn(2))
     merge_batch(store, "t", batch)
